@@ -236,9 +236,18 @@ def feature_drift_between(
     return feature_drift(both, F.col("is_ref"), F.col("is_cur"), wanted, group_cols, cutoff, method)
 
 
-def drift_summary(drift: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Per segment: any drift, and the sorted names of the drifted features."""
-    return drift.groupBy(*group_cols).agg(
-        F.bool_or("drift_detected").alias("drift_detected"),
-        F.sort_array(F.collect_list(F.when(F.col("drift_detected"), F.col("feature")))).alias("drifted_features"),
-    )
+def drift_summary(drift: DataFrame, group_cols: Sequence[str] = (), prediction: str | None = None) -> DataFrame:
+    """Per segment: any drift, and the sorted names of the drifted features.
+
+    When `prediction` names one of the tested columns, its drift is reported apart from the
+    features', as `anomaly_detected`.
+    """
+    is_feature = F.lit(True) if prediction is None else F.col("feature") != prediction
+    drifted = F.col("drift_detected") & is_feature
+    aggregates = [
+        F.bool_or(drifted).alias("drift_detected"),
+        F.sort_array(F.collect_list(F.when(drifted, F.col("feature")))).alias("drifted_features"),
+    ]
+    if prediction is not None:
+        aggregates.append(F.bool_or(F.col("drift_detected") & ~is_feature).alias("anomaly_detected"))
+    return drift.groupBy(*group_cols).agg(*aggregates)

@@ -67,11 +67,16 @@ def baseline_gate(metrics: DataFrame, baseline: DataFrame, group_cols: Sequence[
     delta is positive when the candidate is better, whatever the metric's direction or sign.
     """
     keys = [*group_cols, "metric"]
-    joined = attach(metrics, baseline.select(*keys, F.col("value").alias("baseline_value")), keys)
+    return gate_compared(attach(metrics, baseline.select(*keys, F.col("value").alias("baseline_value")), keys), group_cols)
+
+
+def gate_compared(compared: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """`baseline_gate` for a frame that already holds `value` and `baseline_value` side by side."""
     metric, new, base = F.col("metric"), F.col("value"), F.col("baseline_value")
     gain = F.when(_lower_better(metric), base - new).otherwise(new - base)
-    return joined.select(
-        *keys,
+    return compared.select(
+        *group_cols,
+        "metric",
         "value",
         "baseline_value",
         F.try_divide(gain, F.abs(base)).alias("delta"),
@@ -135,9 +140,14 @@ def performance_degradation(
         keys,
         how="inner",
     )
+    return degradation_of(joined, group_cols, cutoff)
+
+
+def degradation_of(compared: DataFrame, group_cols: Sequence[str] = (), cutoff: float = DEGRADATION_CUTOFF) -> DataFrame:
+    """`performance_degradation` for a frame that already holds `current` and `baseline` side by side."""
     now, base = F.col("current"), F.col("baseline")
     loss = F.try_divide(F.when(_lower_better(F.col("metric")), now - base).otherwise(base - now), F.abs(base))
-    return joined.select(*keys, "current", "baseline", loss.alias("degradation")).withColumn(
+    return compared.select(*group_cols, "metric", "current", "baseline", loss.alias("degradation")).withColumn(
         "is_degraded", F.coalesce(F.col("degradation") > cutoff, F.lit(False))
     )
 

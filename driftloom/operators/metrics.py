@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,6 +133,17 @@ def majority_baseline(train: DataFrame, label: str, group_cols: Sequence[str] =
     return counts.groupBy(*group_cols).agg(best.alias("__best")).select(*group_cols, F.col("__best.__label").alias("naive_prediction"))
 
 
+def side_by_side(long: DataFrame, role_col: str, names: Mapping[str, str], group_cols: Sequence[str] = ()) -> DataFrame:
+    """Long metrics of several roles with one value column per role: `names` maps role to column.
+
+    A pivot of the few metric rows, so that comparing roles needs neither a join nor a second
+    pass over the rows the metrics came from.
+    """
+    return long.groupBy(*group_cols, "metric").agg(
+        *[F.max(F.when(F.col(role_col) == role, F.col("value"))).alias(column) for role, column in names.items()]
+    )
+
+
 def baseline_predictions(
     test: DataFrame, naive: DataFrame, group_cols: Sequence[str] = (), previous: str | None = None
 ) -> DataFrame:

@@ -69,7 +69,7 @@ def quantiles(
 
     any_wanted = reduce(lambda a, b: a | b, (holds(t["rank"]) for t in wanted))
     hits = cells.filter(any_wanted).select(
-        *keys, "__cell", F.col("__before").alias("__start"), within(F.array(*wanted)).alias("__wants")
+        *keys, "__cell", "__total", F.col("__before").alias("__start"), within(F.array(*wanted)).alias("__wants")
     )
     # Two cells per quantile and group: a fixed handful without groups, otherwise measured at run time.
     inside = attach(
@@ -78,23 +78,23 @@ def quantiles(
     w = _running(Window.partitionBy(*keys, "__cell").orderBy("__v"))
     found = (
         inside.select("*", (F.col("__start") + F.sum("__n").over(w) - F.col("__n")).alias("__before"))
-        .select(*keys, "__v", F.inline(within(F.col("__wants"))))
+        .select(*keys, "__v", "__total", F.inline(within(F.col("__wants"))))
     )
     picked = found.groupBy(*keys).agg(
+        F.first("__total").alias("__total"),
         *[
             F.max(F.when((F.col("name") == name) & (F.col("end") == end), F.col("__v"))).alias(f"{name}__{end}")
             for name in probs
             for end in ("lo", "hi")
-        ]
+        ],
     )
-    result = attach(totals.select(*keys, "__total"), picked, keys)
 
     def interpolated(name: str, p: float) -> Column:
         place = (F.col("__total") - 1) * F.lit(float(p))
         low, high = F.col(f"{name}__lo"), F.col(f"{name}__hi")
         return F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place)))
 
-    return result.select(*keys, *[interpolated(name, p).alias(name) for name, p in probs.items()])
+    return picked.select(*keys, *[interpolated(name, p).alias(name) for name, p in probs.items()])
 
 
 def time_cell(df: DataFrame, order_col: str) -> Column:

@@ -23,10 +23,11 @@ def monitoring_report(
     """Combine per-segment summaries into alerts (data drift, performance, predictions) and a status.
 
     Inputs are a drift summary, a degradation summary and a prediction monitor; the last two may
-    be left out. A segment is critical when performance degraded, else a warning with any alert.
+    be left out, and the drift summary may carry `anomaly_detected` itself. A segment is critical when performance degraded, else a warning with any alert.
     """
     keys = list(group_cols)
-    joined = drift.select(*keys, "drift_detected", "drifted_features")
+    carried = ["anomaly_detected"] if predictions is None and "anomaly_detected" in drift.columns else []
+    joined = drift.select(*keys, "drift_detected", "drifted_features", *carried)
     nothing = F.array().cast("array<string>")
     if performance is not None:
         joined = attach(joined, performance.select(*keys, "degradation_detected", "degraded_metrics"), keys)
@@ -34,7 +35,7 @@ def monitoring_report(
         joined = joined.select("*", F.lit(False).alias("degradation_detected"), nothing.alias("degraded_metrics"))
     if predictions is not None:
         joined = attach(joined, predictions.select(*keys, "anomaly_detected"), keys)
-    else:
+    elif not carried:
         joined = joined.select("*", F.lit(False).alias("anomaly_detected"))
     drifted, degraded, anomalous = (
         F.coalesce(F.col(c), F.lit(False)) for c in ("drift_detected", "degradation_detected", "anomaly_detected")

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from driftloom.functions.naming import WEEK
 from driftloom.operators.drift import P_CUTOFF, drift_summary, feature_drift
-from driftloom.operators.gates import DEGRADATION_CUTOFF, degradation_summary, performance_degradation
-from driftloom.operators.metrics import MONITORING_METRICS, binary_metrics, regression_metrics
-from driftloom.operators.predictions import prediction_monitor
+from driftloom.operators.gates import DEGRADATION_CUTOFF, degradation_of, degradation_summary
+from driftloom.operators.metrics import MONITORING_METRICS, binary_metrics, regression_metrics, side_by_side
 from driftloom.operators.reports import monitoring_report
 
 
@@ -34,6 +33,26 @@ def performance_metrics(
     return regression_metrics(df, label, prediction, group_cols, MONITORING_METRICS)
 
 
+def compare_samples(
+    scored: DataFrame,
+    label: str,
+    prediction: str,
+    is_ref: Column,
+    is_cur: Column,
+    group_cols: Sequence[str] = (),
+    model_type: str = "regression",
+) -> DataFrame:
+    """Metrics of both samples side by side (`current`, `baseline`), measured in one pass.
+
+    A row in both samples is listed once for each.
+    """
+    samples = F.array_compact(F.array(F.when(is_ref, F.lit("baseline")), F.when(is_cur, F.lit("current"))))
+    listed = scored.select(*group_cols, label, prediction, F.explode(samples).alias("__sample"))
+    measured = performance_metrics(listed, label, prediction, [*group_cols, "__sample"], model_type)
+    both = side_by_side(measured, "__sample", {"current": "current", "baseline": "baseline"}, group_cols)
+    return both.filter("current IS NOT NULL AND baseline IS NOT NULL")
+
+
 def monitor_run(
     scored: DataFrame,
     features: Sequence[str],
@@ -47,13 +66,16 @@ def monitor_run(
     degradation_cutoff: float = DEGRADATION_CUTOFF,
     method: str = "auto",
 ) -> DataFrame:
-    """One report row per segment. Performance is looked at only when the label is in the frame."""
+    """One report row per segment. Performance is looked at only when the label is in the frame.
+
+    The predictions are tested along with the features.
+    """
     keys = list(group_cols)
-    drift = drift_summary(feature_drift(scored, is_ref, is_cur, features, keys, p_cutoff, method), keys)
-    predictions = prediction_monitor(scored, prediction, keys, is_ref, is_cur, p_cutoff, method)
+    watched = [c for c in features if c != prediction]
+    tests = feature_drift(scored, is_ref, is_cur, [*watched, prediction], keys, p_cutoff, method)
+    drift = drift_summary(tests, keys, prediction)
     performance = None
     if label is not None and label in scored.columns:
-        current = performance_metrics(scored.filter(is_cur), label, prediction, keys, model_type)
-        baseline = performance_metrics(scored.filter(is_ref), label, prediction, keys, model_type)
-        performance = degradation_summary(performance_degradation(current, baseline, keys, degradation_cutoff), keys)
-    return monitoring_report(drift, performance, predictions, keys)
+        compared = compare_samples(scored, label, prediction, is_ref, is_cur, keys, model_type)
+        performance = degradation_summary(degradation_of(compared, keys, degradation_cutoff), keys)
+    return monitoring_report(drift, performance, None, keys)

@@ -11,6 +11,7 @@ from driftloom.functions.naming import WEEK
 from driftloom.operators.features import build_features, drop_incomplete_rows, feature_columns
 from driftloom.operators.models import Fit, fit_candidates, fit_passive_aggressive, fit_scaled
 from driftloom.operators.splits import temporal_split
+from driftloom.sources.scratch import settle
 
 
 def prepare_training(
@@ -21,8 +22,12 @@ def prepare_training(
     train_share: float = 0.8,
     monthly_lags: str = "calendar",
 ) -> DataFrame:
-    """Complete feature rows with a temporal `split` column."""
-    features = drop_incomplete_rows(build_features(daily, value_cols, group_cols, date_col, monthly_lags))
+    """Complete feature rows with a temporal `split` column.
+
+    The feature frame is stored first: fitting, scaling and metrics all read it again, and the
+    daily rows should be read once.
+    """
+    features = settle(drop_incomplete_rows(build_features(daily, value_cols, group_cols, date_col, monthly_lags)))
     return temporal_split(features, [WEEK], train_share, group_cols, cell=F.col(WEEK))
 
 

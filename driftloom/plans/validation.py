@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftloom.functions.attach import attach
-from driftloom.operators.gates import baseline_gate, default_thresholds, retrain_decision, threshold_gate, verdict
+from driftloom.operators.gates import default_thresholds, gate_compared, retrain_decision, threshold_gate, verdict
 from driftloom.operators.metrics import (
     VALIDATION_METRICS,
     baseline_predictions,
@@ -51,11 +51,27 @@ def validate_run(
     else:
         naive = (majority_baseline if model_type == "classification" else mean_baseline)(train, label, keys)
         based = baseline_predictions(scored, naive, keys, previous)
-    candidate = validation_metrics(based, label, prediction, keys, model_type)
-    baseline = validation_metrics(based, label, "baseline", keys, model_type)
-    checks = threshold_gate(candidate, default_thresholds(model_type, thresholds), keys)
-    source = based.groupBy(*keys).agg(F.max("baseline_source").alias("baseline_source"))
-    return attach(verdict(checks, baseline_gate(candidate, baseline, keys), keys), source, keys)
+    # Every row is listed once as candidate and once as baseline: one pass measures both.
+    listed = based.select(
+        *keys,
+        label,
+        F.inline(
+            F.array(
+                F.struct(F.lit("candidate").alias("__role"), F.col(prediction).alias("__p")),
+                F.struct(F.col("baseline_source").alias("__role"), F.col("baseline").alias("__p")),
+            )
+        ),
+    )
+    measured = validation_metrics(listed, label, "__p", [*keys, "__role"], model_type)
+    is_candidate = F.col("__role") == "candidate"
+    compared = measured.groupBy(*keys, "metric").agg(
+        F.max(F.when(is_candidate, F.col("value"))).alias("value"),
+        F.max(F.when(~is_candidate, F.col("value"))).alias("baseline_value"),
+        F.max(F.when(~is_candidate, F.col("__role"))).alias("baseline_source"),
+    )
+    checks = threshold_gate(compared, default_thresholds(model_type, thresholds), keys)
+    source = compared.groupBy(*keys).agg(F.max("baseline_source").alias("baseline_source"))
+    return attach(verdict(checks, gate_compared(compared, keys), keys), source, keys)
 
 
 def retrain_run(

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,17 +103,24 @@ def upsert_table(
         staged = fresh_path(spark, "upsert")
         merge_rows(affected, df, keys, order_cols).write.format(fmt).save(staged)
         _add_columns(spark, name, added)
-        columns = spark.table(name).columns
-        (
-            spark.read.format(fmt)
-            .load(staged)
-            .select(*columns)
-            .write.option("partitionOverwriteMode", "dynamic")
-            .insertInto(name, overwrite=True)
-        )
+        merged = spark.read.format(fmt).load(staged).select(*spark.table(name).columns)
+        with _dynamic_overwrite(spark):
+            merged.write.insertInto(name, overwrite=True)
     spark.catalog.refreshTable(name)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only the partitions written to; inserts obey the session, not a writer option."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _add_columns(spark: SparkSession, name: str, fields: Sequence) -> None:
     if fields:
         listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
