@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 
 from driftloom.catalogue.common import Query, metrics_sql, r, rounded
 from driftloom.catalogue.fits import GUESS, SPLIT_LINES, split_lineitem, status_guess, weighted_sql
-from driftloom.operators.gates import baseline_gate, threshold_gate
-from driftloom.operators.metrics import baseline_predictions, mean_baseline
+from driftloom.operators.gates import gate_compared, threshold_gate
 from driftloom.operators.models import fit_single_feature, score_linear
-from driftloom.plans.validation import retrain_run, validate_run, validation_metrics
+from driftloom.plans.validation import compare_with_baseline, retrain_run, validate_run, validation_metrics
 
 SEGMENT = ["l_returnflag", "l_linestatus"]
 # Gates loose enough for some segments to pass and others to fail; f1 is not a regression metric.
@@ -23,24 +22,23 @@ def _scored(spark, sf_dir):
     return train, score_linear(test, fit_single_feature(train, [SLOPE], LABEL, SEGMENT), [SLOPE], SEGMENT)
 
 
-def _candidate_and_baseline(spark, sf_dir):
+def _compared(spark, sf_dir):
     train, scored = _scored(spark, sf_dir)
-    based = baseline_predictions(scored, mean_baseline(train, LABEL, SEGMENT), SEGMENT)
-    return (validation_metrics(based, LABEL, p, SEGMENT) for p in ("prediction", "baseline"))
+    return compare_with_baseline(scored, LABEL, "prediction", SEGMENT, train=train)
 
 
 def threshold_gate_lineitem(spark, sf_dir):
-    candidate, _ = _candidate_and_baseline(spark, sf_dir)
-    return rounded(threshold_gate(candidate, GATES, SEGMENT), 8, "value")
+    _, scored = _scored(spark, sf_dir)
+    return rounded(threshold_gate(validation_metrics(scored, LABEL, "prediction", SEGMENT), GATES, SEGMENT), 8, "value")
 
 
 def baseline_gate_lineitem(spark, sf_dir):
-    gated = baseline_gate(*_candidate_and_baseline(spark, sf_dir), SEGMENT)
+    gated = gate_compared(_compared(spark, sf_dir), SEGMENT)
     return rounded(gated.drop("delta"), 8, "value", "baseline_value")
 
 
 def metric_delta_lineitem(spark, sf_dir):
-    gated = baseline_gate(*_candidate_and_baseline(spark, sf_dir), SEGMENT)
+    gated = gate_compared(_compared(spark, sf_dir), SEGMENT)
     return rounded(gated.select(*SEGMENT, "metric", "delta"), 6, "delta")
 
 

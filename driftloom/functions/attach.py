@@ -17,10 +17,10 @@ def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join `stats` (one row per key) to `df`, keeping the key columns of `df`.
 
-    No broadcast hint is given: the number of groups is not bounded, so the join is left to
-    the optimizer and to run-time statistics, which broadcast `stats` only when its measured
-    size is small and otherwise split a hot key. Without keys `stats` is a single row and is
-    read as a scalar subquery instead of being joined.
+    No broadcast hint is given, since the number of groups is not bounded. Operators that put
+    statistics beside raw rows settle them first: the optimizer then sees their true size,
+    broadcasts them below its threshold, and otherwise shuffles and splits a hot key at run
+    time. Without keys `stats` is a single row and is read as a scalar subquery.
     """
     values = [c for c in stats.columns if c not in keys]
     if not keys:

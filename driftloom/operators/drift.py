@@ -12,6 +12,7 @@ from driftloom.functions.attach import attach
 from driftloom.functions.cells import anchor_of, cell_of
 from driftloom.functions.pvalues import chi_square_p, ks_p_asymptotic, ks_p_exact
 from driftloom.operators.ordering import clean_double
+from driftloom.sources.scratch import settle
 
 # Fixed value: the p-value below which a feature counts as drifted.
 P_CUTOFF = 0.05
@@ -30,32 +31,77 @@ def tag_samples(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     return ref.unionByName(cur)
 
 
-def value_counts(
-    df: DataFrame, features: Sequence[str], as_type: str, is_ref: Column, is_cur: Column, group_cols: Sequence[str] = ()
+def _typed(df: DataFrame, feature: str) -> Column:
+    """A numeric feature as a clean double, any other as text."""
+    kind = df.schema[feature].dataType
+    if isinstance(kind, T.BooleanType):
+        return F.col(feature).cast("int").cast("double")
+    return clean_double(F.col(feature)) if is_numeric(kind) else F.col(feature).cast("string")
+
+
+def sample_sizes(
+    df: DataFrame, features: Sequence[str], is_ref: Column, is_cur: Column, group_cols: Sequence[str] = ()
 ) -> DataFrame:
-    """Reference and current counts per (group, feature, value), folded on the map side.
+    """Values per group and feature in each sample, and the anchor of a numeric feature's cells.
 
-    Features are listed one below the other, so each drops its own nulls. Nulls are kept as a
-    value of their own with zero counts: a feature without any value still shows up.
+    All features are counted side by side in one aggregate and listed afterwards, so every
+    feature of every group has a row, even one without values.
     """
-    def typed(c: str) -> Column:
-        # Booleans become 0 and 1 through an integer.
-        boolean = isinstance(df.schema[c].dataType, T.BooleanType)
-        column = F.col(c).cast("int") if boolean else F.col(c)
-        return clean_double(column) if as_type == "double" else column.cast("string")
+    keys = list(group_cols)
+    aggregates, rows = [], []
+    for i, c in enumerate(features):
+        value = _typed(df, c)
+        numeric = is_numeric(df.schema[c].dataType)
+        anchor = anchor_of(F.when(is_ref | is_cur, value)) if numeric else F.max(F.lit(None).cast("double"))
+        aggregates += [
+            F.count_if(is_ref & value.isNotNull()).alias(f"__n{i}"),
+            F.count_if(is_cur & value.isNotNull()).alias(f"__m{i}"),
+            anchor.alias(f"__a{i}"),
+        ]
+        rows.append(
+            F.struct(
+                F.lit(c).alias("feature"),
+                F.col(f"__n{i}").alias("n_ref"),
+                F.col(f"__m{i}").alias("n_cur"),
+                F.col(f"__a{i}").alias("anchor"),
+            )
+        )
+    wide = df.filter(is_ref | is_cur).groupBy(*keys).agg(*aggregates)
+    return settle(wide.select(*keys, F.inline(F.array(*rows))))
 
+
+def _listed(
+    df: DataFrame, features: Sequence[str], is_ref: Column, is_cur: Column, sizes: DataFrame, group_cols: Sequence[str]
+) -> DataFrame:
+    """Every value of every feature as a row of its own, beside its feature's sample sizes."""
     keys = list(group_cols)
-    # Listed with inline rather than unpivot: copies of this plan then share their exchange.
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), typed(c).alias("value")) for c in features])
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), _typed(df, c).alias("value")) for c in features])
     listed = df.filter(is_ref | is_cur).select(*keys, is_ref.alias("__ref"), is_cur.alias("__cur"), F.inline(pairs))
-    present = F.col("value").isNotNull()
-    return listed.groupBy(*keys, "feature", "value").agg(
-        F.count_if(F.col("__ref") & present).alias("n_ref"), F.count_if(F.col("__cur") & present).alias("n_cur")
+    usable = sizes.filter("n_ref > 0 AND n_cur > 0").withColumnsRenamed({"n_ref": "__n", "n_cur": "__m"})
+    return attach(listed.filter("value IS NOT NULL"), usable, [*keys, "feature"], how="inner")
+
+
+def _value_counts(listed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Both samples' counts per value, folded on the map side before anything is shuffled."""
+    return listed.groupBy(*keys).agg(
+        F.count_if("__ref").alias("__r"), F.count_if("__cur").alias("__c"), F.max("__n").alias("__n"), F.max("__m").alias("__m")
     )
 
 
-def ks_statistic(counts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Largest gap between the two empirical distributions, from value counts.
+def _with_untested(sizes: DataFrame, features: Sequence[str], tested: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per group and feature with its sample sizes, and the test's columns where it ran."""
+    return attach(sizes.filter(F.col("feature").isin(*features)).drop("anchor"), tested, keys)
+
+
+def ks_statistic(
+    df: DataFrame,
+    features: Sequence[str],
+    is_ref: Column,
+    is_cur: Column,
+    group_cols: Sequence[str] = (),
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """Largest gap between the two empirical distributions of every numeric feature.
 
     Inside a cell the gap moves by d(value), the difference of the local running shares; across
     cells it moves by the cells' totals. The largest gap of a cell is therefore reached at its
@@ -63,56 +109,54 @@ def ks_statistic(counts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame
     feature meet in one (short) window.
     """
     keys = [*group_cols, "feature"]
-    totals = counts.groupBy(*keys).agg(
-        F.sum("n_ref").alias("__n"), F.sum("n_cur").alias("__m"), anchor_of(F.col("value")).alias("__anchor")
-    )
-    placed = attach(counts, totals, keys).withColumn("__cell", cell_of(F.col("value"), F.col("__anchor")))
+    sizes = sample_sizes(df, features, is_ref, is_cur, group_cols) if sizes is None else sizes
+    listed = _listed(df, features, is_ref, is_cur, sizes, group_cols)
+    placed = listed.withColumn("__cell", cell_of(F.col("value"), F.col("anchor")))
+    counts = _value_counts(placed, [*keys, "__cell", "value"])
 
     def gap(r: Column, c: Column) -> Column:
-        return F.try_divide(r, F.col("__n")) - F.try_divide(c, F.col("__m"))
+        return r / F.col("__n") - c / F.col("__m")
 
     inside = Window.partitionBy(*keys, "__cell").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = placed.select("*", gap(F.sum("n_ref").over(inside), F.sum("n_cur").over(inside)).alias("__d"))
+    local = counts.select("*", gap(F.sum("__r").over(inside), F.sum("__c").over(inside)).alias("__d"))
     cells = local.groupBy(*keys, "__cell").agg(
-        F.sum("n_ref").alias("__r"),
-        F.sum("n_cur").alias("__c"),
+        F.sum("__r").alias("__r"),
+        F.sum("__c").alias("__c"),
         F.max("__d").alias("__up"),
         F.min("__d").alias("__down"),
-        F.first("__n").alias("__n"),
-        F.first("__m").alias("__m"),
+        F.max("__n").alias("__n"),
+        F.max("__m").alias("__m"),
     )
     across = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     start = gap(F.sum("__r").over(across) - F.col("__r"), F.sum("__c").over(across) - F.col("__c"))
     shifted = cells.select("*", start.alias("__start"))
     largest = F.greatest(F.abs(F.col("__start") + F.col("__up")), F.abs(F.col("__start") + F.col("__down")))
-    return shifted.groupBy(*keys).agg(
-        F.first("__n").alias("n_ref"), F.first("__m").alias("n_cur"), F.max(largest).alias("statistic")
-    )
+    tested = shifted.groupBy(*keys).agg(F.max(largest).alias("statistic"))
+    return _with_untested(sizes, features, tested, keys)
 
 
-def chi_square_statistic(counts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Goodness of fit of the current counts to the reference shares, from value counts.
+def chi_square_statistic(
+    df: DataFrame,
+    features: Sequence[str],
+    is_ref: Column,
+    is_cur: Column,
+    group_cols: Sequence[str] = (),
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """Goodness of fit of the current counts to the reference shares of every categorical feature.
 
     Expected counts are the reference counts scaled to the current total. A category the
     reference lacks makes the statistic infinite.
     """
     keys = [*group_cols, "feature"]
-    totals = counts.groupBy(*keys).agg(F.sum("n_ref").alias("__n"), F.sum("n_cur").alias("__m"))
-    expected = F.try_divide(F.col("n_ref") * F.col("__m").cast("double"), F.col("__n"))
-    term = F.when(F.col("n_ref") > 0, F.try_divide(F.pow(F.col("n_cur") - expected, F.lit(2.0)), expected)).when(
-        F.col("n_cur") > 0, F.lit(float("inf"))
-    )
-    usable = (F.col("__n") > 0) & (F.col("__m") > 0)
-    return (
-        attach(counts, totals, keys)
-        .groupBy(*keys)
-        .agg(
-            F.first("__n").alias("n_ref"),
-            F.first("__m").alias("n_cur"),
-            F.sum(F.when(usable, F.coalesce(term, F.lit(0.0)))).alias("statistic"),
-            (F.count_if((F.col("n_ref") > 0) | (F.col("n_cur") > 0)) - 1).alias("degrees"),
-        )
+    sizes = sample_sizes(df, features, is_ref, is_cur, group_cols) if sizes is None else sizes
+    counts = _value_counts(_listed(df, features, is_ref, is_cur, sizes, group_cols), [*keys, "value"])
+    expected = F.col("__r") * F.col("__m").cast("double") / F.col("__n")
+    term = F.when(F.col("__r") > 0, F.try_divide(F.pow(F.col("__c") - expected, F.lit(2.0)), expected)).otherwise(
+        F.lit(float("inf"))
     )
+    tested = counts.groupBy(*keys).agg(F.sum(term).alias("statistic"), (F.count(F.lit(1)) - 1).alias("degrees"))
+    return _with_untested(sizes, features, tested, keys)
 
 
 def ks_test(
@@ -122,6 +166,7 @@ def ks_test(
     is_cur: Column,
     group_cols: Sequence[str] = (),
     method: str = "auto",
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test of numeric features.
 
@@ -129,7 +174,7 @@ def ks_test(
     the limiting series beyond that; `"asymptotic"` always uses the series.
     """
     keys = [*group_cols, "feature"]
-    stats = ks_statistic(value_counts(df, features, "double", is_ref, is_cur, group_cols), group_cols)
+    stats = ks_statistic(df, features, is_ref, is_cur, group_cols, sizes)
     series = ks_p_asymptotic(F.col("statistic"), F.col("n_ref"), F.col("n_cur"))
     if method == "asymptotic":
         exact = F.lit(None).cast("double")
@@ -153,11 +198,16 @@ def ks_test(
 
 
 def chi_square_test(
-    df: DataFrame, features: Sequence[str], is_ref: Column, is_cur: Column, group_cols: Sequence[str] = ()
+    df: DataFrame,
+    features: Sequence[str],
+    is_ref: Column,
+    is_cur: Column,
+    group_cols: Sequence[str] = (),
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Chi-square goodness-of-fit test of categorical features."""
     keys = [*group_cols, "feature"]
-    stats = chi_square_statistic(value_counts(df, features, "string", is_ref, is_cur, group_cols), group_cols)
+    stats = chi_square_statistic(df, features, is_ref, is_cur, group_cols, sizes)
     return stats.select(
         *keys,
         F.lit("chi_square").alias("kind"),
@@ -189,13 +239,14 @@ def feature_drift(
     present = [c for c in features if c in df.columns]
     numeric = [c for c in present if is_numeric(df.schema[c].dataType)]
     categorical = [c for c in present if c not in numeric]
+    if not present:
+        raise ValueError("none of the features is in the frame")
+    sizes = sample_sizes(df, present, is_ref, is_cur, keys)
     parts = []
     if numeric:
-        parts.append(ks_test(df, numeric, is_ref, is_cur, keys, method))
+        parts.append(ks_test(df, numeric, is_ref, is_cur, keys, method, sizes))
     if categorical:
-        parts.append(chi_square_test(df, categorical, is_ref, is_cur, keys))
-    if not parts:
-        raise ValueError("none of the features is in the frame")
+        parts.append(chi_square_test(df, categorical, is_ref, is_cur, keys, sizes))
     tested = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     result = tested.select(
         *keys,

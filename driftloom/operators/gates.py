@@ -111,6 +111,31 @@ def verdict(threshold_checks: DataFrame, baseline_checks: DataFrame, group_cols:
     )
 
 
+def verdict_of(compared: DataFrame, thresholds: Mapping[str, float], group_cols: Sequence[str] = ()) -> DataFrame:
+    """`verdict` straight from a frame with `value` and `baseline_value` side by side.
+
+    Both gates are conditions on the same metric rows, so one small aggregate decides. Columns
+    of `compared` other than the metric's are not kept.
+    """
+    metric, value = F.col("metric"), F.col("value")
+    bound = F.coalesce(*[F.when(metric == n, F.lit(float(t))) for n, t in thresholds.items()], F.lit(None).cast("double"))
+    checked = gate_compared(compared, group_cols).select(
+        *group_cols,
+        "metric",
+        F.col("passed").alias("__baseline"),
+        F.when(bound.isNull(), F.lit(True))
+        .otherwise(F.coalesce(_at_least_as_good(metric, value, bound), F.lit(False)))
+        .alias("__threshold"),
+    )
+    return checked.groupBy(*group_cols).agg(
+        F.bool_and(F.col("__threshold") & F.col("__baseline")).alias("validation_passed"),
+        F.bool_and("__threshold").alias("threshold_passed"),
+        F.bool_and("__baseline").alias("baseline_passed"),
+        failed_names(F.col("__threshold"), metric).alias("failed_thresholds"),
+        failed_names(F.col("__baseline"), metric).alias("failed_baseline"),
+    )
+
+
 def retrain_decision(champion: DataFrame, challenger: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     """Per segment: keep the champion, promote the challenger, or reject it.
 

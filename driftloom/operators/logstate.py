@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driftloom.functions.attach import attach
 from driftloom.operators.ordering import number_rows
+from driftloom.sources.scratch import settle
 
 # The stages a version may be in, and those an arriving version can clear.
 STAGES = ("Production", "Staging", "Archived", "None")
@@ -79,9 +80,12 @@ def fold_stages(
     steps = transitions.groupBy(*versions, stage_col).agg(
         F.max(moment).alias("__last"), F.max(F.when(clears, moment)).alias("__cleared")
     )
-    current = steps.groupBy(*versions).agg(F.max_by(F.struct(stage_col), F.col("__last")).alias("__s"), F.max("__last").alias("__last"))
-    current = current.select(*versions, F.col("__s")[stage_col].alias(stage_col), "__last")
-    cleared = steps.groupBy(*stages).agg(F.max("__cleared").alias("__cleared"))
+    newest_step = F.max(F.struct("__last", "__cleared", stage_col))
+    current = steps.groupBy(*versions).agg(newest_step.alias("__s")).select(*versions, f"__s.{stage_col}", "__s.__last")
+    # The moment of the last step rides along so that both branches read the same columns of
+    # `steps` and share its exchange; a null `__cleared` sorts below every moment.
+    newest_clear = F.max(F.struct("__cleared", "__last"))
+    cleared = steps.groupBy(*stages).agg(newest_clear.alias("__c")).select(*stages, F.col("__c.__cleared").alias("__cleared"))
     archived = F.col("__last") < F.col("__cleared")
     return attach(current, cleared, stages).select(
         *versions, F.when(archived, F.lit("Archived")).otherwise(F.col(stage_col)).alias("current_stage")
@@ -120,6 +124,6 @@ def append_versions(
     existing: DataFrame, new: DataFrame, keys: Sequence[str], order_cols: Sequence[str], name: str = "version"
 ) -> DataFrame:
     """New records numbered on from each key's highest existing version."""
-    highest = existing.groupBy(*keys).agg(F.max(name).alias("__highest"))
+    highest = settle(existing.groupBy(*keys).agg(F.max(name).alias("__highest")))
     numbered = attach(number_versions(new, keys, order_cols, name), highest, keys)
     return numbered.select(*new.columns, (F.col(name) + F.coalesce("__highest", F.lit(0))).alias(name))

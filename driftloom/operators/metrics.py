@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftloom.functions.attach import attach
+from driftloom.sources.scratch import settle
 
 # Metric names per report, and the floor below which |y| is not divided by.
 TRAINING_METRICS = ("mse", "mae", "rmse", "r2")
@@ -123,14 +124,15 @@ def weighted_metrics(
 
 def mean_baseline(train: DataFrame, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """The constant prediction: mean label of the training rows."""
-    return train.groupBy(*group_cols).agg(F.avg(F.col(label).cast("double")).alias("naive_prediction"))
+    return settle(train.groupBy(*group_cols).agg(F.avg(F.col(label).cast("double")).alias("naive_prediction")))
 
 
 def majority_baseline(train: DataFrame, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """The most frequent label of the training rows; ties go to the smallest label."""
     counts = train.filter(F.col(label).isNotNull()).groupBy(*group_cols, label).agg(F.count(F.lit(1)).alias("__n"))
     best = F.min(F.struct((-F.col("__n")).alias("__rank"), F.col(label).alias("__label")))
-    return counts.groupBy(*group_cols).agg(best.alias("__best")).select(*group_cols, F.col("__best.__label").alias("naive_prediction"))
+    picked = counts.groupBy(*group_cols).agg(best.alias("__best"))
+    return settle(picked.select(*group_cols, F.col("__best.__label").alias("naive_prediction")))
 
 
 def side_by_side(long: DataFrame, role_col: str, names: Mapping[str, str], group_cols: Sequence[str] = ()) -> DataFrame:
@@ -157,7 +159,7 @@ def baseline_predictions(
         return attach(test, naive, keys).select(
             *test.columns, F.col("naive_prediction").alias("baseline"), F.lit("naive_baseline").alias("baseline_source")
         )
-    complete = test.groupBy(*keys).agg(F.bool_and(F.col(previous).isNotNull()).alias("__complete"))
+    complete = settle(test.groupBy(*keys).agg(F.bool_and(F.col(previous).isNotNull()).alias("__complete")))
     joined = attach(attach(test, complete, keys), naive, keys)
     usable = F.col("__complete")
     return joined.select(

@@ -1,7 +1,7 @@
 """Linear models fitted by Spark jobs and kept as tables of coefficients.
 
 A coefficient table has one row per group (one row in all without groups) with `intercept` and
-one `coef_<feature>` column per feature.
+one `coef_<feature>` column per feature. Every fit returns a settled table.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from driftloom.functions.attach import attach
 from driftloom.operators.metrics import TRAINING_METRICS, regression_metrics
 from driftloom.operators.scaling import scaler_fit, standardise
-from driftloom.sources.scratch import settle
+from driftloom.sources.scratch import settle, settle_partitioned
 
 # Settings of the passive-aggressive regressor.
 AGGRESSIVENESS = 0.9
@@ -63,15 +63,17 @@ def fold_scaler(coefficients: DataFrame, scaler: DataFrame, features: Sequence[s
     for c in features:
         shift = shift - slope(c) * F.col(f"{c}__mean")
     replaced = {coef(c): slope(c) for c in features} | {"intercept": shift}
-    return joined.select(*[replaced.get(c, F.col(c)).alias(c) for c in coefficients.columns])
+    return settle(joined.select(*[replaced.get(c, F.col(c)).alias(c) for c in coefficients.columns]))
 
 
 def fit_single_feature(df: DataFrame, features: Sequence[str], label: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Least squares on one feature, per group, from built-in aggregates; also gives r2."""
     (feature,) = features
     y, x = F.col(label).cast("double"), F.col(feature).cast("double")
-    return df.groupBy(*group_cols).agg(
-        F.regr_intercept(y, x).alias("intercept"), F.regr_slope(y, x).alias(coef(feature)), F.regr_r2(y, x).alias("fit_r2")
+    return settle(
+        df.groupBy(*group_cols).agg(
+            F.regr_intercept(y, x).alias("intercept"), F.regr_slope(y, x).alias(coef(feature)), F.regr_r2(y, x).alias("fit_r2")
+        )
     )
 
 
@@ -188,7 +190,7 @@ def fit_passive_aggressive(
     large = sizes.filter("__shards > 1")
     if not large.isEmpty():
         # Written once, already divided into shards; every round reads it back.
-        shard_rows = settle(rows.filter("__shards > 1"))
+        shard_rows = settle_partitioned(rows.filter("__shards > 1"))
         weights = large.select(*keys, F.lit(0.0).alias("intercept"), *[F.lit(0.0).alias(c) for c in coefs])
         for number in range(rounds):
             started = attach(shard_rows, weights, keys).withColumn("__round", F.lit(number))
@@ -197,7 +199,7 @@ def fit_passive_aggressive(
             weights = settle(passed.groupBy(*keys).agg(*mixed))
         parts.append(attach(weights, large.select(*keys, F.col("__shards").alias("shards")), keys))
     fitted = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return fitted.select(*keys, "intercept", *coefs, "shards")
+    return settle(fitted.select(*keys, "intercept", *coefs, "shards"))
 
 
 def fit_scaled(fit: Fit) -> Fit:
@@ -247,7 +249,7 @@ def fit_candidates(
     tail = T.StructType([*shape, T.StructField("metric", T.StringType()), T.StructField("value", T.DoubleType())])
     for name, fit in candidates.items():
         try:
-            table = settle(fit(train, features, label, group_cols))
+            table = fit(train, features, label, group_cols)
             rows = settle(training_metrics(df, table, features, label, group_cols, split_col))
             fitted[name] = table
             status, error = "ok", None

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from driftloom.functions.attach import attach
 from driftloom.functions.cells import anchor_of, cell_of
+from driftloom.sources.scratch import settle
 
 
 def clean_double(value: Column) -> Column:
@@ -28,26 +29,20 @@ def quantiles(
     """Exact, linearly interpolated quantiles: one row per group, one column per name in `probs`.
 
     The exact percentile aggregate holds every distinct value of a group in one task. Here the
-    distinct values are counted first, the counts are summed per cell, and only the cells that
-    contain a wanted rank are looked into, so no task ever sees more than one cell of a group.
-    The counts feed three branches that share one exchange, so the source is read once. A group
-    without any value gives no row.
+    rows are counted per cell, the cells that contain a wanted rank are picked, and only the
+    rows in those are ordered. The rows are scanned three times but never shuffled: each scan is
+    folded on the map side. A group without any value gives no row.
     """
     keys = list(group_cols)
-    counted = (
-        df.select(*keys, clean_double(F.col(value_col)).alias("__v"))
-        .filter("__v IS NOT NULL")
-        .groupBy(*keys, "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
+    values = df.select(*keys, clean_double(F.col(value_col)).alias("__v")).filter("__v IS NOT NULL")
+    totals = settle(
+        values.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"), anchor_of(F.col("__v")).alias("__anchor"))
     )
-    totals = counted.groupBy(*keys).agg(F.sum("__n").alias("__total"), anchor_of(F.col("__v")).alias("__anchor"))
-    placed = (
-        attach(counted, totals, keys)
-        .withColumn("__cell", cell_of(F.col("__v"), F.col("__anchor")))
-        .drop("__anchor")
+    placed = attach(values, totals, keys).select(
+        *keys, "__v", "__total", cell_of(F.col("__v"), F.col("__anchor")).alias("__cell")
     )
 
-    cells = placed.groupBy(*keys, "__cell").agg(F.sum("__n").alias("__n"), F.first("__total").alias("__total"))
+    cells = placed.groupBy(*keys, "__cell").agg(F.count(F.lit(1)).alias("__n"), F.max("__total").alias("__total"))
     across = _running(Window.partitionBy(*keys).orderBy("__cell"))
     cells = cells.select("*", (F.sum("__n").over(across) - F.col("__n")).alias("__before"))
 
@@ -68,20 +63,24 @@ def quantiles(
         return F.filter(wants, lambda t: holds(t["rank"]))
 
     any_wanted = reduce(lambda a, b: a | b, (holds(t["rank"]) for t in wanted))
-    hits = cells.filter(any_wanted).select(
-        *keys, "__cell", "__total", F.col("__before").alias("__start"), within(F.array(*wanted)).alias("__wants")
+    hits = settle(
+        cells.filter(any_wanted).select(
+            *keys, "__cell", F.col("__before").alias("__start"), within(F.array(*wanted)).alias("__wants")
+        )
     )
-    # Two cells per quantile and group: a fixed handful without groups, otherwise measured at run time.
-    inside = attach(
-        placed.select(*keys, "__cell", "__v", "__n"), hits if keys else F.broadcast(hits), [*keys, "__cell"], how="inner"
+    counted = (
+        attach(placed, hits.select(*keys, "__cell"), [*keys, "__cell"], how="inner")
+        .groupBy(*keys, "__cell", "__v")
+        .agg(F.count(F.lit(1)).alias("__n"), F.max("__total").alias("__total"))
     )
+    inside = attach(counted, hits, [*keys, "__cell"])
     w = _running(Window.partitionBy(*keys, "__cell").orderBy("__v"))
     found = (
         inside.select("*", (F.col("__start") + F.sum("__n").over(w) - F.col("__n")).alias("__before"))
         .select(*keys, "__v", "__total", F.inline(within(F.col("__wants"))))
     )
     picked = found.groupBy(*keys).agg(
-        F.first("__total").alias("__total"),
+        F.max("__total").alias("__total"),
         *[
             F.max(F.when((F.col("name") == name) & (F.col("end") == end), F.col("__v"))).alias(f"{name}__{end}")
             for name in probs
@@ -126,7 +125,7 @@ def number_rows(
     placed = df.withColumn("__cell", time_cell(df, order_cols[0]) if cell is None else cell)
     counts = placed.groupBy(*keys, "__cell").agg(F.count(F.lit(1)).alias("__n"))
     across = _running(Window.partitionBy(*keys).orderBy("__cell"))
-    starts = counts.select(*keys, "__cell", (F.sum("__n").over(across) - F.col("__n")).alias("__start"))
+    starts = settle(counts.select(*keys, "__cell", (F.sum("__n").over(across) - F.col("__n")).alias("__start")))
     w = Window.partitionBy(*keys, "__cell").orderBy(*order_cols)
     numbered = placed.withColumn("__local", F.row_number().over(w).cast("bigint"))
     return attach(numbered, starts, [*keys, "__cell"]).select(
@@ -153,8 +152,10 @@ def key_at_share(
         "__n",
         F.floor(F.sum("__n").over(group) * F.lit(float(share))).cast("bigint").alias("__take"),
     )
-    cut = located.filter("__upto >= __take AND __upto - __n < __take").select(
-        *keys, "__cell", (F.col("__take") - F.col("__upto") + F.col("__n")).alias("__nth")
+    cut = settle(
+        located.filter("__upto >= __take AND __upto - __n < __take").select(
+            *keys, "__cell", (F.col("__take") - F.col("__upto") + F.col("__n")).alias("__nth")
+        )
     )
     inside = attach(placed, cut, [*keys, "__cell"], how="inner")
     w = Window.partitionBy(*keys, "__cell").orderBy(*order_cols)

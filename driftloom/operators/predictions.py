@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from driftloom.functions.attach import attach
 from driftloom.operators.drift import P_CUTOFF, ks_test
 from driftloom.operators.ordering import clean_double, quantiles
+from driftloom.sources.scratch import settle
 
 # Fences at 1.5 interquartile ranges, and the outlier share that is an anomaly.
 FENCE = 1.5
@@ -32,15 +33,17 @@ def iqr_outliers(
     keys = list(group_cols)
     quartiles = quantiles(df, value_col, {"q1": 0.25, "q3": 0.75}, keys)
     spread = F.col("q3") - F.col("q1")
-    fences = quartiles.select(
-        "*", (F.col("q1") - fence * spread).alias("lower_bound"), (F.col("q3") + fence * spread).alias("upper_bound")
+    fences = settle(
+        quartiles.select(
+            "*", (F.col("q1") - fence * spread).alias("lower_bound"), (F.col("q3") + fence * spread).alias("upper_bound")
+        )
     )
     value = clean_double(F.col(value_col))
     counted = (
         attach(df.select(*keys, value.alias("__v")), fences, keys)
         .groupBy(*keys)
         .agg(
-            *[F.first(c).alias(c) for c in ("q1", "q3", "lower_bound", "upper_bound")],
+            *[F.max(c).alias(c) for c in ("q1", "q3", "lower_bound", "upper_bound")],
             F.count_if((F.col("__v") < F.col("lower_bound")) | (F.col("__v") > F.col("upper_bound"))).alias("outlier_count"),
             F.try_divide(
                 F.count_if((F.col("__v") < F.col("lower_bound")) | (F.col("__v") > F.col("upper_bound"))).cast("double"),

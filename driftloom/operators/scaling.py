@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftloom.functions.attach import attach
+from driftloom.sources.scratch import settle
 
 
 def scaler_fit(df: DataFrame, features: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
@@ -15,7 +16,7 @@ def scaler_fit(df: DataFrame, features: Sequence[str], group_cols: Sequence[str]
     stats = []
     for c in features:
         stats += [F.avg(F.col(c).cast("double")).alias(f"{c}__mean"), F.stddev_pop(F.col(c).cast("double")).alias(f"{c}__std")]
-    return df.groupBy(*group_cols).agg(*stats)
+    return settle(df.groupBy(*group_cols).agg(*stats))
 
 
 def standardise(df: DataFrame, scaler: DataFrame, features: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:

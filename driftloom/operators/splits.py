@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from driftloom.functions.attach import attach
 from driftloom.functions.naming import WEEK
 from driftloom.operators.ordering import key_at_share
+from driftloom.sources.scratch import settle
 
 # Multiplicative hashing (Knuth): a prime modulus, the 32-bit golden-ratio multiplier, 2^32.
 PRIME = 2147483647
@@ -30,7 +31,7 @@ def temporal_split(
     counts (one row per group) and every row is compared with it. `order_cols` must identify a
     row within its group, otherwise rows tied with that last key all count as training rows.
     """
-    last = key_at_share(df, order_cols, train_share, group_cols, cell)
+    last = settle(key_at_share(df, order_cols, train_share, group_cols, cell))
     marked = attach(df, last, group_cols)
     split = F.when(F.struct(*order_cols) <= F.col("last_key"), F.lit("train")).otherwise(F.lit("test"))
     return marked.select(*df.columns, split.alias("split"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftloom.functions.attach import attach
-from driftloom.operators.gates import default_thresholds, gate_compared, retrain_decision, threshold_gate, verdict
+from driftloom.operators.gates import default_thresholds, retrain_decision, verdict_of
 from driftloom.operators.metrics import (
     VALIDATION_METRICS,
     baseline_predictions,
@@ -28,20 +28,18 @@ def validation_metrics(
     return regression_metrics(df, label, prediction, group_cols, VALIDATION_METRICS)
 
 
-def validate_run(
+def compare_with_baseline(
     scored: DataFrame,
     label: str,
     prediction: str = "prediction",
     group_cols: Sequence[str] = (),
     model_type: str = "regression",
-    thresholds: Mapping[str, float] | None = None,
     train: DataFrame | None = None,
     previous: str | None = None,
 ) -> DataFrame:
-    """One verdict row per segment for the scored test rows.
+    """Per segment and metric: the candidate's `value`, the `baseline_value` and its `baseline_source`.
 
-    The baseline is the previous model's prediction column where given and complete, otherwise
-    the mean or majority label of `train`, which is then required.
+    Every row is listed once as candidate and once as baseline, so one pass measures both.
     """
     keys = list(group_cols)
     if train is None and previous is None:
@@ -51,7 +49,6 @@ def validate_run(
     else:
         naive = (majority_baseline if model_type == "classification" else mean_baseline)(train, label, keys)
         based = baseline_predictions(scored, naive, keys, previous)
-    # Every row is listed once as candidate and once as baseline: one pass measures both.
     listed = based.select(
         *keys,
         label,
@@ -64,14 +61,32 @@ def validate_run(
     )
     measured = validation_metrics(listed, label, "__p", [*keys, "__role"], model_type)
     is_candidate = F.col("__role") == "candidate"
-    compared = measured.groupBy(*keys, "metric").agg(
+    return measured.groupBy(*keys, "metric").agg(
         F.max(F.when(is_candidate, F.col("value"))).alias("value"),
         F.max(F.when(~is_candidate, F.col("value"))).alias("baseline_value"),
         F.max(F.when(~is_candidate, F.col("__role"))).alias("baseline_source"),
     )
-    checks = threshold_gate(compared, default_thresholds(model_type, thresholds), keys)
-    source = compared.groupBy(*keys).agg(F.max("baseline_source").alias("baseline_source"))
-    return attach(verdict(checks, gate_compared(compared, keys), keys), source, keys)
+
+
+def validate_run(
+    scored: DataFrame,
+    label: str,
+    prediction: str = "prediction",
+    group_cols: Sequence[str] = (),
+    model_type: str = "regression",
+    thresholds: Mapping[str, float] | None = None,
+    train: DataFrame | None = None,
+    previous: str | None = None,
+) -> DataFrame:
+    """One verdict row per segment for the scored test rows.
+
+    The baseline is the previous model's prediction column where given and complete, otherwise
+    the mean or majority label of `train`, which is then required.
+    """
+    compared = compare_with_baseline(scored, label, prediction, group_cols, model_type, train, previous)
+    limits = default_thresholds(model_type, thresholds)
+    source = compared.groupBy(*group_cols).agg(F.max("baseline_source").alias("baseline_source"))
+    return attach(verdict_of(compared, limits, group_cols), source, group_cols)
 
 
 def retrain_run(

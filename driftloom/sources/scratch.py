@@ -16,6 +16,8 @@ def scratch_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
         chosen = tempfile.mkdtemp(prefix="driftloom-")
@@ -31,8 +33,18 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute now, keep in the shared folder, and cut the lineage there."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_dir(spark))
+    """Compute now and read back from Parquet in the shared folder.
+
+    Besides cutting the lineage this tells the optimizer the frame's true size: a later join
+    with large rows broadcasts it when its files are below the broadcast threshold and shuffles
+    otherwise, instead of shuffling the rows before finding out.
+    """
+    path = fresh_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_partitioned(df: DataFrame) -> DataFrame:
+    """Compute now into a checkpoint, which remembers how its rows are partitioned."""
+    scratch_dir(df.sparkSession)
     return df.checkpoint(eager=True)
