@@ -6,7 +6,7 @@ one `coef_<feature>` column per feature. Every fit returns a settled table.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -95,19 +95,19 @@ def passive_aggressive_pass(
     """One online pass over the rows in the given order; changes `w`, returns (intercept, summed loss).
 
     A row within epsilon of its prediction changes nothing; otherwise the weights move just far
-    enough to fit it, by at most `aggressiveness` (PA-I, Crammer et al. 2006).
+    enough to fit it, by at most `aggressiveness` (PA-I, Crammer et al. 2006). The intercept is
+    the weight of a constant feature, so a step never overshoots the row it is made for.
     """
-    squared = np.einsum("ij,ij->i", x, x)
+    squared = np.einsum("ij,ij->i", x, x) + 1.0
     lost = 0.0
     for i in order:
         error = y[i] - (x[i] @ w + b)
         loss = abs(error) - epsilon
         if loss > 0:
             lost += loss
-            if squared[i] > 0:
-                step = np.copysign(min(aggressiveness, loss / squared[i]), error)
-                w += step * x[i]
-                b += step
+            step = np.copysign(min(aggressiveness, loss / squared[i]), error)
+            w += step * x[i]
+            b += step
     return b, lost
 
 
@@ -130,37 +130,35 @@ def fit_passive_aggressive(
 
     The algorithm is sequential by nature. A group of up to `rows_per_shard` rows is fitted as
     such, in one task. A larger group is cut into shards by the hash of its key: every round
-    each shard makes one pass from the group's current weights, and the shards' weights are
-    averaged by size (iterative parameter mixing, McDonald et al. 2010). That is an approximation
-    of the sequential fit, marked by `shards > 1` in the result. Rows are ordered by `key_cols`
-    before a seeded shuffle, so the result does not depend on the data's layout.
+    each shard makes one pass from the group's current weights, streaming its rows, and the
+    shards' weights are averaged by size (iterative parameter mixing, McDonald et al. 2010),
+    until no large group's mean loss falls by `tolerance` or `rounds` have been made. That is
+    an approximation of the sequential fit, marked by `shards > 1` in the result. Rows are
+    ordered by `key_cols` before a seeded shuffle, so the result does not depend on the data's
+    layout.
     """
     keys, by = list(group_cols), list(key_cols) or list(features)
     numbers = [f"__x_{c}" for c in features]
     extra = [f"__k{i}" for i in range(len(by))]
+    coefs = [coef(c) for c in features]
     clean = df.select(
         *keys,
         *[F.col(c).alias(k) for c, k in zip(by, extra)],
         *[F.col(c).cast("double").alias(n) for c, n in zip(features, numbers)],
         F.col(label).cast("double").alias("__y"),
     ).dropna(subset=[*numbers, "__y"])
-    shards = F.ceil(F.count(F.lit(1)) / rows_per_shard).cast("int")
-    sizes = settle(clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), shards.alias("__shards")))
-    placed = attach(clean, sizes.select(*keys, "__shards"), keys)
-    placed = placed.withColumn("__shard", F.pmod(F.xxhash64(*extra), F.col("__shards")).cast("int"))
-    rows = placed.repartition(*keys, "__shard")
-    unit = [*keys, "__shard"]
-
-    coefs = [coef(c) for c in features]
-    result_type = T.StructType(
-        [df.schema[k] for k in keys]
-        + [T.StructField(n, T.DoubleType()) for n in ("intercept", *coefs, "loss")]
-        + [T.StructField("rows", T.LongType())]
+    # One row per group with a number that stands for its keys; fixed once it is written.
+    sizes = clean.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_shard).cast("int").alias("shards"))
+    groups = settle(sizes.withColumn("__group", F.monotonically_increasing_id()))
+    placed = attach(clean, groups, keys)
+    fit_type = T.StructType(
+        [T.StructField("__group", T.LongType())]
+        + [T.StructField(n, T.DoubleType()) for n in ("intercept", *coefs, "__loss")]
+        + [T.StructField("__rows", T.LongType())]
     )
 
-    def result_row(group: pd.DataFrame, w: np.ndarray, b: float, lost: float) -> pd.DataFrame:
-        row = {k: group[k].iloc[0] for k in keys} | dict(zip(coefs, w)) | {"intercept": b, "loss": lost, "rows": len(group)}
-        return pd.DataFrame([row])[[f.name for f in result_type.fields]]
+    def fit_row(group: int, w: np.ndarray, b: float, lost: float, rows: int) -> pd.DataFrame:
+        return pd.DataFrame([[group, b, *w, lost, rows]], columns=fit_type.names)
 
     def whole_fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(extra, kind="stable")
@@ -174,32 +172,50 @@ def fit_passive_aggressive(
             best = min(best, lost)
             if idle >= patience:
                 break
-        return result_row(group, w, b, lost)
-
-    def one_pass(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(extra, kind="stable")
-        x, y = group[numbers].to_numpy(float), group["__y"].to_numpy(float)
-        start = group.iloc[0]
-        w, b = start[coefs].to_numpy(float).copy(), float(start["intercept"])
-        order = np.random.default_rng([seed, int(start["__round"])]).permutation(len(y))
-        b, lost = passive_aggressive_pass(x, y, w, b, order, aggressiveness, epsilon)
-        return result_row(group, w, b, lost)
-
-    small = rows.filter("__shards = 1").groupBy(*unit).applyInPandas(whole_fit, result_type)
-    parts = [small.select(*keys, "intercept", *coefs, F.lit(1).alias("shards"))]
-    large = sizes.filter("__shards > 1")
+        return fit_row(group["__group"].iloc[0], w, b, lost, len(y))
+
+    def shard_passes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One pass per shard over a partition whose rows come shard by shard, batch by batch."""
+        current, state = None, None
+        for batch in batches:
+            for unit, block in batch.groupby(["__group", "__shard"], sort=False):
+                if unit != current:
+                    if state is not None:
+                        yield fit_row(current[0], *state)
+                    start = block.iloc[0]
+                    current, state = unit, (start[coefs].to_numpy(float).copy(), float(start["intercept"]), 0.0, 0)
+                w, b, lost, rows = state
+                x, y = block[numbers].to_numpy(float), block["__y"].to_numpy(float)
+                b, more = passive_aggressive_pass(x, y, w, b, np.arange(len(y)), aggressiveness, epsilon)
+                state = (w, b, lost + more, rows + len(y))
+        if state is not None:
+            yield fit_row(current[0], *state)
+
+    fitted = placed.filter("shards = 1").groupBy("__group").applyInPandas(whole_fit, fit_type).select("__group", "intercept", *coefs)
+    large = groups.filter("shards > 1")
     if not large.isEmpty():
-        # Written once, already divided into shards; every round reads it back.
-        shard_rows = settle_partitioned(rows.filter("__shards > 1"))
-        weights = large.select(*keys, F.lit(0.0).alias("intercept"), *[F.lit(0.0).alias(c) for c in coefs])
-        for number in range(rounds):
-            started = attach(shard_rows, weights, keys).withColumn("__round", F.lit(number))
-            passed = started.groupBy(*unit).applyInPandas(one_pass, result_type)
-            mixed = [(F.sum(F.col(c) * F.col("rows")) / F.sum("rows")).alias(c) for c in ("intercept", *coefs)]
-            weights = settle(passed.groupBy(*keys).agg(*mixed))
-        parts.append(attach(weights, large.select(*keys, F.col("__shards").alias("shards")), keys))
-    fitted = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return settle(fitted.select(*keys, "intercept", *coefs, "shards"))
+        # Divided into shards, put in a seeded order and stored once; every round streams it back.
+        shard = F.pmod(F.xxhash64(*extra), F.col("shards")).cast("int")
+        shuffled = [F.xxhash64(F.lit(seed), *extra), *extra]
+        shard_rows = settle_partitioned(
+            placed.filter("shards > 1")
+            .withColumn("__shard", shard)
+            .repartition("__group", "__shard")
+            .sortWithinPartitions("__group", "__shard", *shuffled)
+            .select("__group", "__shard", *numbers, "__y")
+        )
+        zeros = [F.lit(0.0).alias(c) for c in ("intercept", *coefs)]
+        weights = large.select("__group", *zeros, F.lit(float("inf")).alias("__loss"))
+        for _ in range(rounds):
+            passed = attach(shard_rows, weights.drop("__loss"), ["__group"]).mapInPandas(shard_passes, fit_type)
+            mixed = [(F.sum(F.col(c) * F.col("__rows")) / F.sum("__rows")).alias(c) for c in ("intercept", *coefs)]
+            mean_loss = (F.sum("__loss") / F.sum("__rows")).alias("__loss")
+            previous = weights.select("__group", F.col("__loss").alias("__previous"))
+            weights = settle(passed.groupBy("__group").agg(*mixed, mean_loss))
+            if attach(weights, previous, ["__group"]).filter(F.col("__previous") - F.col("__loss") > tolerance).isEmpty():
+                break
+        fitted = fitted.unionByName(weights.drop("__loss"))
+    return settle(attach(fitted, groups, ["__group"], how="inner").select(*keys, "intercept", *coefs, "shards"))
 
 
 def fit_scaled(fit: Fit) -> Fit:
