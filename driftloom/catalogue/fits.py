@@ -141,7 +141,7 @@ def pa_fit_global_lineitem(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem")
 
     def fit(df, features, label, group_cols=()):
-        return fit_passive_aggressive(df, features, label, group_cols, ROW, rows_per_shard=20_000, rounds=3)
+        return fit_passive_aggressive(df, features, label, group_cols, ROW, rows_per_shard=20_000, rounds=6)
 
     return fit_scaled(fit)(rows, MANY, "l_extendedprice", ())
 

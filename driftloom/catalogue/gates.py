@@ -12,7 +12,7 @@ from driftloom.plans.validation import compare_with_baseline, retrain_run, valid
 
 SEGMENT = ["l_returnflag", "l_linestatus"]
 # Gates loose enough for some segments to pass and others to fail; f1 is not a regression metric.
-GATES = {"r2": -0.0005, "mape": 1.35, "f1": 0.5}
+GATES = {"r2": -0.0005, "mape": 1.8, "f1": 0.5}
 LABEL, SLOPE = "l_extendedprice", "l_quantity"
 
 
@@ -59,15 +59,15 @@ def classification_verdict_orders(spark, sf_dir):
 
 
 def retrain_decision_lineitem(spark, sf_dir):
-    """The champion is a flat price per unit; the challenger is the fitted line."""
+    """The champion is one flat price for all; the challenger is the fitted line."""
     train, scored = _scored(spark, sf_dir)
-    both = scored.withColumn("champion", F.lit(40000.0) + 500.0 * F.col(SLOPE))
+    both = scored.withColumn("champion", F.lit(53000.0))
     return retrain_run(both, LABEL, "champion", "prediction", train, SEGMENT, thresholds=GATES)
 
 
 TESTED = f"""x AS ({SPLIT_LINES}), f AS (SELECT l_returnflag, l_linestatus, regr_intercept(l_extendedprice, l_quantity) AS b,
   regr_slope(l_extendedprice, l_quantity) AS w, avg(l_extendedprice) AS naive FROM x WHERE split = 'train' GROUP BY 1, 2),
-s AS (SELECT x.l_returnflag, x.l_linestatus, l_extendedprice AS y, b + w * l_quantity AS p, naive AS q, 40000 + 500 * l_quantity AS c
+s AS (SELECT x.l_returnflag, x.l_linestatus, l_extendedprice AS y, b + w * l_quantity AS p, naive AS q, 53000.0::DOUBLE AS c
   FROM x JOIN f USING (l_returnflag, l_linestatus) WHERE split = 'test')"""
 KEYS = "l_returnflag, l_linestatus"
 

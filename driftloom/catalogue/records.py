@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from driftloom.catalogue.common import Query, r, rounded, table
 from driftloom.catalogue.fits import FIT, ROW, _line_fit
-from driftloom.catalogue.watching import monitoring_report_lineitem
 from driftloom.catalogue.watching import QUERIES as WATCHING
+from driftloom.catalogue.watching import report_lineitem
 from driftloom.operators.logstate import (
     append_versions,
     fold_attributes,
@@ -21,6 +21,7 @@ from driftloom.operators.logstate import (
     number_versions,
     without_deleted,
 )
+from driftloom.operators.reports import monitoring_rows
 from driftloom.sources.files import read_files, write_files
 from driftloom.sources.scratch import fresh_path, settle
 from driftloom.sources.tables import append_rows, from_sql, read_table, upsert_table, write_table
@@ -74,10 +75,9 @@ def upsert_partitioned_customer(spark, sf_dir):
 def append_monitoring_lineitem(spark, sf_dir):
     name = _fresh_table("monitoring")
     path = fresh_path(spark, name)
-    report = settle(monitoring_report_lineitem(spark, sf_dir).drop("degradation_detected", "degraded_metrics", "anomaly_detected"))
+    report = settle(report_lineitem(spark, sf_dir))
     for version in (1, 2):
-        rows = report.withColumn("model_version", F.lit(version)).withColumn("monitoring_timestamp", F.lit(datetime(2001, 11, 4)))
-        append_rows(rows, name, path=path)
+        append_rows(monitoring_rows(report, "price", version, ["l_returnflag"], datetime(2001, 11, 4)), name, path=path)
     return read_table(spark, name)
 
 
@@ -170,6 +170,10 @@ UPSERTED = f"""SELECT c_custkey, c_name, c_nationkey, {r("CASE WHEN c_mktsegment
   c_mktsegment, CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN 2 END AS INTEGER) AS step FROM customer
 UNION ALL SELECT -1 - s_suppkey, s_name, s_nationkey, {r('s_acctbal', 2, 'c_acctbal')}, 'SUPPLIER', 1 FROM supplier"""
 
+# The report's alerts, `type:severity:message` joined by semicolons, as JSON objects.
+ALERT_JSON = """array_to_string(list_transform(string_split(alerts, ';'), lambda a: '{"type":"' || split_part(a, ':', 1)
+  || '","severity":"' || split_part(a, ':', 2) || '","message":"' || split_part(a, ':', 3) || '"}'), ',')"""
+
 QUERIES: dict[str, Query] = {
     "table_roundtrip_orders": (table_roundtrip_orders, "SELECT * FROM orders"),
     "upsert_customer": (upsert_customer, UPSERTED),
@@ -177,8 +181,9 @@ QUERIES: dict[str, Query] = {
     "append_monitoring_lineitem": (
         append_monitoring_lineitem,
         f"""WITH rep AS ({WATCHING['monitoring_report_lineitem'][1]})
-        SELECT l_returnflag, overall_status, drift_detected, drifted_features, alerts, CAST(v AS INTEGER) AS model_version,
-        TIMESTAMP '2001-11-04' AS monitoring_timestamp FROM rep, (VALUES (1), (2)) AS n(v)""",
+        SELECT 'price' AS model_name, CAST(v AS INTEGER) AS model_version, l_returnflag, TIMESTAMP '2001-11-04' AS monitoring_timestamp,
+          overall_status, drift_detected, drifted_features, CASE WHEN alerts = '' THEN '[]' ELSE '[' || {ALERT_JSON} || ']' END AS alerts
+        FROM rep, (VALUES (1), (2)) AS n(v)""",
     ),
     "csv_roundtrip_events": (csv_roundtrip_events, "SELECT * FROM events"),
     "json_roundtrip_events": (json_roundtrip_events, "SELECT * FROM events"),

@@ -107,9 +107,9 @@ def degradation_lineitem(spark, sf_dir):
     return rounded(degradation_of(compared, ["l_returnflag"]), 4, "current", "baseline", "degradation")
 
 
-def monitoring_report_lineitem(spark, sf_dir):
+def report_lineitem(spark, sf_dir):
     is_ref, is_cur = samples_by_date("l_shipdate", DAYS, AS_OF)
-    report = monitor_run(
+    return monitor_run(
         scored_lineitem(spark, sf_dir),
         REPORT_FEATURES,
         is_ref,
@@ -118,7 +118,10 @@ def monitoring_report_lineitem(spark, sf_dir):
         group_cols=["l_returnflag"],
         method="asymptotic",
     )
-    return report.select(
+
+
+def monitoring_report_lineitem(spark, sf_dir):
+    return report_lineitem(spark, sf_dir).select(
         "l_returnflag",
         "overall_status",
         "drift_detected",

@@ -28,6 +28,11 @@ def validation_metrics(
     return regression_metrics(df, label, prediction, group_cols, VALIDATION_METRICS)
 
 
+def naive_baseline(train: DataFrame, label: str, group_cols: Sequence[str] = (), model_type: str = "regression") -> DataFrame:
+    """The majority label or the mean label of the training rows, by kind of model."""
+    return (majority_baseline if model_type == "classification" else mean_baseline)(train, label, group_cols)
+
+
 def compare_with_baseline(
     scored: DataFrame,
     label: str,
@@ -36,18 +41,21 @@ def compare_with_baseline(
     model_type: str = "regression",
     train: DataFrame | None = None,
     previous: str | None = None,
+    naive: DataFrame | None = None,
 ) -> DataFrame:
     """Per segment and metric: the candidate's `value`, the `baseline_value` and its `baseline_source`.
 
     Every row is listed once as candidate and once as baseline, so one pass measures both.
+    `naive` may hold the naive predictions of `train` when they are known already.
     """
     keys = list(group_cols)
-    if train is None and previous is None:
+    if train is not None and naive is None:
+        naive = naive_baseline(train, label, keys, model_type)
+    if naive is None and previous is None:
         raise ValueError("train rows are required when there is no previous prediction to compare with")
-    if train is None:
+    if naive is None:
         based = scored.select("*", F.col(previous).alias("baseline"), F.lit("previous_model").alias("baseline_source"))
     else:
-        naive = (majority_baseline if model_type == "classification" else mean_baseline)(train, label, keys)
         based = baseline_predictions(scored, naive, keys, previous)
     listed = based.select(
         *keys,
@@ -77,13 +85,14 @@ def validate_run(
     thresholds: Mapping[str, float] | None = None,
     train: DataFrame | None = None,
     previous: str | None = None,
+    naive: DataFrame | None = None,
 ) -> DataFrame:
     """One verdict row per segment for the scored test rows.
 
     The baseline is the previous model's prediction column where given and complete, otherwise
     the mean or majority label of `train`, which is then required.
     """
-    compared = compare_with_baseline(scored, label, prediction, group_cols, model_type, train, previous)
+    compared = compare_with_baseline(scored, label, prediction, group_cols, model_type, train, previous, naive)
     limits = default_thresholds(model_type, thresholds)
     source = compared.groupBy(*group_cols).agg(F.max("baseline_source").alias("baseline_source"))
     return attach(verdict_of(compared, limits, group_cols), source, group_cols)
@@ -104,6 +113,7 @@ def retrain_run(
     The champion is held against the naive baseline and the challenger against the champion, so
     that neither is compared with itself.
     """
-    held = validate_run(scored, label, champion, group_cols, model_type, thresholds, train)
-    offered = validate_run(scored, label, challenger, group_cols, model_type, thresholds, train, previous=champion)
+    naive = naive_baseline(train, label, group_cols, model_type)
+    held = validate_run(scored, label, champion, group_cols, model_type, thresholds, naive=naive)
+    offered = validate_run(scored, label, challenger, group_cols, model_type, thresholds, previous=champion, naive=naive)
     return retrain_decision(held, offered, group_cols)

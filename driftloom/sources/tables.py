@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from driftloom.functions.attach import same_keys
 from driftloom.operators.logstate import latest_records
-from driftloom.sources.scratch import fresh_path
+from driftloom.sources.scratch import fresh_path, settle
 
 DEFAULT_FORMAT = "parquet"
 
@@ -54,7 +54,16 @@ def merge_rows(old: DataFrame, new: DataFrame, keys: Sequence[str], order_cols:
 
     Of several new rows with one key the last in `order_cols` wins.
     """
-    newest = latest_records(new, keys, order_cols) if order_cols else new.dropDuplicates(list(keys))
+    return replace_rows(old, newest_rows(new, keys, order_cols), keys)
+
+
+def newest_rows(new: DataFrame, keys: Sequence[str], order_cols: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the last in `order_cols`, or any one of them where none are given."""
+    return latest_records(new, keys, order_cols) if order_cols else new.dropDuplicates(list(keys))
+
+
+def replace_rows(old: DataFrame, newest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`merge_rows` for new rows that are already unique by key."""
     hidden = [f"__key_{k}" for k in keys]
     replaced = newest.select(*[F.col(k).alias(h) for k, h in zip(keys, hidden)])
     kept = old.join(replaced, same_keys(keys, hidden), "left_anti")
@@ -84,24 +93,26 @@ def upsert_table(
     """
     spark = df.sparkSession
     if overwrite or not spark.catalog.tableExists(name):
-        newest = df if overwrite else (latest_records(df, keys, order_cols) if order_cols else df.dropDuplicates(list(keys)))
-        write_table(newest, name, fmt=fmt, partition_by=[partition_col] if partition_col else [])
+        rows = df if overwrite else newest_rows(df, keys, order_cols)
+        write_table(rows, name, fmt=fmt, partition_by=[partition_col] if partition_col else [])
         return
     old = spark.table(name)
     added = [f for f in df.schema.fields if f.name not in old.columns]
+    # Stored first, so that a small change is broadcast and the old rows are not shuffled for it.
+    newest = settle(newest_rows(df, keys, order_cols))
     if partition_col is None:
         base = table_location(spark, name).rstrip("/").split("__v_")[0]
         target = f"{base}__v_{uuid.uuid4().hex}"
-        merge_rows(old, df, keys, order_cols).write.format(fmt).save(target)
+        replace_rows(old, newest, keys).write.format(fmt).save(target)
         _add_columns(spark, name, added)
         spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_text(target)}")
     else:
         if partition_col not in keys:
             raise ValueError(f"partition column {partition_col!r} must be one of the keys")
-        touched = df.select(F.col(partition_col).alias("__part")).distinct()
+        touched = newest.select(F.col(partition_col).alias("__part")).distinct()
         affected = old.join(touched, F.col(partition_col).eqNullSafe(F.col("__part")), "left_semi")
         staged = fresh_path(spark, "upsert")
-        merge_rows(affected, df, keys, order_cols).write.format(fmt).save(staged)
+        replace_rows(affected, newest, keys).write.format(fmt).save(staged)
         _add_columns(spark, name, added)
         merged = spark.read.format(fmt).load(staged).select(*spark.table(name).columns)
         with _dynamic_overwrite(spark):

@@ -63,8 +63,8 @@ def test_pass_moves_no_further_than_allowed():
     assert (w[0], b, lost) == (0.9, 0.9, pytest.approx(99.99))
     b, lost = mo.passive_aggressive_pass(np.array([[0.0]]), np.array([5.0]), w, 0.0, np.array([0]), 0.9, 0.01)
     assert (w[0], b) == (0.9, 0.9)
-    b, lost = mo.passive_aggressive_pass(np.array([[0.1]]), np.array([2.0]), w, b, np.array([0]), 0.9, 0.01)
-    assert abs(2.0 - (0.1 * w[0] + b)) <= 0.0100001
+    b, lost = mo.passive_aggressive_pass(np.array([[0.1]]), np.array([1.5]), w, b, np.array([0]), 0.9, 0.01)
+    assert abs(1.5 - (0.1 * w[0] + b)) <= 0.0100001
 
 
 def test_least_squares_and_single_feature(spark):
