@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Cells per e-fold of distance from the anchor: each spans about 0.012 % of that distance.
-CELLS_PER_FOLD = 8192
+FEWEST_PER_FOLD, MOST_PER_FOLD = 16, 1 << 17
 # ln of the smallest positive double is -744.44, so folds shifted by this stay positive.
 FOLD_SHIFT = 746
 FAR_CELL = 1 << 40
@@ -29,7 +28,17 @@ def anchor_of(value: Column) -> Column:
     return F.coalesce(F.min_by(finite, F.when(finite.isNotNull(), F.xxhash64(finite))), F.lit(0.0))
 
 
-def cell_of(value: Column, anchor: Column) -> Column:
+def cells_per_fold(n: Column) -> Column:
+    """Cells per e-fold of distance for a group of n values.
+
+    Growing with the square root of n keeps both levels short: the values inside a cell and
+    the cells of a group.
+    """
+    wanted = F.ceil(F.sqrt(n.cast("double")) / 4)
+    return F.greatest(F.lit(FEWEST_PER_FOLD), F.least(F.lit(MOST_PER_FOLD), wanted)).cast("bigint")
+
+
+def cell_of(value: Column, anchor: Column, per_fold: Column) -> Column:
     """Cell number of a double: logarithmic in its distance from the anchor, on both sides.
 
     Logarithmic spacing keeps outliers from flattening the bulk into one cell, and measuring
@@ -37,7 +46,7 @@ def cell_of(value: Column, anchor: Column) -> Column:
     """
     gap = value - anchor
     far = F.abs(gap) == F.lit(float("inf"))
-    fold = F.floor(F.ln(F.abs(gap)) * CELLS_PER_FOLD).cast("bigint") + F.lit(FOLD_SHIFT * CELLS_PER_FOLD)
+    fold = F.floor(F.ln(F.abs(gap)) * per_fold).cast("bigint") + F.lit(FOLD_SHIFT) * per_fold
     side = F.when(gap > 0, F.lit(1)).otherwise(F.lit(-1))
     return (
         F.when(value.isNull(), F.lit(None).cast("bigint"))

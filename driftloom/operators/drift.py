@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftloom.functions.attach import attach
-from driftloom.functions.cells import anchor_of, cell_of
+from driftloom.functions.cells import anchor_of, cell_of, cells_per_fold
 from driftloom.functions.pvalues import chi_square_p, ks_p_asymptotic, ks_p_exact
 from driftloom.operators.ordering import clean_double
 from driftloom.sources.scratch import settle
@@ -70,22 +70,24 @@ def sample_sizes(
     return settle(wide.select(*keys, F.inline(F.array(*rows))))
 
 
-def _listed(
+def _value_counts(
     df: DataFrame, features: Sequence[str], is_ref: Column, is_cur: Column, sizes: DataFrame, group_cols: Sequence[str]
 ) -> DataFrame:
-    """Every value of every feature as a row of its own, beside its feature's sample sizes."""
-    keys = list(group_cols)
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), _typed(df, c).alias("value")) for c in features])
-    listed = df.filter(is_ref | is_cur).select(*keys, is_ref.alias("__ref"), is_cur.alias("__cur"), F.inline(pairs))
-    usable = sizes.filter("n_ref > 0 AND n_cur > 0").withColumnsRenamed({"n_ref": "__n", "n_cur": "__m"})
-    return attach(listed.filter("value IS NOT NULL"), usable, [*keys, "feature"], how="inner")
-
+    """Both samples' counts of every value of every feature, beside the feature's sample sizes.
 
-def _value_counts(listed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Both samples' counts per value, folded on the map side before anything is shuffled."""
-    return listed.groupBy(*keys).agg(
-        F.count_if("__ref").alias("__r"), F.count_if("__cur").alias("__c"), F.max("__n").alias("__n"), F.max("__m").alias("__m")
+    Values are folded on the map side before anything is shuffled or joined, so a value or a
+    group that makes up much of the data costs one row per task.
+    """
+    keys = [*group_cols, "feature"]
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), _typed(df, c).alias("value")) for c in features])
+    listed = df.filter(is_ref | is_cur).select(*group_cols, is_ref.alias("__ref"), is_cur.alias("__cur"), F.inline(pairs))
+    counts = (
+        listed.filter("value IS NOT NULL")
+        .groupBy(*keys, "value")
+        .agg(F.count_if("__ref").alias("__r"), F.count_if("__cur").alias("__c"))
     )
+    usable = sizes.filter("n_ref > 0 AND n_cur > 0").withColumnsRenamed({"n_ref": "__n", "n_cur": "__m"})
+    return attach(counts, usable, keys, how="inner")
 
 
 def _with_untested(sizes: DataFrame, features: Sequence[str], tested: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -110,15 +112,14 @@ def ks_statistic(
     """
     keys = [*group_cols, "feature"]
     sizes = sample_sizes(df, features, is_ref, is_cur, group_cols) if sizes is None else sizes
-    listed = _listed(df, features, is_ref, is_cur, sizes, group_cols)
-    placed = listed.withColumn("__cell", cell_of(F.col("value"), F.col("anchor")))
-    counts = _value_counts(placed, [*keys, "__cell", "value"])
+    counts = _value_counts(df, features, is_ref, is_cur, sizes, group_cols)
+    placed = counts.withColumn("__cell", cell_of(F.col("value"), F.col("anchor"), cells_per_fold(F.col("__n") + F.col("__m"))))
 
     def gap(r: Column, c: Column) -> Column:
         return r / F.col("__n") - c / F.col("__m")
 
     inside = Window.partitionBy(*keys, "__cell").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = counts.select("*", gap(F.sum("__r").over(inside), F.sum("__c").over(inside)).alias("__d"))
+    local = placed.select("*", gap(F.sum("__r").over(inside), F.sum("__c").over(inside)).alias("__d"))
     cells = local.groupBy(*keys, "__cell").agg(
         F.sum("__r").alias("__r"),
         F.sum("__c").alias("__c"),
@@ -150,7 +151,7 @@ def chi_square_statistic(
     """
     keys = [*group_cols, "feature"]
     sizes = sample_sizes(df, features, is_ref, is_cur, group_cols) if sizes is None else sizes
-    counts = _value_counts(_listed(df, features, is_ref, is_cur, sizes, group_cols), [*keys, "value"])
+    counts = _value_counts(df, features, is_ref, is_cur, sizes, group_cols)
     expected = F.col("__r") * F.col("__m").cast("double") / F.col("__n")
     term = F.when(F.col("__r") > 0, F.try_divide(F.pow(F.col("__c") - expected, F.lit(2.0)), expected)).otherwise(
         F.lit(float("inf"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftloom.functions.attach import attach
-from driftloom.functions.cells import anchor_of, cell_of
+from driftloom.functions.cells import anchor_of, cell_of, cells_per_fold
 from driftloom.sources.scratch import settle
 
 
@@ -35,11 +35,10 @@ def quantiles(
     """
     keys = list(group_cols)
     values = df.select(*keys, clean_double(F.col(value_col)).alias("__v")).filter("__v IS NOT NULL")
-    totals = settle(
-        values.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"), anchor_of(F.col("__v")).alias("__anchor"))
-    )
+    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"), anchor_of(F.col("__v")).alias("__anchor"))
+    totals = settle(sizes.withColumn("__fold", cells_per_fold(F.col("__total"))))
     placed = attach(values, totals, keys).select(
-        *keys, "__v", "__total", cell_of(F.col("__v"), F.col("__anchor")).alias("__cell")
+        *keys, "__v", "__total", cell_of(F.col("__v"), F.col("__anchor"), F.col("__fold")).alias("__cell")
     )
 
     cells = placed.groupBy(*keys, "__cell").agg(F.count(F.lit(1)).alias("__n"), F.max("__total").alias("__total"))
