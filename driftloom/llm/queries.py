@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftloom.llm import decontamination, embedding_cells, language, mixing, simhash, token_output
+from driftloom.llm import decontamination, embedding_cells, language, licences, mixing, pseudonyms, simhash, substrings, suffix_arrays, token_output
 from driftloom.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,19 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, count = pseudonyms.with_pseudonyms(table(spark, sf_dir, "documents").select("doc_id", "text"), pseudonyms.DEMO_KEY)
+    return rows.select("doc_id", "text", rows[count].cast("long").alias("n_replaced"))
+
+
+def op4_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_arrays.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"), licences.known_licences(spark))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_report(table(spark, sf_dir, "documents"))
 
@@ -32,6 +45,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_report(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats_report(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +75,49 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
+# Blank-separated words. Windows are told apart by their text, which no word's blank can blur.
+_PLACES = r"""
+docs AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+places AS (SELECT doc_id, i, array_to_string(w[i : i + {n} - 1], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n} + 2)) AS i FROM docs WHERE len(w) >= {n})),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY words ORDER BY doc_id, i) AS nth FROM places) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {n})) AS k FROM again)"""
+
+OP4_SQL = f"""
+WITH {_PLACES.format(n=50)},
+runs AS (SELECT doc_id, k, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS run FROM gone)
+SELECT doc_id, (min(k) - 1)::BIGINT AS first_word, count(*)::BIGINT AS n_words,
+  array_to_string(any_value(w)[min(k) : max(k)], ' ') AS passage
+FROM runs JOIN docs USING (doc_id) GROUP BY doc_id, run"""
+
+def _canonical(text: str) -> str:
+    out = f"regexp_replace(lower({text}), '{licences.COPYRIGHT_LINE}', '', 'g')"
+    for pattern, plain in licences.SPELLINGS:
+        out = f"regexp_replace({out}, '{pattern}', '{plain.replace('$', chr(92))}', 'g')"
+    return rf"regexp_replace({out}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_WHOLE = r"trim(regexp_replace({}, '[ \n]+', ' ', 'g'))"
+OP5_SQL = f"""
+WITH known AS (SELECT sha256({_WHOLE.format(_canonical("text"))}) AS digest, min(license_id) AS license_id
+  FROM (VALUES {", ".join(f"({_quoted(k)}, {_quoted(t)})" for k, t in licences.KNOWN)}) AS v(license_id, text) GROUP BY 1),
+docs AS (SELECT doc_id, {_canonical("text")} AS lines FROM documents),
+units AS (SELECT doc_id, 0 AS line, {_WHOLE.format("lines")} AS canonical FROM docs
+  UNION ALL SELECT doc_id, unnest(range(1, len(string_split(lines, chr(10))) + 1)), trim(unnest(string_split(lines, chr(10)))) FROM docs),
+rows_ AS (SELECT doc_id, line::INTEGER AS line, CASE WHEN canonical <> '' THEN sha256(canonical) END AS digest FROM units WHERE line = 0 OR canonical <> '')
+SELECT doc_id, line, r.digest, license_id FROM rows_ r LEFT JOIN known k ON r.digest = k.digest WHERE line = 0 OR license_id IS NOT NULL"""
+
+OP8_SQL = f"""
+WITH {_PLACES.format(n=20)},
+cut AS (SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ks), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(ks, []), i)), ' ')) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)"""
+
 OP10_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 fit AS (SELECT vec_id, label, e FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
@@ -73,8 +133,12 @@ FROM v JOIN smallest USING (vec_id) LEFT JOIN counted USING (vec_id)"""
 QUERIES = {
     "op1_token_output": (op1_token_output, None),
     "op2_decontamination": (op2_decontamination, OP2_SQL),
+    "op3_pseudonyms": (op3_pseudonyms, None),
+    "op4_suffix_arrays": (op4_suffix_arrays, OP4_SQL),
+    "op5_licence_scan": (op5_licence_scan, OP5_SQL),
     "op6_source_mixing": (op6_source_mixing, None),
     "op7_language_id": (op7_language_id, None),
+    "op8_substring_dedup": (op8_substring_dedup, OP8_SQL),
     "op9_simhash": (op9_simhash, None),
     "op10_embedding_dedup": (op10_embedding_dedup, OP10_SQL),
 }

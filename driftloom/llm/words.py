@@ -18,12 +18,10 @@ _BYTE = _rng.integers(1, 1 << 63, (2, 256), dtype=np.uint64) | np.uint64(1)
 _PLACE = _rng.integers(1, 1 << 63, (2, 1 << 12), dtype=np.uint64) | np.uint64(1)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of each word (multilinear in its bytes, and in its length)."""
-    if not len(starts):
+def word_hashes(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of words that follow one another in a buffer (multilinear in bytes and length)."""
+    if not len(lengths):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    lengths = ends - starts
-    flat = data[ragged(starts, lengths)]
     first = np.cumsum(lengths) - lengths
     place = np.arange(len(flat)) - np.repeat(first, lengths)
     turn = (place >> 12).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -80,15 +78,31 @@ class WordEncoder:
         return first
 
     def _learn(self, words: list[bytes]) -> None:
-        simple = [w for w in words if w.isalpha() and w.islower()]
-        other = [w for w in words if not (w.isalpha() and w.islower())]
-        for i in range(0, len(simple), 512):
-            some = simple[i : i + 512]
-            ids = np.array(self.plain.encode(b" ".join(some).decode(), add_special_tokens=False).ids, np.uint32)
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) != len(some):
-                raise ValueError("this tokenizer does not mark word ends: encode whole texts")
-            self.known.update(zip(some, range(self._add(ids, np.diff(last, prepend=0)), self.n_known)))
+        """Encode words not seen before. Letters alone, or letters before a comma or full stop, are joined by
+        blanks and told apart again by the ids that end a word; anything else is encoded by itself."""
+        plain: list[tuple[bytes, int]] = []
+        letters: list[tuple[bytes, int]] = []
+        other: list[bytes] = []
+        for word in words:
+            if word.isalpha() and word.islower():
+                plain.append((word, 1))
+                continue
+            text = word.decode()
+            if text.isalpha():
+                letters.append((word, 1))
+            elif text[-1] in ",." and text[:-1].isalpha():
+                letters.append((word, 2))
+            else:
+                other.append(word)
+        for tokenizer, group in ((self.plain, plain), (self.whole, letters)):
+            for i in range(0, len(group), 512):
+                some, ends = zip(*group[i : i + 512])
+                ids = np.array(tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, np.uint32)
+                last = np.flatnonzero(self.ends[ids]) + 1
+                if len(last) != sum(ends):
+                    raise ValueError("this tokenizer does not mark word ends: encode whole texts")
+                last = last[np.cumsum(ends) - 1]
+                self.known.update(zip(some, range(self._add(ids, np.diff(last, prepend=0)), self.n_known)))
         for i in range(0, len(other), 4096):
             some = other[i : i + 4096]
             coded = [x.ids for x in self.whole.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)]
@@ -112,18 +126,19 @@ class WordEncoder:
         marks = ends[split]
         starts, ends = np.sort(np.concatenate((starts, marks - 1))), np.sort(np.concatenate((ends, marks - 1)))
         own = np.searchsorted(offsets, starts, "right") - 1
+        h, check = word_hashes(data[data != 0x20], ends - starts)
         special = pc.match_substring(column.fill_null(""), "<|").to_numpy(zero_copy_only=False)
         if special.any():
             keep = ~special[own]
-            starts, ends, own = starts[keep], ends[keep], own[keep]
-        h, check = word_hashes(data, starts, ends)
+            starts, ends, own, h, check = starts[keep], ends[keep], own[keep], h[keep], check[keep]
         codes, _ = pd.factorize(h)
         first = np.zeros(int(codes.max()) + 1 if len(codes) else 0, np.int64)
         first[codes[::-1]] = np.arange(len(codes))[::-1]
         if (check != check[first[codes]]).any():
             raise ValueError("two different words have one hash")
         words = [buffer[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        self._learn([w for w in words if w not in self.known])
+        known = self.known
+        self._learn([w for w in words if w not in known])
         entry = np.array([self.known[w] for w in words], np.int64)[codes] if len(codes) else codes
         if special.any():
             which = np.flatnonzero(special)
