@@ -33,7 +33,7 @@ from driftloom.sources.scratch import settle
 
 BLANKS = bytes(0x20 if 9 <= c <= 13 else c for c in range(256))
 #: Regions that a task holds back to send equal ones once, in bytes.
-HELD_BYTES = 48 << 20
+HELD_BYTES = 16 << 20
 
 #: Regions of one group in corpus order, as (words, place of the anchor) -> for each, a mask of its new windows.
 Engine = Callable[[list[tuple[list[bytes], int]]], list[np.ndarray]]
@@ -123,7 +123,8 @@ def repeated_anchors(docs: DataFrame, window: int, gram: int, hot: int) -> DataF
             yield pa.record_batch(columns, names=["gram", "id", "tie", "at"])
 
     rows = settle(docs.mapInArrow(scan, "gram long, id long, tie long, at int"))
-    again = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("gram").alias("again"), (F.col("n") > hot).cast("int").alias("hot"))
+    # Written, so that the join below has plain exchanges on both sides and can split a very frequent gram.
+    again = settle(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("gram").alias("again"), (F.col("n") > hot).cast("int").alias("hot")))
     found = rows.join(again, rows["gram"] == again["again"])
     return settle(found.groupBy("id", "tie").agg(F.collect_list(F.col("at") * 2 + F.col("hot")).alias("marks")))
 

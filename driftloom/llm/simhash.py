@@ -90,7 +90,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, slice_size: int
         fits = [k for k in range(1, MOST_AGREE + 1) if n / 2.0 ** (64 * k / (radius + k)) <= SHARD_TARGET]
         agree = fits[0] if fits else MOST_AGREE
     rows = _shards(distinct, radius, agree)
-    sizes = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = settle(rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     slices = F.ceil(F.col("n") / slice_size).cast("int")
     placed = rows.join(sizes, "shard").select("shard", "bits", slices.alias("slices"), F.pmod(F.xxhash64("bits", F.lit(1)), slices).cast("int").alias("own"))
     # Slice i holds the tree of cell (i, j) for every j >= i, and asks in cell (j, i) for every j < i.
