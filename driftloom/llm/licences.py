@@ -20,7 +20,7 @@ from driftloom.llm.licence_texts import KNOWN
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n(©]*(copyright|\(c\)|©)[^\n]*"
 #: Spellings that licence texts use for one another, in lower case.
 SPELLINGS = (
-    (r"\b(sub)?licen[sc]e", "$1license"),
+    (r"licence", "license"),
     (r"\bnon[- ]?(commercial|infringement|exclusive)\b", "non$1"),
     (r"\backnowledgement", "acknowledgment"),
     (r"\b(recogni|organi|authori)s(e|ation)", "$1z$2"),

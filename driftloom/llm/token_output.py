@@ -97,9 +97,11 @@ def write_token_files(
         for batch in sliced(batches, "text"):
             ids, sizes = with_end(*encode(batch.column("text")), end_id)
             key = batch.column("id")
-            held.append((key.fill_null(0).to_numpy(), key.is_null().to_numpy(zero_copy_only=False).astype(np.int64), sizes, ids))
-            if sum(len(x[3]) for x in held) >= ids_per_file:
-                yield close()
+            keys, nulls, last = key.fill_null(0).to_numpy(), key.is_null().to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(sizes)
+            for a, b in _pieces(sizes, ids_per_file):
+                held.append((keys[a:b], nulls[a:b], sizes[a:b], ids[last[a] - sizes[a] : last[b - 1]]))
+                if sum(len(x[3]) for x in held) >= ids_per_file:
+                    yield close()
         if held:
             yield close()
 
