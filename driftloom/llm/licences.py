@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from driftloom.llm.common import need
 from driftloom.llm.licence_texts import KNOWN
 
-#: A line that starts with a mark of copyright, after any comment signs.
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n(©]*(copyright|\(c\)|©)[^\n]*"
+#: A line that starts with a mark of copyright, after any comment signs, and goes on with a sign or a year. The word
+#: alone may start a line in running text.
+COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n(©]*(copyright[ \t:]*(\(c\)|©|[0-9]{4})|\(c\)[ \t]*(copyright|[0-9]{4})|©)[^\n]*"
 #: Spellings that licence texts use for one another, in lower case.
 SPELLINGS = (
     (r"licence", "license"),
