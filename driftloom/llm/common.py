@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Texts are worked on in slices of about this many bytes, so that a task's memory does not follow the batch size.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 # Byte translations. All keep a text's length, so offsets into the result are offsets into the original.
 _AZ = {c: c + 32 for c in range(0x41, 0x5B)}

@@ -22,7 +22,7 @@ BLOCK = 4096
 COUNT = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.uint64)
 PAD = 64
-BLOCKS_AT_ONCE = 256
+BLOCKS_AT_ONCE = 64
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
@@ -94,7 +94,16 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, escapes: np.ndarray, n: int, block: int = BLOCK) -> np.ndarray:
-    """The values again, all words at once."""
+    """The values again, all words of a few hundred blocks at once."""
+    out = np.zeros(n, np.uint64)
+    for first in range(0, len(offsets) - 1, BLOCKS_AT_ONCE):
+        own = offsets[first : first + BLOCKS_AT_ONCE + 1]
+        some = out[first * block : (first + BLOCKS_AT_ONCE) * block]
+        some[:] = _decoded(words[own[0] : own[-1]], own - own[0], escapes, len(some), block)
+    return out
+
+
+def _decoded(words: np.ndarray, offsets: np.ndarray, escapes: np.ndarray, n: int, block: int) -> np.ndarray:
     out = np.zeros(n, np.uint64)
     if not n:
         return out

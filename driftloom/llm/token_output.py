@@ -26,7 +26,7 @@ from driftloom.sources.scratch import fresh_path
 
 END_ID = 1
 #: A file is closed when it holds this many ids.
-IDS_PER_FILE = 4 << 20
+IDS_PER_FILE = 2 << 20
 MANIFEST = "part int, number int, path string, n_docs long, n_ids long, n_bytes long"
 _ENCODERS: dict[str, WordEncoder] = {}
 

@@ -11,8 +11,8 @@ import pyarrow.compute as pc
 
 from driftloom.llm.common import LOWER_AND_BLANKS, ragged, text_bytes, word_bounds
 
-#: Words whose ids a Python worker keeps; when full, it starts anew.
-KEPT_WORDS = 400_000
+#: Words whose ids a Python worker keeps; when there are more, those met in one slice of texts only are forgotten.
+KEPT_WORDS = 250_000
 _rng = np.random.default_rng(0x5EED)
 _BYTE = _rng.integers(1, 1 << 63, (2, 256), dtype=np.uint64) | np.uint64(1)
 _PLACE = _rng.integers(1, 1 << 63, (2, 1 << 12), dtype=np.uint64) | np.uint64(1)
@@ -23,12 +23,16 @@ def word_hashes(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
     if not len(lengths):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     first = np.cumsum(lengths) - lengths
-    place = np.arange(len(flat)) - np.repeat(first, lengths)
-    turn = (place >> 12).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    place = np.arange(len(flat), dtype=np.int32)
+    place -= np.repeat(first.astype(np.int32), lengths)
+    long = lengths.max() > len(_PLACE[0])
     out = []
     for lane in (0, 1):
-        weight = _PLACE[lane][place & 0xFFF] + turn
-        out.append(np.add.reduceat(_BYTE[lane][flat] * weight, first) + lengths.astype(np.uint64) * _BYTE[lane][0])
+        value = _PLACE[lane][place & 0xFFF]
+        if long:
+            value += (place >> 12).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        value *= _BYTE[lane][flat]
+        out.append(np.add.reduceat(value, first) + lengths.astype(np.uint64) * _BYTE[lane][0])
     return out[0], out[1]
 
 
@@ -61,18 +65,33 @@ class WordEncoder:
         self.flat = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 12, np.int64)
         self.size = np.zeros(1 << 12, np.int64)
+        self.uses = np.zeros(1 << 12, np.int32)
         self.n_flat = self.n_known = 0
 
+    def _forget(self) -> None:
+        """Keep the words met in the most slices, half of `kept` at most, and none met in a single one."""
+        words, entry = list(self.known), np.fromiter(self.known.values(), np.int64, len(self.known))
+        often = np.flatnonzero(self.uses[entry] > 1)
+        often = np.sort(often[np.argsort(-self.uses[entry[often]], kind="stable")[: self.kept // 2]])
+        entry = entry[often]
+        sizes, uses = self.size[entry], self.uses[entry]
+        ids = self.flat[ragged(self.start[entry], sizes)]
+        self._clear()
+        self._add(ids, sizes)
+        self.uses[: len(uses)] = uses // 2 + 1
+        self.known = {words[i]: k for k, i in enumerate(often.tolist())}
+
     def _add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
         """Append the ids of several entries; returns the first one's number."""
         while self.n_flat + len(ids) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         while self.n_known + len(sizes) > len(self.start):
-            self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
+            self.start, self.size, self.uses = (np.resize(x, 2 * len(x)) for x in (self.start, self.size, self.uses))
         first = self.n_known
         self.flat[self.n_flat : self.n_flat + len(ids)] = ids
         self.start[first : first + len(sizes)] = self.n_flat + np.cumsum(sizes) - sizes
         self.size[first : first + len(sizes)] = sizes
+        self.uses[first : first + len(sizes)] = 0
         self.n_flat += len(ids)
         self.n_known += len(sizes)
         return first
@@ -114,7 +133,7 @@ class WordEncoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and the number of ids of each text; null counts as empty."""
         if self.n_known > self.kept:
-            self._clear()
+            self._forget()
         raw, offsets = text_bytes(column)
         buffer = raw.translate(LOWER_AND_BLANKS)
         data = np.frombuffer(buffer, np.uint8)
@@ -140,7 +159,9 @@ class WordEncoder:
         words = [buffer[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
         known = self.known
         self._learn([w for w in words if w not in known])
-        entry = np.array([self.known[w] for w in words], np.int64)[codes] if len(codes) else codes
+        met = np.array([known[w] for w in words], np.int64)
+        self.uses[met] += 1
+        entry = met[codes] if len(codes) else codes
         if special.any():
             which = np.flatnonzero(special)
             coded = [self.whole.encode(column[int(i)].as_py(), add_special_tokens=False).ids for i in which]
