@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,14 @@ def text_bytes(column: pa.Array) -> tuple[bytes, np.ndarray]:
     return data[int(offsets[0]) : int(offsets[-1])].to_pybytes(), offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker counts against its executor's limit, also while it is idle."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `most` bytes of the text column; a longer text is a batch of its own."""
     for batch in batches:
@@ -46,6 +55,7 @@ def sliced(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES
         cut = np.flatnonzero(np.diff(np.cumsum(sizes.astype(np.int64)) // most)) + 1
         for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
             yield batch.slice(a, b - a)
+        give_back()
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,9 +95,11 @@ def runs_of(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]
         done = [*held, batch.slice(0, head)]
         if sum(b.num_rows for b in done):
             yield pa.Table.from_batches(done)
+        give_back()
         held = [batch.slice(head)]
     if held:
         yield pa.Table.from_batches(held)
+    give_back()
 
 
 def group_starts(*columns: np.ndarray) -> np.ndarray:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftloom.functions.attach import same_keys
-from driftloom.llm.common import need, runs_of, sliced, text_bytes, word_bounds
+from driftloom.llm.common import give_back, need, runs_of, sliced, text_bytes, word_bounds
 from driftloom.llm.words import word_hashes
 from driftloom.sources.scratch import settle
 
@@ -90,7 +90,7 @@ def _zipped(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(squeeze, "id long, tie long, packed binary")
 
 
-def _opened(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+def _opened(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Rows with their texts, as bytes that are UTF-8, about `most` bytes at a time."""
     opener = zstandard.ZstdDecompressor()
     texts, size, first = [], 0, 0
@@ -100,6 +100,7 @@ def _opened(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[pa.Rec
         if size >= most or i + 1 == batch.num_rows:
             yield batch.slice(first, i + 1 - first), pa.array(texts, pa.large_binary()).cast(pa.large_string())
             texts, size, first = [], 0, i + 1
+    give_back()
 
 
 def _marked(column, rows: pa.Array) -> list[np.ndarray]:

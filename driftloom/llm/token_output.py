@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftloom.llm.common import need, sliced
+from driftloom.llm.common import give_back, need, sliced
 from driftloom.llm.simple8b import pack_file, unpack_file
 from driftloom.llm.words import WordEncoder
 from driftloom.sources.scratch import fresh_path
@@ -131,6 +131,7 @@ def read_token_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
                     held = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(np.concatenate(([0], ends)).tobytes()), data])
                     columns = [pa.array(doc_ids[a:b], mask=nulls[a:b] > 0), pa.array(before + last[a:b] - sizes[a:b]), pa.array(sizes[a:b]), held.cast(pa.binary())]
                     yield pa.record_batch(columns, names=[id_col, "start", "n_tokens", "ids"])
+                give_back()
 
     spread = max(1, manifest.count())
     return files.repartition(spread).mapInArrow(read, f"{id_col} long, start long, n_tokens long, ids binary")
