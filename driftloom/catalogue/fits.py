@@ -132,7 +132,7 @@ def pa_fit_by_series_lineitem(spark, sf_dir):
     daily = table(spark, sf_dir, "lineitem")
     prepared = prepare_training(daily, ["l_quantity"], ["l_returnflag"], "l_shipdate")
     fitted, _ = train_run(
-        prepared, "l_quantity_mes", {"passive_aggressive": passive_aggressive_candidate(max_iter=200)}, ["l_returnflag"]
+        prepared, "l_quantity_mes", {"passive_aggressive": passive_aggressive_candidate()}, ["l_returnflag"]
     )
     return fitted["passive_aggressive"]
 
@@ -141,7 +141,7 @@ def pa_fit_global_lineitem(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem")
 
     def fit(df, features, label, group_cols=()):
-        return fit_passive_aggressive(df, features, label, group_cols, ROW, rows_per_shard=20_000, rounds=6)
+        return fit_passive_aggressive(df, features, label, group_cols, ROW)
 
     return fit_scaled(fit)(rows, MANY, "l_extendedprice", ())
 
@@ -153,7 +153,7 @@ def multi_candidate_fit_orders(spark, sf_dir):
         return fit_single_feature(df, features, label, group_cols)
 
     candidates = {
-        "passive_aggressive": passive_aggressive_candidate(max_iter=200),
+        "passive_aggressive": passive_aggressive_candidate(),
         "least_squares": fit_least_squares,
         "single_feature": one_feature_only,
     }

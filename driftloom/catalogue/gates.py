@@ -32,6 +32,22 @@ def threshold_gate_lineitem(spark, sf_dir):
     return rounded(threshold_gate(validation_metrics(scored, LABEL, "prediction", SEGMENT), GATES, SEGMENT), 8, "value")
 
 
+def _broken_gate(spark, sf_dir, prediction):
+    """The threshold gate when the model fails on some rows of the segments with status O."""
+    _, scored = _scored(spark, sf_dir)
+    hit = (F.col("l_linestatus") == "O") & (F.col(SLOPE) == 7)
+    broken = scored.withColumn("prediction", F.when(hit, F.lit(prediction).cast("double")).otherwise(F.col("prediction")))
+    return rounded(threshold_gate(validation_metrics(broken, LABEL, "prediction", SEGMENT), GATES, SEGMENT), 8, "value")
+
+
+def gate_unpredicted_lineitem(spark, sf_dir):
+    return _broken_gate(spark, sf_dir, None)
+
+
+def gate_nan_lineitem(spark, sf_dir):
+    return _broken_gate(spark, sf_dir, float("nan"))
+
+
 def baseline_gate_lineitem(spark, sf_dir):
     gated = gate_compared(_compared(spark, sf_dir), SEGMENT)
     return rounded(gated.drop("delta"), 8, "value", "baseline_value")
@@ -104,7 +120,13 @@ def _verdict_sql(checks: str, compared: str, keys: str) -> str:
         {_failed(_pass('value', 'baseline_value'))} AS failed FROM {compared} GROUP BY ALL) b USING ({keys}))"""
 
 
+BROKEN_SQL = f"""WITH {TESTED}, {COMPARED}, {BOUNDS}, {_gate_sql('cand', 'gated')}
+SELECT {KEYS}, metric, CASE WHEN l_linestatus = 'O' AND metric <> 'f1' THEN 'NaN'::DOUBLE ELSE round(value, 8) + 0.0::DOUBLE END AS value,
+  threshold, passed AND (l_linestatus <> 'O' OR metric = 'f1') AS passed FROM gated"""
+
 QUERIES: dict[str, Query] = {
+    "gate_unpredicted_lineitem": (gate_unpredicted_lineitem, BROKEN_SQL),
+    "gate_nan_lineitem": (gate_nan_lineitem, BROKEN_SQL),
     "threshold_gate_lineitem": (
         threshold_gate_lineitem,
         f"""WITH {TESTED}, {COMPARED}, {BOUNDS}, {_gate_sql('cand', 'gated')}

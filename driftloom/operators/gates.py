@@ -29,7 +29,9 @@ def _lower_better(metric: Column) -> Column:
 
 
 def _at_least_as_good(metric: Column, value: Column, bound: Column) -> Column:
-    return F.when(_lower_better(metric), value <= bound).otherwise(value >= bound)
+    """Whether a value meets its bound; NaN on either side does not, though Spark orders it above every number."""
+    no_number = F.isnan(value) | F.isnan(bound)
+    return F.when(no_number, F.lit(False)).when(_lower_better(metric), value <= bound).otherwise(value >= bound)
 
 
 def threshold_gate(metrics: DataFrame, thresholds: Mapping[str, float], group_cols: Sequence[str] = ()) -> DataFrame:
@@ -169,11 +171,18 @@ def performance_degradation(
 
 
 def degradation_of(compared: DataFrame, group_cols: Sequence[str] = (), cutoff: float = DEGRADATION_CUTOFF) -> DataFrame:
-    """`performance_degradation` for a frame that already holds `current` and `baseline` side by side."""
+    """`performance_degradation` for a frame that already holds `current` and `baseline` side by side.
+
+    A current value of NaN (as of a model that left rows without a prediction) is degraded. A
+    baseline of NaN tells nothing, and nothing is degraded against it.
+    """
     now, base = F.col("current"), F.col("baseline")
     loss = F.try_divide(F.when(_lower_better(F.col("metric")), now - base).otherwise(base - now), F.abs(base))
     return compared.select(*group_cols, "metric", "current", "baseline", loss.alias("degradation")).withColumn(
-        "is_degraded", F.coalesce(F.col("degradation") > cutoff, F.lit(False))
+        "is_degraded",
+        F.when(F.isnan("current"), F.lit(True))
+        .when(F.isnan("baseline"), F.lit(False))
+        .otherwise(F.coalesce(F.col("degradation") > cutoff, F.lit(False))),
     )
 
 

@@ -70,8 +70,11 @@ def fold_stages(
     A version is in the stage of its newest transition. With `archive_existing` (a flag, or a
     column saying so per transition) moving a version into an exclusive stage archives the ones
     already there: a version whose own newest transition is older than such a move of the same
-    model into the same stage is archived.
+    model into the same stage is archived. A stage that is not among `STAGES` is an error.
     """
+    known = F.col(stage_col).isin(*STAGES)
+    problem = F.concat(F.lit("unknown stage "), F.coalesce(F.col(stage_col).cast("string"), F.lit("null")))
+    transitions = transitions.withColumn(stage_col, F.when(known, F.col(stage_col)).otherwise(F.raise_error(problem)))
     versions, stages = [*model_cols, *version_cols], [*model_cols, stage_col]
     moment = F.struct(*order_cols)
     clears = (archive_existing if isinstance(archive_existing, Column) else F.lit(archive_existing)) & F.col(

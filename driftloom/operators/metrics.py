@@ -36,12 +36,16 @@ def regression_metrics(
     The total sum of squares comes from the population variance, which Spark keeps as merged
     central moments, so no second pass over the rows is needed. A constant label gives r2 of 1
     if every prediction is right and 0 otherwise; a single row gives no r2.
+
+    Rows without a label are not measured. A group in which a labelled row has no prediction is
+    not measurable either: its metrics are NaN, which no gate accepts. `n_rows` and
+    `n_unpredicted` may be asked for among the metrics.
     """
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     error = y - p
-    scored = df.filter(y.isNotNull() & p.isNotNull())
-    sums = scored.groupBy(*group_cols).agg(
+    sums = df.filter(y.isNotNull()).groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("__n"),
+        F.count_if(p.isNull()).alias("__unpredicted"),
         F.avg(error * error).alias("mse"),
         F.avg(F.abs(error)).alias("mae"),
         F.avg(F.abs(error) / F.greatest(F.abs(y), F.lit(MAPE_FLOOR))).alias("mape"),
@@ -54,7 +58,13 @@ def regression_metrics(
         .otherwise(F.lit(0.0))
     )
     wide = sums.select("*", F.sqrt("mse").alias("rmse"), r2.alias("r2"))
-    named = wide.select(*group_cols, *[F.col(m).alias(prefix + m) for m in metrics])
+    counts = {"n_rows": F.col("__n").cast("double"), "n_unpredicted": F.col("__unpredicted").cast("double")}
+
+    def measured(metric: str) -> Column:
+        whole = F.when(F.col("__unpredicted") > 0, F.lit(float("nan"))).otherwise(F.col(metric)) if metric not in counts else counts[metric]
+        return whole.alias(prefix + metric)
+
+    named = wide.select(*group_cols, *[measured(m) for m in metrics])
     return to_long(named, [prefix + m for m in metrics], group_cols)
 
 

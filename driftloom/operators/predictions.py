@@ -61,7 +61,7 @@ def prediction_monitor(
     is_ref: Column | None = None,
     is_cur: Column | None = None,
     cutoff: float = P_CUTOFF,
-    method: str = "auto",
+    method: str = "asymptotic",
 ) -> DataFrame:
     """Summary of the current predictions and whether they look anomalous.
 

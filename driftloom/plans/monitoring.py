@@ -64,7 +64,7 @@ def monitor_run(
     model_type: str = "regression",
     p_cutoff: float = P_CUTOFF,
     degradation_cutoff: float = DEGRADATION_CUTOFF,
-    method: str = "auto",
+    method: str = "asymptotic",
 ) -> DataFrame:
     """One report row per segment. Performance is looked at only when the label is in the frame.
 

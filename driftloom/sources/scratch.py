@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder (`spark.checkpoint.dir`).
 
-    Where none is set, a local session gets a fresh temporary folder, as in tests; a cluster
-    gets a folder in its warehouse, which its executors share by definition.
+    Where none is set, it is a folder in the warehouse. On a cluster that must not be a local
+    path (Spark's default is one), since its executors would not see each other's files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        chosen = tempfile.mkdtemp(prefix="driftloom-")
-    else:
-        chosen = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_driftloom_scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and ("://" not in warehouse or warehouse.startswith("file:")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    chosen = f"{warehouse}/_driftloom_scratch"
     spark.sparkContext.setCheckpointDir(chosen)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 

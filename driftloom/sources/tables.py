@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -39,7 +41,7 @@ def write_table(
     path: str | None = None,
 ) -> None:
     """Create or overwrite a table, its schema included, and comment it if asked to."""
-    writer = df.write.format(fmt).mode(mode).option("overwriteSchema", "true")
+    writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:
@@ -58,8 +60,13 @@ def merge_rows(old: DataFrame, new: DataFrame, keys: Sequence[str], order_cols:
 
 
 def newest_rows(new: DataFrame, keys: Sequence[str], order_cols: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the last in `order_cols`, or any one of them where none are given."""
-    return latest_records(new, keys, order_cols) if order_cols else new.dropDuplicates(list(keys))
+    """One row per key: the last in `order_cols`; without those, a key that occurs twice is an error."""
+    if order_cols:
+        return latest_records(new, keys, order_cols)
+    rest = [c for c in new.columns if c not in keys]
+    rows = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in rest])
+    single = F.assert_true(F.col("__n") == 1, F.lit("several new rows have one key: give order_cols")).isNull()
+    return rows.filter(single).select(*new.columns)
 
 
 def replace_rows(old: DataFrame, newest: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,8 +78,8 @@ def replace_rows(old: DataFrame, newest: DataFrame, keys: Sequence[str]) -> Data
 
 
 def table_location(spark: SparkSession, name: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
-    return described.select("data_type").first()[0]
+    """The table's folder, from the catalog's own record and not by a row's name, which a column may bear."""
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])["location"]
 
 
 def upsert_table(
@@ -101,7 +108,8 @@ def upsert_table(
     # Stored first, so that a small change is broadcast and the old rows are not shuffled for it.
     newest = settle(newest_rows(df, keys, order_cols))
     if partition_col is None:
-        base = table_location(spark, name).rstrip("/").split("__v_")[0]
+        base = table_location(spark, name).rstrip("/")
+        base = re.sub(r"__v_[0-9a-f]{32}$", "", base)
         target = f"{base}__v_{uuid.uuid4().hex}"
         replace_rows(old, newest, keys).write.format(fmt).save(target)
         _add_columns(spark, name, added)
@@ -109,8 +117,10 @@ def upsert_table(
     else:
         if partition_col not in keys:
             raise ValueError(f"partition column {partition_col!r} must be one of the keys")
-        touched = newest.select(F.col(partition_col).alias("__part")).distinct()
-        affected = old.join(touched, F.col(partition_col).eqNullSafe(F.col("__part")), "left_semi")
+        # One literal per partition of the change, so that the scan lists and reads those folders only.
+        touched = [r[0] for r in newest.select(partition_col).distinct().collect()]
+        listed = F.col(partition_col).isin([v for v in touched if v is not None])
+        affected = old.filter(listed | F.col(partition_col).isNull() if None in touched else listed)
         staged = fresh_path(spark, "upsert")
         replace_rows(affected, newest, keys).write.format(fmt).save(staged)
         _add_columns(spark, name, added)
@@ -140,8 +150,14 @@ def _add_columns(spark: SparkSession, name: str, fields: Sequence) -> None:
 
 
 def append_rows(df: DataFrame, name: str, fmt: str = DEFAULT_FORMAT, path: str | None = None) -> None:
-    """Append rows to a results table, creating it on first use; columns are matched by name."""
+    """Append rows to a results table, creating it on first use; columns are matched by name.
+
+    A column that the table lacks is an error, since its values would be lost.
+    """
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
+        unknown = sorted(set(df.columns) - set(spark.table(name).columns))
+        if unknown:
+            raise ValueError(f"{name} has no column {', '.join(unknown)}")
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in spark.table(name).schema.fields])
     write_table(df, name, mode="append", fmt=fmt, path=path)

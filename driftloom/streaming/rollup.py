@@ -23,16 +23,18 @@ def rollup_stream(
     path: str,
     checkpoint: str,
     group_cols: Sequence[str] = (),
-    lateness: str = "1 day",
+    lateness: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Keep the weekly sums of a stream in a log of updates under `path`.
 
     Every micro-batch writes the weeks it changed into its own folder, so a repeated batch
-    replaces itself. State is dropped once the watermark passes a week, and no week waits for
-    the watermark to be readable.
+    replaces itself. A row counts however late it comes: state is one row per group and week, and
+    is kept. Only a caller who gives `lateness` has weeks closed that long after they end, and
+    later rows for them left out.
     """
-    timed = rows.withColumn("__ts", F.col(time_col).cast("timestamp")).withWatermark("__ts", lateness)
+    timed = rows.withColumn("__ts", F.col(time_col).cast("timestamp"))
+    timed = timed if lateness is None else timed.withWatermark("__ts", lateness)
     weekly = (
         timed.groupBy(*group_cols, F.window("__ts", "7 days", "7 days", MONDAY).alias("__window"))
         .agg(*[F.sum(c).alias(week_total(c)) for c in value_cols])
