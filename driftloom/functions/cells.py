@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FEWEST_PER_FOLD, MOST_PER_FOLD = 16, 1 << 17
+FEWEST_PER_FOLD = 16
 # ln of the smallest positive double is -744.44, so folds shifted by this stay positive.
 FOLD_SHIFT = 746
 FAR_CELL = 1 << 40
@@ -35,7 +35,24 @@ def cells_per_fold(n: Column) -> Column:
     the cells of a group.
     """
     wanted = F.ceil(F.sqrt(n.cast("double")) / 4)
-    return F.greatest(F.lit(FEWEST_PER_FOLD), F.least(F.lit(MOST_PER_FOLD), wanted)).cast("bigint")
+    return F.greatest(F.lit(FEWEST_PER_FOLD), wanted).cast("bigint")
+
+
+def parts_of(n: Column, low: Column, high: Column) -> Column:
+    """Parts to cut a cell of n values from `low` to `high` into; one where the values cannot be told apart by distance.
+
+    A cluster far from the anchor falls into one cell. Cut evenly between the smallest and the
+    largest value it holds, it is spread like the rest.
+    """
+    width = high - low
+    wanted = F.greatest(F.lit(1), F.ceil(F.sqrt(n.cast("double")) / 4)).cast("bigint")
+    return F.when((width > 0) & (width < F.lit(float("inf"))), wanted).otherwise(F.lit(1).cast("bigint"))
+
+
+def part_of(value: Column, low: Column, high: Column, parts: Column) -> Column:
+    """Number of the part that holds a value, from 0; monotone in the value."""
+    share = (value - low) / F.nullif(high - low, F.lit(0.0))
+    return F.when(parts > 1, F.least(F.floor(share * parts).cast("bigint"), parts - 1)).otherwise(F.lit(0).cast("bigint"))
 
 
 def cell_of(value: Column, anchor: Column, per_fold: Column) -> Column:

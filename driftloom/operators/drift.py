@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftloom.functions.attach import attach
-from driftloom.functions.cells import anchor_of, cell_of, cells_per_fold
+from driftloom.functions.cells import anchor_of, cell_of, cells_per_fold, part_of, parts_of
 from driftloom.functions.pvalues import chi_square_p, ks_p_asymptotic, ks_p_exact
 from driftloom.operators.ordering import clean_double
 from driftloom.sources.scratch import settle
@@ -70,24 +70,20 @@ def sample_sizes(
     return settle(wide.select(*keys, F.inline(F.array(*rows))))
 
 
-def _value_counts(
-    df: DataFrame, features: Sequence[str], is_ref: Column, is_cur: Column, sizes: DataFrame, group_cols: Sequence[str]
-) -> DataFrame:
-    """Both samples' counts of every value of every feature, beside the feature's sample sizes.
-
-    Values are folded on the map side before anything is shuffled or joined, so a value or a
-    group that makes up much of the data costs one row per task.
-    """
-    keys = [*group_cols, "feature"]
+def _listed(df: DataFrame, features: Sequence[str], is_ref: Column, is_cur: Column, group_cols: Sequence[str]) -> DataFrame:
+    """One row per sampled row and feature with a value."""
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), _typed(df, c).alias("value")) for c in features])
     listed = df.filter(is_ref | is_cur).select(*group_cols, is_ref.alias("__ref"), is_cur.alias("__cur"), F.inline(pairs))
-    counts = (
-        listed.filter("value IS NOT NULL")
-        .groupBy(*keys, "value")
-        .agg(F.count_if("__ref").alias("__r"), F.count_if("__cur").alias("__c"))
-    )
-    usable = sizes.filter("n_ref > 0 AND n_cur > 0").withColumnsRenamed({"n_ref": "__n", "n_cur": "__m"})
-    return attach(counts, usable, keys, how="inner")
+    return listed.filter("value IS NOT NULL")
+
+
+def _usable(sizes: DataFrame) -> DataFrame:
+    """The sample sizes of the features with values on both sides."""
+    return sizes.filter("n_ref > 0 AND n_cur > 0").withColumnsRenamed({"n_ref": "__n", "n_cur": "__m"})
+
+
+def _both_counts() -> list[Column]:
+    return [F.count_if("__ref").alias("__r"), F.count_if("__cur").alias("__c")]
 
 
 def _with_untested(sizes: DataFrame, features: Sequence[str], tested: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -105,34 +101,61 @@ def ks_statistic(
 ) -> DataFrame:
     """Largest gap between the two empirical distributions of every numeric feature.
 
-    Inside a cell the gap moves by d(value), the difference of the local running shares; across
-    cells it moves by the cells' totals. The largest gap of a cell is therefore reached at its
-    largest or smallest d, and each cell can be reduced to four numbers before the cells of a
-    feature meet in one (short) window.
+    One pass counts both samples per cell. The gap at a cell's end is known from the counts, and
+    inside a cell it can leave the gap at its start by no more than the cell's own shares. Only
+    cells that could beat the largest gap at any end are looked into: their values are counted
+    in a second pass, cut into parts, and ordered part by part. Everything is exact.
     """
     keys = [*group_cols, "feature"]
     sizes = sample_sizes(df, features, is_ref, is_cur, group_cols) if sizes is None else sizes
-    counts = _value_counts(df, features, is_ref, is_cur, sizes, group_cols)
-    placed = counts.withColumn("__cell", cell_of(F.col("value"), F.col("anchor"), cells_per_fold(F.col("__n") + F.col("__m"))))
+    listed = attach(_listed(df, features, is_ref, is_cur, group_cols), _usable(sizes), keys, how="inner")
+    placed = listed.withColumn("__cell", cell_of(F.col("value"), F.col("anchor"), cells_per_fold(F.col("__n") + F.col("__m"))))
+    totals = [F.max("__n").alias("__n"), F.max("__m").alias("__m")]
 
     def gap(r: Column, c: Column) -> Column:
         return r / F.col("__n") - c / F.col("__m")
 
-    inside = Window.partitionBy(*keys, "__cell").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = placed.select("*", gap(F.sum("__r").over(inside), F.sum("__c").over(inside)).alias("__d"))
-    cells = local.groupBy(*keys, "__cell").agg(
-        F.sum("__r").alias("__r"),
-        F.sum("__c").alias("__c"),
-        F.max("__d").alias("__up"),
-        F.min("__d").alias("__down"),
-        F.max("__n").alias("__n"),
-        F.max("__m").alias("__m"),
+    def before(column: str, *within: str, by: str) -> Column:
+        """Sum of what comes before a row in the order of `by`."""
+        order = Window.partitionBy(*keys, *within).orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.sum(column).over(order) - F.col(column)
+
+    cells = placed.groupBy(*keys, "__cell").agg(
+        *_both_counts(), F.min("value").alias("__low"), F.max("value").alias("__high"), *totals
+    )
+    begun = cells.select("*", before("__r", by="__cell").alias("__r0"), before("__c", by="__cell").alias("__c0"))
+    r0, c0, r1, c1 = F.col("__r0"), F.col("__c0"), F.col("__r0") + F.col("__r"), F.col("__c0") + F.col("__c")
+    bound = F.greatest(F.abs(gap(r1, c0)), F.abs(gap(r0, c1)))
+    ends = settle(
+        begun.select(
+            "*", bound.alias("__bound"), F.max(F.abs(gap(r1, c1))).over(Window.partitionBy(*keys)).alias("__reached")
+        )
+    )
+    parts = parts_of(F.col("__r") + F.col("__c"), F.col("__low"), F.col("__high"))
+    open_cells = ends.filter("__bound > __reached AND __low < __high").select(
+        *keys, "__cell", "__low", "__high", parts.alias("__parts"), "__r0", "__c0"
+    )
+    part = part_of(F.col("value"), F.col("__low"), F.col("__high"), F.col("__parts"))
+    counts = settle(
+        attach(placed, open_cells, [*keys, "__cell"], how="inner")
+        .groupBy(*keys, "__cell", part.alias("__part"), "value")
+        .agg(*_both_counts(), *totals, F.max("__r0").alias("__r0"), F.max("__c0").alias("__c0"))
+    )
+    sums = counts.groupBy(*keys, "__cell", "__part").agg(F.sum("__r").alias("__r"), F.sum("__c").alias("__c"))
+    offsets = sums.select(
+        *keys,
+        "__cell",
+        "__part",
+        before("__r", "__cell", by="__part").alias("__r1"),
+        before("__c", "__cell", by="__part").alias("__c1"),
     )
-    across = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    start = gap(F.sum("__r").over(across) - F.col("__r"), F.sum("__c").over(across) - F.col("__c"))
-    shifted = cells.select("*", start.alias("__start"))
-    largest = F.greatest(F.abs(F.col("__start") + F.col("__up")), F.abs(F.col("__start") + F.col("__down")))
-    tested = shifted.groupBy(*keys).agg(F.max(largest).alias("statistic"))
+    inside = ("__cell", "__part")
+    upto_r = F.col("__r0") + F.col("__r1") + before("__r", *inside, by="value") + F.col("__r")
+    upto_c = F.col("__c0") + F.col("__c1") + before("__c", *inside, by="value") + F.col("__c")
+    gaps = attach(counts, offsets, [*keys, *inside]).select(*keys, F.abs(gap(upto_r, upto_c)).alias("__gap"))
+    within_cells = gaps.groupBy(*keys).agg(F.max("__gap").alias("__gap"))
+    at_ends = ends.groupBy(*keys).agg(F.max("__reached").alias("__reached"))
+    tested = attach(at_ends, within_cells, keys).select(*keys, F.greatest("__reached", "__gap").alias("statistic"))
     return _with_untested(sizes, features, tested, keys)
 
 
@@ -151,7 +174,9 @@ def chi_square_statistic(
     """
     keys = [*group_cols, "feature"]
     sizes = sample_sizes(df, features, is_ref, is_cur, group_cols) if sizes is None else sizes
-    counts = _value_counts(df, features, is_ref, is_cur, sizes, group_cols)
+    # Values are folded on the map side before anything is shuffled or joined.
+    folded = _listed(df, features, is_ref, is_cur, group_cols).groupBy(*keys, "value").agg(*_both_counts())
+    counts = attach(folded, _usable(sizes), keys, how="inner")
     expected = F.col("__r") * F.col("__m").cast("double") / F.col("__n")
     term = F.when(F.col("__r") > 0, F.try_divide(F.pow(F.col("__c") - expected, F.lit(2.0)), expected)).otherwise(
         F.lit(float("inf"))

@@ -125,18 +125,23 @@ def fit_passive_aggressive(
     patience: int = PATIENCE,
     rows_per_shard: int = 50_000,
     rounds: int = 10,
+    method: str = "averaged",
 ) -> DataFrame:
-    """Passive-aggressive regression per group, at any group size.
-
-    The algorithm is sequential by nature. A group of up to `rows_per_shard` rows is fitted as
-    such, in one task. A larger group is cut into shards by the hash of its key: every round
-    each shard makes one pass from the group's current weights, streaming its rows, and the
-    shards' weights are averaged by size (iterative parameter mixing, McDonald et al. 2010),
-    until no large group's mean loss falls by `tolerance` or `rounds` have been made. That is
-    an approximation of the sequential fit, marked by `shards > 1` in the result. Rows are
-    ordered by `key_cols` before a seeded shuffle, so the result does not depend on the data's
-    layout.
+    """Passive-aggressive regression per group, by one of two methods, each the same at every group size.
+
+    `"averaged"` cuts every group into shards of about `rows_per_shard` rows by the hash of
+    `key_cols`, which must tell a group's rows apart: every round each shard makes one pass from
+    the group's current weights, streaming its rows, and the shards' weights are averaged by
+    size (iterative parameter mixing, McDonald et al. 2010), until no group's mean loss falls by
+    `tolerance` or `rounds` have been made. `"sequential"` makes up to `max_iter` passes over a
+    whole group in one task, until `patience` of them bring nothing; it is for groups known to
+    be small, such as weekly series. `shards` in the result is 1 there. Rows are ordered by
+    `key_cols` before a seeded shuffle, so the result does not depend on the data's layout.
     """
+    if method not in ("averaged", "sequential"):
+        raise ValueError(f"method must be 'averaged' or 'sequential', not {method!r}")
+    if method == "averaged" and not key_cols:
+        raise ValueError("the averaged method needs key_cols that tell the rows of a group apart")
     keys, by = list(group_cols), list(key_cols) or list(features)
     numbers = [f"__x_{c}" for c in features]
     extra = [f"__k{i}" for i in range(len(by))]
@@ -148,7 +153,8 @@ def fit_passive_aggressive(
         F.col(label).cast("double").alias("__y"),
     ).dropna(subset=[*numbers, "__y"])
     # One row per group with a number that stands for its keys; fixed once it is written.
-    sizes = clean.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_shard).cast("int").alias("shards"))
+    shards = F.lit(1) if method == "sequential" else F.ceil(F.count(F.lit(1)) / rows_per_shard).cast("int")
+    sizes = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), shards.alias("shards")).filter("__n > 0").drop("__n")
     groups = settle(sizes.withColumn("__group", F.monotonically_increasing_id()))
     placed = attach(clean, groups, keys)
     fit_type = T.StructType(
@@ -191,30 +197,35 @@ def fit_passive_aggressive(
         if state is not None:
             yield fit_row(current[0], *state)
 
-    fitted = placed.filter("shards = 1").groupBy("__group").applyInPandas(whole_fit, fit_type).select("__group", "intercept", *coefs)
-    large = groups.filter("shards > 1")
-    if not large.isEmpty():
+    if method == "sequential":
+        fitted = placed.groupBy("__group").applyInPandas(whole_fit, fit_type).select("__group", "intercept", *coefs)
+    else:
         # Divided into shards, put in a seeded order and stored once; every round streams it back.
         shard = F.pmod(F.xxhash64(*extra), F.col("shards")).cast("int")
-        shuffled = [F.xxhash64(F.lit(seed), *extra), *extra]
+        order = ["__group", "__shard", "__mixed", *extra]
         shard_rows = settle_partitioned(
-            placed.filter("shards > 1")
-            .withColumn("__shard", shard)
+            placed.withColumn("__shard", shard)
+            .withColumn("__mixed", F.xxhash64(F.lit(seed), *extra))
             .repartition("__group", "__shard")
-            .sortWithinPartitions("__group", "__shard", *shuffled)
-            .select("__group", "__shard", *numbers, "__y")
+            .sortWithinPartitions(*order)
+            .select(*order, *numbers, "__y")
         )
         zeros = [F.lit(0.0).alias(c) for c in ("intercept", *coefs)]
-        weights = large.select("__group", *zeros, F.lit(float("inf")).alias("__loss"))
+        weights = groups.select("__group", "shards", *zeros, F.lit(float("inf")).alias("__loss"))
         for _ in range(rounds):
-            passed = attach(shard_rows, weights.drop("__loss"), ["__group"]).mapInPandas(shard_passes, fit_type)
+            # One row of weights per shard: where they are too many to broadcast, the join moves shards, not whole groups.
+            units = weights.select("*", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("__shard")).drop("shards", "__loss")
+            ready = attach(shard_rows, units, ["__group", "__shard"]).sortWithinPartitions(*order)
+            passed = ready.select("__group", "__shard", *numbers, "__y", "intercept", *coefs).mapInPandas(shard_passes, fit_type)
             mixed = [(F.sum(F.col(c) * F.col("__rows")) / F.sum("__rows")).alias(c) for c in ("intercept", *coefs)]
             mean_loss = (F.sum("__loss") / F.sum("__rows")).alias("__loss")
-            previous = weights.select("__group", F.col("__loss").alias("__previous"))
-            weights = settle(passed.groupBy("__group").agg(*mixed, mean_loss))
-            if attach(weights, previous, ["__group"]).filter(F.col("__previous") - F.col("__loss") > tolerance).isEmpty():
+            previous = weights.select("__group", "shards", F.col("__loss").alias("__previous"))
+            new = attach(passed.groupBy("__group").agg(*mixed, mean_loss), previous, ["__group"])
+            stepped = settle(new)
+            weights = stepped.select("__group", "shards", "intercept", *coefs, "__loss")
+            if stepped.filter(F.col("__previous") - F.col("__loss") > tolerance).isEmpty():
                 break
-        fitted = fitted.unionByName(weights.drop("__loss"))
+        fitted = weights.select("__group", "intercept", *coefs)
     return settle(attach(fitted, groups, ["__group"], how="inner").select(*keys, "intercept", *coefs, "shards"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftloom.functions.attach import attach
-from driftloom.functions.cells import anchor_of, cell_of, cells_per_fold
+from driftloom.functions.cells import anchor_of, cell_of, cells_per_fold, part_of, parts_of
 from driftloom.sources.scratch import settle
 
 
@@ -29,9 +29,10 @@ def quantiles(
     """Exact, linearly interpolated quantiles: one row per group, one column per name in `probs`.
 
     The exact percentile aggregate holds every distinct value of a group in one task. Here the
-    rows are counted per cell, the cells that contain a wanted rank are picked, and only the
-    rows in those are ordered. The rows are scanned three times but never shuffled: each scan is
-    folded on the map side. A group without any value gives no row.
+    rows are counted per cell, the cells that contain a wanted rank are picked and cut into parts
+    by the range of their values, and only the values in the parts that contain one are ordered.
+    The rows are scanned three times but never shuffled: each scan is folded on the map side. A
+    group without any value gives no row.
     """
     keys = list(group_cols)
     values = df.select(*keys, clean_double(F.col(value_col)).alias("__v")).filter("__v IS NOT NULL")
@@ -41,7 +42,9 @@ def quantiles(
         *keys, "__v", "__total", cell_of(F.col("__v"), F.col("__anchor"), F.col("__fold")).alias("__cell")
     )
 
-    cells = placed.groupBy(*keys, "__cell").agg(F.count(F.lit(1)).alias("__n"), F.max("__total").alias("__total"))
+    cells = placed.groupBy(*keys, "__cell").agg(
+        F.count(F.lit(1)).alias("__n"), F.max("__total").alias("__total"), F.min("__v").alias("__low"), F.max("__v").alias("__high")
+    )
     across = _running(Window.partitionBy(*keys).orderBy("__cell"))
     cells = cells.select("*", (F.sum("__n").over(across) - F.col("__n")).alias("__before"))
 
@@ -62,18 +65,35 @@ def quantiles(
         return F.filter(wants, lambda t: holds(t["rank"]))
 
     any_wanted = reduce(lambda a, b: a | b, (holds(t["rank"]) for t in wanted))
+    parts = parts_of(F.col("__n"), F.col("__low"), F.col("__high"))
     hits = settle(
         cells.filter(any_wanted).select(
-            *keys, "__cell", F.col("__before").alias("__start"), within(F.array(*wanted)).alias("__wants")
+            *keys,
+            "__cell",
+            "__low",
+            "__high",
+            parts.alias("__parts"),
+            F.col("__before").alias("__start"),
+            within(F.array(*wanted)).alias("__wants"),
         )
     )
-    counted = (
-        attach(placed, hits.select(*keys, "__cell"), [*keys, "__cell"], how="inner")
-        .groupBy(*keys, "__cell", "__v")
+    cut = hits.select(*keys, "__cell", "__low", "__high", "__parts")
+    counted = settle(
+        attach(placed, cut, [*keys, "__cell"], how="inner")
+        .withColumn("__part", part_of(F.col("__v"), F.col("__low"), F.col("__high"), F.col("__parts")))
+        .groupBy(*keys, "__cell", "__part", "__v")
         .agg(F.count(F.lit(1)).alias("__n"), F.max("__total").alias("__total"))
     )
-    inside = attach(counted, hits, [*keys, "__cell"])
-    w = _running(Window.partitionBy(*keys, "__cell").orderBy("__v"))
+    sums = counted.groupBy(*keys, "__cell", "__part").agg(F.sum("__n").alias("__n"))
+    along = _running(Window.partitionBy(*keys, "__cell").orderBy("__part"))
+    begun = attach(sums, hits.select(*keys, "__cell", "__start", "__wants"), [*keys, "__cell"]).select(
+        *keys, "__cell", "__part", "__n", "__wants", (F.col("__start") + F.sum("__n").over(along) - F.col("__n")).alias("__before")
+    )
+    chosen = begun.select(
+        *keys, "__cell", "__part", F.col("__before").alias("__start"), within(F.col("__wants")).alias("__wants")
+    ).filter(F.size("__wants") > 0)
+    inside = attach(counted, chosen, [*keys, "__cell", "__part"], how="inner")
+    w = _running(Window.partitionBy(*keys, "__cell", "__part").orderBy("__v"))
     found = (
         inside.select("*", (F.col("__start") + F.sum("__n").over(w) - F.col("__n")).alias("__before"))
         .select(*keys, "__v", "__total", F.inline(within(F.col("__wants"))))

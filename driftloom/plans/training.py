@@ -31,11 +31,14 @@ def prepare_training(
     return temporal_split(features, [WEEK], train_share, group_cols, cell=F.col(WEEK))
 
 
-def passive_aggressive_candidate(key_cols: Sequence[str] = (WEEK,), **settings: object) -> Fit:
-    """The default candidate: standardised features, passive-aggressive fit."""
+def passive_aggressive_candidate(key_cols: Sequence[str] = (WEEK,), method: str = "sequential", **settings: object) -> Fit:
+    """The default candidate: standardised features, passive-aggressive fit.
+
+    It is sequential, since a weekly series is as short as the calendar.
+    """
 
     def fit(df: DataFrame, features: Sequence[str], label: str, group_cols: Sequence[str] = ()) -> DataFrame:
-        return fit_passive_aggressive(df, features, label, group_cols, key_cols, **settings)
+        return fit_passive_aggressive(df, features, label, group_cols, key_cols, method=method, **settings)
 
     return fit_scaled(fit)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from driftloom.functions.pvalues import chi_square_tail, exact_ks_tail
 from driftloom.operators import drift as dr
+from driftloom.functions.cells import part_of, parts_of
 from driftloom.operators.ordering import quantiles
 from driftloom.operators.predictions import distribution_summary, iqr_outliers, prediction_monitor
 from driftloom.operators.profile import profile, shape
@@ -153,6 +154,26 @@ def test_quantiles_match_numpy(spark, values):
     assert list(row) == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.75, 1.0])), rel=1e-12, abs=1e-9)
 
 
+def test_two_far_clusters(spark):
+    rng = np.random.default_rng(1)
+    values = np.concatenate((rng.uniform(0, 100, 3000), 1e9 + rng.uniform(0, 100, 3000)))
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(3)
+    probs = {"low": 0.1, "mid": 0.5, "high": 0.9}
+    (row,) = quantiles(df, "x", probs).collect()
+    assert list(row) == pytest.approx(list(np.quantile(values, list(probs.values()))), rel=1e-12)
+    a, b = values[::2].tolist(), (values[1::2] + 3.0).tolist()
+    assert drift(spark, a, b).statistic == pytest.approx(statistic(np.array(a), np.array(b)), abs=1e-12)
+
+
+def test_parts_keep_a_far_cluster_from_meeting_in_one_task(spark):
+    rows = spark.range(100_000).select((F.lit(1e9) + F.col("id") / 1000.0).alias("v"))
+    low, high = F.lit(1e9), F.lit(1e9 + 99.999)
+    placed = rows.select("v", part_of(F.col("v"), low, high, parts_of(F.lit(100_000), low, high)).alias("part"))
+    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("part").collect()
+    assert len(sizes) == 80 and max(r.n for r in sizes) < 2_000
+    assert all(a.high < b.low for a, b in zip(sizes, sizes[1:]))
+
+
 def test_quantiles_per_group_with_a_null_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 7.0), ("b", None)], "g string, x double")
     assert {r.g: r.mid for r in quantiles(df, "x", {"mid": 0.5}, ["g"]).collect()} == {"a": 1.5, None: 7.0}

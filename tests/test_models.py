@@ -26,7 +26,7 @@ def worst(df, table, groups):
 
 def test_passive_aggressive_fits_a_plane_within_epsilon(spark):
     df = plane(spark)
-    table = mo.fit_passive_aggressive(df, FEATURES, "y", ["g"], ["id"], tolerance=0.0, patience=50, max_iter=300)
+    table = mo.fit_passive_aggressive(df, FEATURES, "y", ["g"], ["id"], tolerance=0.0, patience=50, max_iter=300, method="sequential")
     assert worst(df, table, ["g"]) <= 0.0101
     assert {r.shards for r in table.collect()} == {1}
 
@@ -34,7 +34,7 @@ def test_passive_aggressive_fits_a_plane_within_epsilon(spark):
 def test_passive_aggressive_does_not_depend_on_layout(spark):
     df = plane(spark, 60)
     fits = [
-        sorted(mo.fit_passive_aggressive(df.repartition(n), FEATURES, "y", ["g"], ["id"], max_iter=20).collect()) for n in (1, 5)
+        sorted(mo.fit_passive_aggressive(df.repartition(n), FEATURES, "y", ["g"], ["id"], max_iter=20, method="sequential").collect()) for n in (1, 5)
     ]
     assert fits[0] == fits[1]
 
@@ -51,6 +51,30 @@ def test_large_group_is_sharded_and_small_one_is_not(spark):
         assert list(row)[1:4] == pytest.approx(list(got[row.g])[1:4], rel=1e-9)
 
 
+def test_averaged_fit_is_the_same_with_and_without_broadcast(spark):
+    df = plane(spark, 200)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    fits = []
+    try:
+        for threshold, n in ((before, 1), ("-1", 1), ("-1", 7)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            table = mo.fit_passive_aggressive(df.repartition(n), FEATURES, "y", ["g"], ["id"], rows_per_shard=50, rounds=3)
+            fits.append({r.g: list(r)[1:4] for r in table.collect()})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for other in fits[1:]:
+        for g, row in fits[0].items():
+            assert other[g] == pytest.approx(row, rel=1e-9)
+
+
+def test_method_is_the_callers_choice(spark):
+    df = plane(spark, 20, ("u",))
+    with pytest.raises(ValueError, match="key_cols"):
+        mo.fit_passive_aggressive(df, FEATURES, "y")
+    with pytest.raises(ValueError, match="method"):
+        mo.fit_passive_aggressive(df, FEATURES, "y", key_cols=["id"], method="whole")
+
+
 def test_one_global_model(spark):
     df = plane(spark, 300, ("u",))
     table = mo.fit_passive_aggressive(df, FEATURES, "y", key_cols=["id"], rows_per_shard=100, rounds=5)
@@ -82,7 +106,7 @@ def test_folded_scaler_scores_raw_rows_alike(spark):
     df = plane(spark, 50, ("u", "v")).withColumn("a", F.col("a") * 100 + 7)
     scaler = scaler_fit(df, FEATURES, ["g"])
     scaled = standardise(df, scaler, FEATURES, ["g"])
-    table = mo.fit_passive_aggressive(scaled, FEATURES, "y", ["g"], ["id"], max_iter=30)
+    table = mo.fit_passive_aggressive(scaled, FEATURES, "y", ["g"], ["id"], max_iter=30, method="sequential")
     inside = mo.score_linear(scaled, table, FEATURES, ["g"]).select("g", "id", F.round("prediction", 6))
     outside = mo.score_linear(df, mo.fold_scaler(table, scaler, FEATURES, ["g"]), FEATURES, ["g"]).select("g", "id", F.round("prediction", 6))
     assert sorted(inside.collect()) == sorted(outside.collect())
