@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -61,32 +62,35 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
+        # Entry of a word by its first hash; the second is kept with the entry.
+        self.known: dict[int, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 12, np.int64)
         self.size = np.zeros(1 << 12, np.int64)
         self.uses = np.zeros(1 << 12, np.int32)
+        self.check = np.zeros(1 << 12, np.uint64)
         self.n_flat = self.n_known = 0
 
     def _forget(self) -> None:
         """Keep the words met in the most slices, half of `kept` at most, and none met in a single one."""
-        words, entry = list(self.known), np.fromiter(self.known.values(), np.int64, len(self.known))
+        keys, entry = list(self.known), np.fromiter(self.known.values(), np.int64, len(self.known))
         often = np.flatnonzero(self.uses[entry] > 1)
         often = np.sort(often[np.argsort(-self.uses[entry[often]], kind="stable")[: self.kept // 2]])
         entry = entry[often]
-        sizes, uses = self.size[entry], self.uses[entry]
+        sizes, uses, check = self.size[entry], self.uses[entry], self.check[entry]
         ids = self.flat[ragged(self.start[entry], sizes)]
         self._clear()
         self._add(ids, sizes)
         self.uses[: len(uses)] = uses // 2 + 1
-        self.known = {words[i]: k for k, i in enumerate(often.tolist())}
+        self.check[: len(check)] = check
+        self.known = {keys[i]: k for k, i in enumerate(often.tolist())}
 
     def _add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
         """Append the ids of several entries; returns the first one's number."""
         while self.n_flat + len(ids) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         while self.n_known + len(sizes) > len(self.start):
-            self.start, self.size, self.uses = (np.resize(x, 2 * len(x)) for x in (self.start, self.size, self.uses))
+            self.start, self.size, self.uses, self.check = (np.resize(x, 2 * len(x)) for x in (self.start, self.size, self.uses, self.check))
         first = self.n_known
         self.flat[self.n_flat : self.n_flat + len(ids)] = ids
         self.start[first : first + len(sizes)] = self.n_flat + np.cumsum(sizes) - sizes
@@ -96,39 +100,51 @@ class WordEncoder:
         self.n_known += len(sizes)
         return first
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode words not seen before. Letters alone, or letters before a comma or full stop, are joined by
-        blanks and told apart again by the ids that end a word; anything else is encoded by itself."""
-        plain: list[tuple[bytes, int]] = []
-        letters: list[tuple[bytes, int]] = []
-        other: list[bytes] = []
-        for word in words:
-            if word.isalpha() and word.islower():
-                plain.append((word, 1))
-                continue
-            text = word.decode()
+    def _learn(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray, plain: np.ndarray) -> np.ndarray:
+        """Encode words not seen before; returns their entries. Letters alone, or letters before a comma or full stop,
+        are joined by blanks and told apart again by the ids that end a word; anything else is encoded by itself.
+        `plain` marks words of a-z alone."""
+        entry = np.zeros(len(starts), np.int64)
+        letters: list[tuple[int, str, int]] = []
+        other: list[tuple[int, str]] = []
+        rest = np.flatnonzero(~plain)
+        for i, a, b in zip(rest.tolist(), starts[rest].tolist(), ends[rest].tolist()):
+            text = buffer[a:b].decode()
             if text.isalpha():
-                letters.append((word, 1))
+                letters.append((i, text, 1))
             elif text[-1] in ",." and text[:-1].isalpha():
-                letters.append((word, 2))
+                letters.append((i, text, 2))
             else:
-                other.append(word)
-        for tokenizer, group in ((self.plain, plain), (self.whole, letters)):
-            for i in range(0, len(group), 512):
-                some, ends = zip(*group[i : i + 512])
-                ids = np.array(tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, np.uint32)
-                last = np.flatnonzero(self.ends[ids]) + 1
-                if len(last) != sum(ends):  # a letter that folds to more than letters; never to fewer words
-                    other += some
-                    continue
-                last = last[np.cumsum(ends) - 1]
-                self.known.update(zip(some, range(self._add(ids, np.diff(last, prepend=0)), self.n_known)))
-        for i in range(0, len(other), 4096):
-            some = other[i : i + 4096]
-            coded = [x.ids for x in self.whole.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)]
+                other.append((i, text))
+
+        def joined(tokenizer, numbers: np.ndarray, text: str, counts: np.ndarray) -> bool:
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != counts.sum():  # a letter that folds to more than letters; never to fewer words
+                return False
+            last = last[np.cumsum(counts) - 1]
+            entry[numbers] = self._add(ids, np.diff(last, prepend=0)) + np.arange(len(numbers))
+            return True
+
+        data, easy = np.frombuffer(buffer, np.uint8), np.flatnonzero(plain)
+        for k in range(0, len(easy), 4096):
+            some = easy[k : k + 4096]
+            sizes = ends[some] - starts[some] + 1
+            text = data[np.minimum(ragged(starts[some], sizes), len(data) - 1)]
+            text[np.cumsum(sizes) - 1] = 0x20
+            if not joined(self.plain, some, text.tobytes().decode(), np.ones(len(some), np.int64)):
+                other += [(i, buffer[a:b].decode()) for i, a, b in zip(some.tolist(), starts[some].tolist(), ends[some].tolist())]
+        for k in range(0, len(letters), 512):
+            numbers, texts, counts = zip(*letters[k : k + 512])
+            if not joined(self.whole, np.array(numbers), " ".join(texts), np.array(counts)):
+                other += zip(numbers, texts)
+        for k in range(0, len(other), 4096):
+            numbers, texts = zip(*other[k : k + 4096])
+            coded = [x.ids for x in self.whole.encode_batch_fast(list(texts), add_special_tokens=False)]
             sizes = np.array([len(x) for x in coded], np.int64)
             ids = np.fromiter((y for x in coded for y in x), np.uint32, int(sizes.sum()))
-            self.known.update(zip(some, range(self._add(ids, sizes), self.n_known)))
+            entry[list(numbers)] = self._add(ids, sizes) + np.arange(len(numbers))
+        return entry
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and the number of ids of each text; null counts as empty."""
@@ -151,15 +167,20 @@ class WordEncoder:
         if special.any():
             keep = ~special[own]
             starts, ends, own, h, check = starts[keep], ends[keep], own[keep], h[keep], check[keep]
-        codes, _ = pd.factorize(h)
-        first = np.zeros(int(codes.max()) + 1 if len(codes) else 0, np.int64)
+        codes, distinct = pd.factorize(h)
+        first = np.zeros(len(distinct), np.int64)
         first[codes[::-1]] = np.arange(len(codes))[::-1]
-        if (check != check[first[codes]]).any():
+        known, keys = self.known, distinct.tolist()
+        met = np.fromiter(map(known.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(met < 0)
+        if len(new):
+            a, b = starts[first[new]], ends[first[new]]
+            not_az = np.concatenate(([0], np.cumsum((data < 0x61) | (data > 0x7A), dtype=np.int32)))
+            met[new] = self._learn(buffer, a, b, not_az[a] == not_az[b])
+            self.check[met[new]] = check[first[new]]
+            known.update(zip(distinct[new].tolist(), met[new].tolist()))
+        if (check != self.check[met][codes]).any():
             raise ValueError("two different words have one hash")
-        words = [buffer[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        known = self.known
-        self._learn([w for w in words if w not in known])
-        met = np.array([known[w] for w in words], np.int64)
         self.uses[met] += 1
         entry = met[codes] if len(codes) else codes
         if special.any():
