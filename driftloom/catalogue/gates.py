@@ -64,13 +64,20 @@ def _flat(df, *lists):
 
 def validation_verdict_lineitem(spark, sf_dir):
     train, scored = _scored(spark, sf_dir)
-    verdicts = validate_run(scored, LABEL, "prediction", SEGMENT, thresholds=GATES, train=train)
+    verdicts = validate_run(scored, LABEL, "prediction", SEGMENT, thresholds=GATES, train=train, evidence=False)
     return _flat(verdicts, "failed_thresholds", "failed_baseline")
 
 
+def verdict_evidence_lineitem(spark, sf_dir):
+    """What the verdicts rest on, one row per segment and metric."""
+    train, scored = _scored(spark, sf_dir)
+    verdicts = validate_run(scored, LABEL, "prediction", SEGMENT, thresholds=GATES, train=train)
+    return rounded(verdicts.select(*SEGMENT, F.inline("evidence")), 8, "value", "baseline_value")
+
+
 def classification_verdict_orders(spark, sf_dir):
     rows = status_guess(spark, sf_dir)
-    verdicts = validate_run(rows, "o_orderstatus", "guess", ["o_orderpriority"], "classification", train=rows)
+    verdicts = validate_run(rows, "o_orderstatus", "guess", ["o_orderpriority"], "classification", train=rows, evidence=False)
     return _flat(verdicts, "failed_thresholds", "failed_baseline")
 
 
@@ -147,6 +154,12 @@ QUERIES: dict[str, Query] = {
         f"""WITH {TESTED}, {COMPARED}, {BOUNDS}, {_gate_sql('cand', 'gated')}
         SELECT *, 'naive_baseline' AS baseline_source FROM {_verdict_sql('gated', 'cmp', KEYS)}""",
     ),
+    "verdict_evidence_lineitem": (
+        verdict_evidence_lineitem,
+        f"""WITH {TESTED}, {COMPARED}, {BOUNDS} SELECT {KEYS}, metric, {r('value', 8, 'value')}, threshold,
+        {r('baseline_value', 8, 'baseline_value')}, coalesce({_pass('value', 'threshold')}, threshold IS NULL) AS threshold_ok,
+        {_pass('value', 'baseline_value')} AS baseline_ok FROM cmp LEFT JOIN bounds USING (metric)""",
+    ),
     "classification_verdict_orders": (
         classification_verdict_orders,
         f"""WITH c AS (SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2),

@@ -82,10 +82,15 @@ def gate_compared(compared: DataFrame, group_cols: Sequence[str] = ()) -> DataFr
         "value",
         "baseline_value",
         F.try_divide(gain, F.abs(base)).alias("delta"),
-        F.when(base.isNull(), F.lit(True)).otherwise(F.coalesce(_at_least_as_good(metric, new, base), F.lit(False))).alias("passed"),
+        _meets(metric, new, base).alias("passed"),
     )
 
 
+def _meets(metric: Column, value: Column, bound: Column) -> Column:
+    """Whether a value passes its bound; a metric without a bound passes."""
+    return F.when(bound.isNull(), F.lit(True)).otherwise(F.coalesce(_at_least_as_good(metric, value, bound), F.lit(False)))
+
+
 def failed_names(passed: Column, name: Column) -> Column:
     """Aggregate: sorted names of the failed checks (there are only as many as metrics)."""
     return F.sort_array(F.collect_list(F.when(~passed, name)))
@@ -113,28 +118,37 @@ def verdict(threshold_checks: DataFrame, baseline_checks: DataFrame, group_cols:
     )
 
 
-def verdict_of(compared: DataFrame, thresholds: Mapping[str, float], group_cols: Sequence[str] = ()) -> DataFrame:
+def verdict_of(
+    compared: DataFrame, thresholds: Mapping[str, float], group_cols: Sequence[str] = (), evidence: bool = False
+) -> DataFrame:
     """`verdict` straight from a frame with `value` and `baseline_value` side by side.
 
-    Both gates are conditions on the same metric rows, so one small aggregate decides. Columns
-    of `compared` other than the metric's are not kept.
+    Both gates are conditions on the same metric rows, so one small aggregate decides. A
+    `baseline_source` of `compared` is kept. With `evidence` the measured values, thresholds,
+    baselines and both checks are kept as an array with one entry per metric, sorted by metric.
     """
     metric, value = F.col("metric"), F.col("value")
     bound = F.coalesce(*[F.when(metric == n, F.lit(float(t))) for n, t in thresholds.items()], F.lit(None).cast("double"))
-    checked = gate_compared(compared, group_cols).select(
+    source = [c for c in ("baseline_source",) if c in compared.columns]
+    checked = compared.select(
         *group_cols,
         "metric",
-        F.col("passed").alias("__baseline"),
-        F.when(bound.isNull(), F.lit(True))
-        .otherwise(F.coalesce(_at_least_as_good(metric, value, bound), F.lit(False)))
-        .alias("__threshold"),
+        "value",
+        bound.alias("threshold"),
+        "baseline_value",
+        _meets(metric, value, bound).alias("threshold_ok"),
+        _meets(metric, value, F.col("baseline_value")).alias("baseline_ok"),
+        *source,
     )
+    listed = F.struct("metric", "value", "threshold", "baseline_value", "threshold_ok", "baseline_ok")
     return checked.groupBy(*group_cols).agg(
-        F.bool_and(F.col("__threshold") & F.col("__baseline")).alias("validation_passed"),
-        F.bool_and("__threshold").alias("threshold_passed"),
-        F.bool_and("__baseline").alias("baseline_passed"),
-        failed_names(F.col("__threshold"), metric).alias("failed_thresholds"),
-        failed_names(F.col("__baseline"), metric).alias("failed_baseline"),
+        F.bool_and(F.col("threshold_ok") & F.col("baseline_ok")).alias("validation_passed"),
+        F.bool_and("threshold_ok").alias("threshold_passed"),
+        F.bool_and("baseline_ok").alias("baseline_passed"),
+        failed_names(F.col("threshold_ok"), metric).alias("failed_thresholds"),
+        failed_names(F.col("baseline_ok"), metric).alias("failed_baseline"),
+        *[F.max(c).alias(c) for c in source],
+        *([F.sort_array(F.collect_list(listed)).alias("evidence")] if evidence else []),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftloom.functions.attach import attach
+from driftloom.functions.attach import attach, same_keys
 from driftloom.operators.ordering import number_rows
 from driftloom.sources.scratch import settle
 
@@ -130,3 +130,23 @@ def append_versions(
     highest = settle(existing.groupBy(*keys).agg(F.max(name).alias("__highest")))
     numbered = attach(number_versions(new, keys, order_cols, name), highest, keys)
     return numbered.select(*new.columns, (F.col(name) + F.coalesce("__highest", F.lit(0))).alias(name))
+
+
+def promotion_records(
+    decisions: DataFrame, current: DataFrame, keys: Sequence[str], version: str = "version", stage_col: str = "stage"
+) -> DataFrame:
+    """Rows to append to the log of transitions once retraining is decided.
+
+    `decisions` has one `decision` per key, `current` the versions with their `current_stage`.
+    Where the decision is `promote`, the versions in Production are archived (`step` 1) and the
+    challenger comes next to the highest version, in Production (`step` 2). Other keys give no row.
+    """
+    hidden = [f"__key_{k}" for k in keys]
+    promoted = decisions.filter(F.col("decision") == "promote").select(*keys)
+    chosen = promoted.select(*[F.col(k).alias(h) for k, h in zip(keys, hidden)])
+    archived = current.filter(F.col("current_stage") == "Production").join(chosen, same_keys(keys, hidden), "left_semi")
+    highest = current.groupBy(*keys).agg(F.max(version).alias("__highest"))
+    added = attach(promoted, highest, keys).select(
+        *keys, (F.coalesce("__highest", F.lit(0)) + 1).alias(version), F.lit("Production").alias(stage_col), F.lit(2).alias("step")
+    )
+    return archived.select(*keys, version, F.lit("Archived").alias(stage_col), F.lit(1).alias("step")).unionByName(added)

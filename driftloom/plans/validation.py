@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.functions.attach import attach
 from driftloom.operators.gates import default_thresholds, retrain_decision, verdict_of
 from driftloom.operators.metrics import (
     VALIDATION_METRICS,
@@ -86,16 +85,15 @@ def validate_run(
     train: DataFrame | None = None,
     previous: str | None = None,
     naive: DataFrame | None = None,
+    evidence: bool = True,
 ) -> DataFrame:
-    """One verdict row per segment for the scored test rows.
+    """One verdict row per segment for the scored test rows, with the values it rests on as `evidence`.
 
     The baseline is the previous model's prediction column where given and complete, otherwise
     the mean or majority label of `train`, which is then required.
     """
     compared = compare_with_baseline(scored, label, prediction, group_cols, model_type, train, previous, naive)
-    limits = default_thresholds(model_type, thresholds)
-    source = compared.groupBy(*group_cols).agg(F.max("baseline_source").alias("baseline_source"))
-    return attach(verdict_of(compared, limits, group_cols), source, group_cols)
+    return verdict_of(compared, default_thresholds(model_type, thresholds), group_cols, evidence)
 
 
 def retrain_run(
@@ -114,6 +112,6 @@ def retrain_run(
     that neither is compared with itself.
     """
     naive = naive_baseline(train, label, group_cols, model_type)
-    held = validate_run(scored, label, champion, group_cols, model_type, thresholds, naive=naive)
-    offered = validate_run(scored, label, challenger, group_cols, model_type, thresholds, previous=champion, naive=naive)
+    held = validate_run(scored, label, champion, group_cols, model_type, thresholds, naive=naive, evidence=False)
+    offered = validate_run(scored, label, challenger, group_cols, model_type, thresholds, previous=champion, naive=naive, evidence=False)
     return retrain_decision(held, offered, group_cols)

@@ -1,6 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
-from driftloom.operators import gates, metrics
+from driftloom.operators import gates, logstate, metrics
 from driftloom.plans.validation import retrain_run, validate_run
 
 
@@ -135,3 +136,34 @@ def test_validate_and_retrain_runs(spark):
     assert decisions == {"good": "promote", "bad": "keep"}
     with pytest.raises(ValueError, match="train rows"):
         validate_run(scored, "label")
+
+
+def test_a_verdict_carries_its_evidence(spark):
+    compared = spark.createDataFrame(
+        [("a", "r2", 0.7, 0.9, "naive_baseline"), ("a", "mape", float("nan"), None, "naive_baseline"), ("a", "mae", 1.0, 2.0, "naive_baseline")],
+        "seg string, metric string, value double, baseline_value double, baseline_source string",
+    )
+    (row,) = gates.verdict_of(compared, {"r2": 0.65, "mape": 0.15}, ["seg"], evidence=True).collect()
+    got = {e.metric: (e.threshold, e.baseline_value, e.threshold_ok, e.baseline_ok) for e in row.evidence}
+    assert got == {"mae": (None, 2.0, True, True), "mape": (0.15, None, False, True), "r2": (0.65, 0.9, True, False)}
+    assert row.baseline_source == "naive_baseline" and not row.validation_passed
+
+
+def test_promotion_rows_fold_into_the_next_stages(spark):
+    decisions = spark.createDataFrame(
+        [("a", "promote"), ("b", "keep"), ("c", "promote"), (None, "promote"), ("d", "reject")], "model string, decision string"
+    )
+    current = spark.createDataFrame(
+        [("a", 1, "Archived"), ("a", 2, "Production"), ("a", 3, "Staging"), ("b", 1, "Production"), (None, 7, "Production"), ("d", 1, "None")],
+        "model string, version int, current_stage string",
+    )
+    rows = logstate.promotion_records(decisions, current, ["model"])
+    got = {(r.model, r.version, r.stage, r.step) for r in rows.collect()}
+    assert got == {
+        ("a", 2, "Archived", 1), ("a", 4, "Production", 2), ("c", 1, "Production", 2), (None, 7, "Archived", 1), (None, 8, "Production", 2),
+    }
+    log = current.withColumnRenamed("current_stage", "stage").withColumn("step", F.lit(0)).unionByName(rows)
+    folded = {(r.model, r.version): r.current_stage for r in logstate.fold_stages(log, ["model"], ["version"], ["step"]).collect()}
+    assert folded[("a", 2)] == "Archived" and folded[("a", 4)] == "Production" and folded[("a", 3)] == "Staging"
+    assert folded[("b", 1)] == "Production" and folded[(None, 8)] == "Production"
+    assert logstate.promotion_records(decisions.filter("false"), current, ["model"]).count() == 0
