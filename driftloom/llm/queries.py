@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftloom.llm import decontamination, embedding_cells, language, licences, mixing, pseudonyms, simhash, substrings, suffix_arrays, token_output
+from driftloom.llm import decontamination, embedding_cells, language, licences, mixing, pseudonyms, simhash, spelling, substrings, suffix_arrays, token_output, toxicity, word_runs
 from driftloom.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -57,6 +57,18 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_cells.linked_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_report(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.periodic_report(table(spark, sf_dir, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -130,6 +142,54 @@ counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM v JOIN smallest USING (vec_id) LEFT JOIN counted USING (vec_id)"""
 
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text with code points below 2048, bit by bit."""
+    points = f"list_transform(string_split({text}, ''), lambda c: ord(c))"
+    coded = f"flatten(list_transform({points}, lambda c: CASE WHEN c < 128 THEN [c] ELSE [192 + (c >> 6), 128 + (c & 63)] END))"
+    steps = f"flatten(list_transform({coded}, lambda b: [b::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    fold = "CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda a, x: {fold}), 4294967295)"
+
+
+_RUNS = "regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')"
+OP11_SQL = f"""
+WITH RECURSIVE runs AS (SELECT doc_id, translate(run, '{spelling._UPPER}', '{spelling._LOWER}') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest({_RUNS}) AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc32("doc_id || ':' || run")} AS h FROM runs),
+words AS (SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2),
+cuts AS (SELECT word, n, length(word) AS size, i, word[:i] || word[i + 2:] AS less FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+dropped AS (SELECT DISTINCT word, n, less FROM cuts),
+near AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.size = b.size AND a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION ALL SELECT d.word, d.n, w.word, w.n FROM dropped d JOIN words w ON d.less = w.word
+  UNION ALL SELECT w.word, w.n, d.word, d.n FROM dropped d JOIN words w ON d.less = w.word),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS nth FROM near),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+  CASE WHEN other_n >= 10 * w.n THEN other_n END::BIGINT AS form_n FROM words w LEFT JOIN ranked r ON r.word = w.word AND nth = 1),
+chain AS (SELECT word, word AS last, form AS next FROM formed
+  UNION ALL SELECT c.word, c.next, f.form FROM chain c JOIN formed f ON f.word = c.next)
+SELECT f.word, form, c.last AS root, n, n_near, form_n FROM formed f JOIN chain c ON c.word = f.word AND c.next IS NULL"""
+
+# Words q apart are found as equal stretches of five words, which every run's shift holds at least.
+OP12_SQL = rf"""
+WITH given AS (SELECT doc_id, text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w, {_crc32("doc_id::VARCHAR")} AS h FROM documents),
+placed AS (SELECT doc_id, w, h % 10 = 0 AND len(w) > 0 AS turned, (h // 10) % greatest(len(w), 1) AS a, h // 10 AS g FROM given),
+docs AS (SELECT doc_id, CASE WHEN turned THEN list_transform(range(len(w)), lambda i:
+  w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(w) - a) // (3 + g % 8)) END + 1]) ELSE w END AS w FROM placed),
+fives AS (SELECT doc_id, i, array_to_string(w[i + 1 : i + 5], ' ') AS five FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS i FROM docs WHERE len(w) > 4)),
+pairs AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM fives a JOIN fives b ON a.doc_id = b.doc_id AND a.five = b.five AND a.i < b.i),
+islands AS (SELECT doc_id, q, min(i) AS s, count(*) + 4 + q AS size
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs) GROUP BY doc_id, q, island),
+runs AS (SELECT doc_id, s, size, min(q) AS q FROM islands GROUP BY ALL HAVING size >= greatest(6, 4 * min(q))),
+gone AS (SELECT doc_id, list(DISTINCT k) AS ks FROM (SELECT doc_id, unnest(range(s + q, s + size)) AS k FROM runs) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || size || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM runs GROUP BY doc_id),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY size::DOUBLE / q DESC, s, q) AS nth FROM runs) WHERE nth = 1)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, size::BIGINT AS length, q::BIGINT AS period, (1000 * size // q)::BIGINT AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(ks, []), i - 1)), ' ')) AS collapsed_sha256
+FROM docs d LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN gone USING (doc_id)"""
+
 QUERIES = {
     "op1_token_output": (op1_token_output, None),
     "op2_decontamination": (op2_decontamination, OP2_SQL),
@@ -141,4 +201,7 @@ QUERIES = {
     "op8_substring_dedup": (op8_substring_dedup, OP8_SQL),
     "op9_simhash": (op9_simhash, None),
     "op10_embedding_dedup": (op10_embedding_dedup, OP10_SQL),
+    "op11_spelling_variants": (op11_spelling_variants, OP11_SQL),
+    "op12_periodic_runs": (op12_periodic_runs, OP12_SQL),
+    "op13_toxicity": (op13_toxicity, None),
 }
