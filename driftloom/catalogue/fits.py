@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from driftloom.catalogue.common import Query, hash_share_sql, metrics_sql, r, rounded, table
@@ -12,21 +13,25 @@ from driftloom.operators.metrics import (
     confusion,
     majority_baseline,
     mean_baseline,
+    n_unlabelled,
     numeric_metrics,
     regression_metrics,
     weighted_metrics,
 )
 from driftloom.operators.models import (
+    best_candidates,
     coef,
     fit_candidates,
     fit_least_squares,
     fit_passive_aggressive,
     fit_scaled,
     fit_single_feature,
+    least_squares_table,
     score_linear,
     training_metrics,
 )
 from driftloom.operators.scaling import scaler_fit, standardise
+from driftloom.operators.scoring import LinearTable, PythonModel, spark_candidate
 from driftloom.operators.splits import except_rows, hash_split, temporal_split
 from driftloom.plans.training import passive_aggressive_candidate, prepare_training, train_run
 
@@ -105,12 +110,12 @@ def multi_feature_fit_lineitem(spark, sf_dir):
     return rounded(fitted, 2, "intercept", *[coef(c) for c in MANY])
 
 
-def _many_sql() -> str:
-    """Ordinary least squares on three features by Cramer's rule."""
+def slopes_sql(keys: str = "", source: str = "lineitem") -> str:
+    """Relations `s` and `f` with ordinary least squares on three features (b1, b2, b3, b0) by Cramer's rule, per group of `keys`."""
     s = lambda a, b: f"covar_pop({a}, {b})"
     names = {1: "l_quantity", 2: "l_discount", 3: "l_tax", "y": "l_extendedprice"}
     sums = [f"{s(names[i], names[j])} AS s{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3, "y")]
-    means = [f"avg({v}) AS m{k}" for k, v in names.items()]
+    means = [f"avg({v}) AS m{k}" for k, v in names.items()] + ["count(*) AS n_rows", "var_pop(l_extendedprice) AS syy"]
 
     def det(columns):
         (a, b, c), (d, e, f), (g, h, i) = [[f"s{row}{col}" for col in columns] for row in (1, 2, 3)]
@@ -118,8 +123,57 @@ def _many_sql() -> str:
 
     full = det([1, 2, 3])
     slopes = [det([("y" if col == k else col) for col in (1, 2, 3)]) + f" / {full} AS b{k}" for k in (1, 2, 3)]
-    out = [r(f"b{k}", 2, coef(names[k])) for k in (1, 2, 3)] + [r("my - b1*m1 - b2*m2 - b3*m3", 2, "intercept")]
-    return f"WITH s AS (SELECT {', '.join(sums + means)} FROM lineitem), f AS (SELECT *, {', '.join(slopes)} FROM s) SELECT {', '.join(out)} FROM f"
+    head, tail = (f"{keys}, ", f" GROUP BY {keys}") if keys else ("", "")
+    return f"""s AS (SELECT {head}{', '.join(sums + means)} FROM {source}{tail}),
+    f AS (SELECT *, my - b1*m1 - b2*m2 - b3*m3 AS b0 FROM (SELECT *, {', '.join(slopes)} FROM s))"""
+
+
+def _many_sql() -> str:
+    out = [r(f"b{k}", 2, coef(c)) for k, c in enumerate(MANY, 1)] + [r("b0", 2, "intercept")]
+    return f"WITH {slopes_sql()} SELECT {', '.join(out)} FROM f"
+
+
+def grouped_fit_lineitem(spark, sf_dir):
+    """Three features per segment, with what the fit rests on."""
+    fitted = least_squares_table(table(spark, sf_dir, "lineitem"), MANY, "l_extendedprice", ["l_returnflag", "l_linestatus"])
+    return rounded(rounded(fitted, 2, "intercept", *[coef(c) for c in MANY]), 8, "fit_r2")
+
+
+def ml_score_lineitem(spark, sf_dir):
+    """A fitted `spark.ml` regression behind the model contract."""
+    lines = table(spark, sf_dir, "lineitem").select(*ROW, *MANY, "l_extendedprice")
+    model = spark_candidate(LinearRegression(solver="normal"))(lines, MANY, "l_extendedprice")
+    return rounded(model.score(lines).select(*ROW, "prediction"), 2, "prediction")
+
+
+def python_score_lineitem(spark, sf_dir):
+    """A Python model that workers load once, behind the same contract; rows with a null feature stay."""
+    rates = {"base": 900.0, "step": 12.5}
+
+    def predict(model, batch):
+        quantity, discount = (batch.column(c).to_numpy() for c in ("l_quantity", "l_discount"))
+        return model["base"] * quantity * (1 - discount) + model["step"]
+
+    lines = table(spark, sf_dir, "lineitem").select(*ROW, "l_quantity", "l_discount")
+    known = lines.withColumn("l_discount", F.when(F.col("l_quantity") != 7, F.col("l_discount")))
+    model = PythonModel(lambda: rates, predict, ("l_quantity", "l_discount"))
+    return rounded(model.score(known).select(*ROW, "prediction"), 4, "prediction")
+
+
+def _few(df, features, label, group_cols=()):
+    """A line on quantity alone, in vain for returned goods."""
+    fitted = fit_single_feature(df, ["l_quantity"], label, group_cols)
+    hit = F.col("l_returnflag") == "R"
+    kept = fitted.select(*group_cols, F.when(~hit, F.col("intercept")).alias("intercept"), coef("l_quantity"))
+    return LinearTable(kept, ("l_quantity",), tuple(group_cols))
+
+
+def best_candidate_lineitem(spark, sf_dir):
+    """The best candidate of every segment, one of them failing in one segment."""
+    rows = split_lineitem(spark, sf_dir, "l_returnflag", *MANY, "l_extendedprice")
+    candidates = {"line": _few, "plane": fit_least_squares}
+    _, results = fit_candidates(rows, candidates, MANY, "l_extendedprice", ["l_returnflag"])
+    return rounded(best_candidates(results, ["l_returnflag"]), 4, "val_rmse")
 
 
 def batch_score_lineitem(spark, sf_dir):
@@ -188,6 +242,24 @@ def binary_metrics_labels(spark, sf_dir):
     return rounded(binary_metrics(table(spark, sf_dir, "labels"), "quality", "toxic"), 8, "value")
 
 
+def _partly_labelled(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return labels.withColumn("quality", F.when(F.col("doc_id") % 7 != 0, F.col("quality")))
+
+
+def unlabelled_binary_labels(spark, sf_dir):
+    """Rows without a label are in no metric."""
+    return rounded(binary_metrics(_partly_labelled(spark, sf_dir), "quality", "toxic"), 8, "value")
+
+
+def unlabelled_weighted_labels(spark, sf_dir):
+    return rounded(weighted_metrics(_partly_labelled(spark, sf_dir), "quality", "toxic"), 8, "value")
+
+
+def n_unlabelled_labels(spark, sf_dir):
+    return n_unlabelled(_partly_labelled(spark, sf_dir), "quality", ["toxic"])
+
+
 def confusion_labels(spark, sf_dir):
     return confusion(table(spark, sf_dir, "labels"), "quality", "toxic")
 
@@ -292,6 +364,32 @@ QUERIES: dict[str, Query] = {
         FROM {metrics_sql('s', 'y', 'p', ['l_returnflag', 'split'], ['mse', 'mae', 'rmse', 'r2'])}""",
     ),
     "multi_feature_fit_lineitem": (multi_feature_fit_lineitem, _many_sql()),
+    "grouped_fit_lineitem": (
+        grouped_fit_lineitem,
+        f"""WITH {slopes_sql("l_returnflag, l_linestatus")} SELECT l_returnflag, l_linestatus, n_rows, 3::BIGINT AS rank,
+        {', '.join([r(f"b{k}", 2, coef(c)) for k, c in enumerate(MANY, 1)] + [r("b0", 2, "intercept")])},
+        {r("(b1 * s1y + b2 * s2y + b3 * s3y) / syy", 8, "fit_r2")} FROM f""",
+    ),
+    "ml_score_lineitem": (
+        ml_score_lineitem,
+        f"""WITH {slopes_sql()} SELECT {', '.join(ROW)}, {r("b0 + b1 * l_quantity + b2 * l_discount + b3 * l_tax", 2, "prediction")} FROM lineitem, f""",
+    ),
+    "python_score_lineitem": (
+        python_score_lineitem,
+        f"""SELECT {', '.join(ROW)}, {r("CASE WHEN l_quantity <> 7 THEN 900.0::DOUBLE * l_quantity * (1 - l_discount) + 12.5::DOUBLE END", 4, "prediction")}
+        FROM lineitem""",
+    ),
+    "best_candidate_lineitem": (
+        best_candidate_lineitem,
+        f"""WITH x AS ({SPLIT_LINES}), t AS (SELECT * FROM x WHERE split = 'train'), {slopes_sql("l_returnflag", "t")},
+        l AS (SELECT l_returnflag, regr_intercept(l_extendedprice, l_quantity) AS b, regr_slope(l_extendedprice, l_quantity) AS w FROM t GROUP BY 1),
+        e AS (SELECT x.l_returnflag, sqrt(avg(pow(l_extendedprice - b - w * l_quantity, 2))) AS line,
+          sqrt(avg(pow(l_extendedprice - b0 - b1 * l_quantity - b2 * l_discount - b3 * l_tax, 2))) AS plane
+          FROM x JOIN f USING (l_returnflag) JOIN l USING (l_returnflag) WHERE split = 'test' GROUP BY 1),
+        c AS (SELECT *, l_returnflag <> 'R' AND line <= plane AS first FROM e)
+        SELECT l_returnflag, CASE WHEN first THEN 'line' ELSE 'plane' END AS best, {r("CASE WHEN first THEN line ELSE plane END", 4, "val_rmse")},
+        CASE WHEN l_returnflag = 'R' THEN 1 ELSE 2 END::BIGINT AS n_ok, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END::BIGINT AS n_failed FROM c""",
+    ),
     "batch_score_lineitem": (
         batch_score_lineitem,
         f"""WITH {FIT} SELECT {', '.join(ROW)}, l_returnflag, {r('b + w * l_quantity', 4, 'prediction')}
@@ -327,6 +425,24 @@ QUERIES: dict[str, Query] = {
         UNION ALL SELECT 'recall', coalesce(round(tp::DOUBLE / nullif(t, 0), 8), 0) FROM c
         UNION ALL SELECT 'f1', coalesce(round(2.0::DOUBLE * tp / nullif(t + p, 0), 8), 0) FROM c""",
     ),
+    "unlabelled_binary_labels": (
+        unlabelled_binary_labels,
+        """WITH c AS (SELECT count(*)::DOUBLE AS n, count(*) FILTER (quality = toxic) AS ok, count(*) FILTER (quality = 1 AND toxic = 1) AS tp,
+          count(*) FILTER (quality = 1) AS t, count(*) FILTER (toxic = 1) AS p FROM labels WHERE doc_id % 7 <> 0)
+        SELECT 'accuracy' AS metric, round(ok / n, 8) AS value FROM c
+        UNION ALL SELECT 'precision', coalesce(round(tp::DOUBLE / nullif(p, 0), 8), 0) FROM c
+        UNION ALL SELECT 'recall', coalesce(round(tp::DOUBLE / nullif(t, 0), 8), 0) FROM c
+        UNION ALL SELECT 'f1', coalesce(round(2.0::DOUBLE * tp / nullif(t + p, 0), 8), 0) FROM c""",
+    ),
+    "unlabelled_weighted_labels": (
+        unlabelled_weighted_labels,
+        f"""WITH s AS (SELECT quality AS y, toxic AS p FROM labels WHERE doc_id % 7 <> 0)
+        SELECT metric, {r('value', 8, 'value')} FROM {weighted_sql('s', 'y', 'p', [])}""",
+    ),
+    "n_unlabelled_labels": (
+        n_unlabelled_labels,
+        "SELECT toxic, count(*) AS n_rows, count(*) FILTER (doc_id % 7 = 0 OR quality IS NULL) AS n_unlabelled FROM labels GROUP BY 1",
+    ),
     "confusion_labels": (confusion_labels, "SELECT quality, toxic, count(*) AS n FROM labels GROUP BY 1, 2"),
     "weighted_metrics_orders": (
         weighted_metrics_orders,

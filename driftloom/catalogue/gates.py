@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from driftloom.catalogue.common import Query, metrics_sql, r, rounded
 from driftloom.catalogue.fits import GUESS, SPLIT_LINES, split_lineitem, status_guess, weighted_sql
 from driftloom.operators.gates import gate_compared, threshold_gate
-from driftloom.operators.models import fit_single_feature, score_linear
-from driftloom.plans.validation import compare_with_baseline, retrain_run, validate_run, validation_metrics
+from driftloom.operators.models import coef, fit_single_feature, score_linear
+from driftloom.operators.scoring import LinearTable, PythonModel, spark_candidate
+from driftloom.plans.validation import compare_with_baseline, retrain_run, validate_model, validate_run, validation_metrics
 
 SEGMENT = ["l_returnflag", "l_linestatus"]
 # Gates loose enough for some segments to pass and others to fail; f1 is not a regression metric.
@@ -68,6 +72,37 @@ def validation_verdict_lineitem(spark, sf_dir):
     return _flat(verdicts, "failed_thresholds", "failed_baseline")
 
 
+def validation_untrained_lineitem(spark, sf_dir):
+    """Returned goods have no training rows, so no baseline holds them back."""
+    train, scored = _scored(spark, sf_dir)
+    known = train.filter("l_returnflag <> 'R'")
+    return _flat(validate_run(scored, LABEL, "prediction", SEGMENT, thresholds=GATES, train=known, evidence=False), "failed_thresholds", "failed_baseline")
+
+
+def retrain_untrained_lineitem(spark, sf_dir):
+    train, scored = _scored(spark, sf_dir)
+    both = scored.withColumn("champion", F.lit(53000.0))
+    return retrain_run(both, LABEL, "champion", "prediction", train.filter("l_returnflag <> 'R'"), SEGMENT, thresholds=GATES)
+
+
+def any_model_verdict_lineitem(spark, sf_dir):
+    """The same line as a coefficient table, a `spark.ml` model and a Python one: three verdicts per segment."""
+    rows = split_lineitem(spark, sf_dir, *SEGMENT, SLOPE, LABEL)
+    train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
+    line = fit_single_feature(train, [SLOPE], LABEL)
+    b, w = line.select("intercept", coef(SLOPE)).first()
+    models = {
+        "table": LinearTable(line, (SLOPE,)),
+        "spark_ml": spark_candidate(LinearRegression(solver="normal"))(train, [SLOPE], LABEL),
+        "python": PythonModel(lambda: (b, w), lambda model, batch: model[0] + model[1] * batch.column(SLOPE).to_numpy(), (SLOPE,)),
+    }
+    verdicts = [
+        validate_model(test, model, LABEL, (SLOPE,), SEGMENT, train=train, thresholds=GATES, evidence=False).withColumn("model", F.lit(name))
+        for name, model in models.items()
+    ]
+    return _flat(reduce(lambda x, y: x.unionByName(y), verdicts), "failed_thresholds", "failed_baseline")
+
+
 def verdict_evidence_lineitem(spark, sf_dir):
     """What the verdicts rest on, one row per segment and metric."""
     train, scored = _scored(spark, sf_dir)
@@ -105,6 +140,10 @@ def _metrics(p: str) -> str:
 
 COMPARED = f"""cand AS {_metrics('p')}, base AS {_metrics('q')},
 cmp AS (SELECT cand.*, base.value AS baseline_value FROM cand LEFT JOIN base USING ({KEYS}, metric))"""
+# Where there is no baseline the candidate is put in its place, which always passes.
+UNTRAINED = f"""cand AS {_metrics('p')}, base AS {_metrics('q')},
+cmp AS (SELECT cand.*, CASE WHEN l_returnflag = 'R' THEN cand.value ELSE base.value END AS baseline_value
+  FROM cand LEFT JOIN base USING ({KEYS}, metric))"""
 BOUNDS = "bounds AS (SELECT * FROM (VALUES " + ", ".join(f"('{m}', {v}::DOUBLE)" for m, v in GATES.items()) + ") AS g(metric, threshold))"
 
 
@@ -154,6 +193,33 @@ QUERIES: dict[str, Query] = {
         f"""WITH {TESTED}, {COMPARED}, {BOUNDS}, {_gate_sql('cand', 'gated')}
         SELECT *, 'naive_baseline' AS baseline_source FROM {_verdict_sql('gated', 'cmp', KEYS)}""",
     ),
+    "validation_untrained_lineitem": (
+        validation_untrained_lineitem,
+        f"""WITH {TESTED}, {UNTRAINED}, {BOUNDS}, {_gate_sql('cand', 'gated')}
+        SELECT *, CASE WHEN l_returnflag <> 'R' THEN 'naive_baseline' END AS baseline_source FROM {_verdict_sql('gated', 'cmp', KEYS)}""",
+    ),
+    "retrain_untrained_lineitem": (
+        retrain_untrained_lineitem,
+        f"""WITH {TESTED}, {BOUNDS}, {UNTRAINED}, champ AS {_metrics('c')},
+        cmp1 AS (SELECT champ.*, CASE WHEN l_returnflag = 'R' THEN champ.value ELSE base.value END AS baseline_value
+          FROM champ LEFT JOIN base USING ({KEYS}, metric)),
+        cmp2 AS (SELECT cand.*, champ.value AS baseline_value FROM cand LEFT JOIN champ USING ({KEYS}, metric)),
+        {_gate_sql('champ', 'gate1')}, {_gate_sql('cand', 'gate2')},
+        v AS (SELECT {KEYS}, a.validation_passed AS champion_passed, b.validation_passed AS challenger_passed
+          FROM {_verdict_sql('gate1', 'cmp1', KEYS)} a JOIN {_verdict_sql('gate2', 'cmp2', KEYS)} b USING ({KEYS}))
+        SELECT *, CASE WHEN champion_passed THEN 'keep' WHEN challenger_passed THEN 'promote' ELSE 'reject' END AS decision FROM v""",
+    ),
+    "any_model_verdict_lineitem": (
+        any_model_verdict_lineitem,
+        f"""WITH x AS ({SPLIT_LINES}), g AS (SELECT regr_intercept(l_extendedprice, l_quantity) AS b, regr_slope(l_extendedprice, l_quantity) AS w
+          FROM x WHERE split = 'train'),
+        f AS (SELECT l_returnflag, l_linestatus, avg(l_extendedprice) AS naive FROM x WHERE split = 'train' GROUP BY 1, 2),
+        s AS (SELECT x.l_returnflag, x.l_linestatus, l_extendedprice AS y, b + w * l_quantity AS p, naive AS q
+          FROM x JOIN f USING (l_returnflag, l_linestatus), g WHERE split = 'test'),
+        {COMPARED}, {BOUNDS}, {_gate_sql('cand', 'gated')}
+        SELECT *, 'naive_baseline' AS baseline_source FROM {_verdict_sql('gated', 'cmp', KEYS)},
+        (SELECT unnest(['table', 'spark_ml', 'python']) AS model)""",
+    ),
     "verdict_evidence_lineitem": (
         verdict_evidence_lineitem,
         f"""WITH {TESTED}, {COMPARED}, {BOUNDS} SELECT {KEYS}, metric, {r('value', 8, 'value')}, threshold,

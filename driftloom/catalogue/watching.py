@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftloom.catalogue.common import Query, chi_square_sql, ks_sql, metrics_sql, r, rounded, table
+from driftloom.functions.attach import attach
 from driftloom.operators.drift import chi_square_test, drift_summary, feature_drift, ks_test
 from driftloom.operators.gates import degradation_of
 from driftloom.operators.models import fit_single_feature, score_linear
+from driftloom.operators.ordering import quantiles
 from driftloom.operators.predictions import distribution_summary, iqr_outliers, prediction_monitor
+from driftloom.operators.sketches import merge_sketches, read_quantiles, sketch_values
+from driftloom.plans.history import monitor_periods, record_periods
 from driftloom.plans.monitoring import compare_samples, monitor_run, samples_by_date
+from driftloom.sources.scratch import fresh_path, settle
 
 TEST_COLUMNS = ["feature", "kind", "n_ref", "n_cur", "statistic", "p_value"]
 
@@ -81,6 +86,33 @@ def iqr_outliers_lineitem(spark, sf_dir):
     return rounded(outliers, 6, "q1", "q3", "lower_bound", "upper_bound", "outlier_rate")
 
 
+def approx_quartiles_lineitem(spark, sf_dir):
+    """Sketched quartiles of each day's part merged, and whether their exact ranks are within the stated error."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_extendedprice")
+    probs, accuracy = {"q1": 0.25, "median": 0.5, "q3": 0.75}, 0.02
+    parts = sketch_values(lines, "l_extendedprice", ["l_returnflag", "l_linestatus"], accuracy)
+    found = settle(read_quantiles(merge_sketches(parts, ["l_returnflag"], accuracy), probs, ["l_returnflag"]))
+    beside = attach(lines, found, ["l_returnflag"])
+    ranks = [
+        F.struct(
+            F.lit(name).alias("name"),
+            (F.count_if(F.col("l_extendedprice") < F.col(name)) / F.count(F.lit(1)) <= p + accuracy).alias("not_above"),
+            (F.count_if(F.col("l_extendedprice") <= F.col(name)) / F.count(F.lit(1)) >= p - accuracy).alias("not_below"),
+        ).alias(f"__{name}")
+        for name, p in probs.items()
+    ]
+    held = beside.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), *ranks)
+    return held.select("l_returnflag", "n", F.inline(F.array(*[f"__{n}" for n in probs])))
+
+
+def approx_median_events(spark, sf_dir):
+    """A coarse median through the accuracy flag of the summary, as a test of whether it is near the exact one."""
+    summary = distribution_summary(table(spark, sf_dir, "events"), "value", ["event_type"], accuracy=0.05)
+    exact = quantiles(table(spark, sf_dir, "events"), "value", {"low": 0.44, "high": 0.56}, ["event_type"])
+    near = attach(summary, exact, ["event_type"])
+    return near.select("event_type", F.col("median").between(F.col("low"), F.col("high")).alias("within"))
+
+
 def prediction_drift_events(spark, sf_dir):
     watched = prediction_monitor(table(spark, sf_dir, "events"), "value", ["event_type"], *_event_samples(), method="asymptotic")
     return rounded(watched, 6, "mean", "std", "min", "max", "median", "statistic", "p_value")
@@ -121,7 +153,22 @@ def report_lineitem(spark, sf_dir):
 
 
 def monitoring_report_lineitem(spark, sf_dir):
-    return report_lineitem(spark, sf_dir).select(
+    return flat_report(report_lineitem(spark, sf_dir))
+
+
+def history_report_lineitem(spark, sf_dir):
+    """The report from counts that every year has left; the last year is recorded later than the others, one twice."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_extendedprice", "l_shipdate")
+    fitted = fit_single_feature(lines.filter(F.year("l_shipdate") < 2001), ["l_quantity"], "l_extendedprice", ["l_returnflag"])
+    scored = score_linear(lines, fitted, ["l_quantity"], ["l_returnflag"])
+    folder, year = fresh_path(spark, "history"), F.year("l_shipdate")
+    for part in (scored.filter(year < 2001), scored.filter(year == 2001), scored.filter(year == 1999)):
+        record_periods(part, folder, F.trunc("l_shipdate", "year"), REPORT_FEATURES, "l_extendedprice", group_cols=["l_returnflag"])
+    return flat_report(monitor_periods(spark, folder, "2001-01-01", group_cols=["l_returnflag"]))
+
+
+def flat_report(report):
+    return report.select(
         "l_returnflag",
         "overall_status",
         "drift_detected",
@@ -161,11 +208,12 @@ MOMENTS = ", ".join(
     for e, n in (("avg(value)", "mean"), ("stddev_samp(value)", "std"), ("min(value)", "min"), ("max(value)", "max"), ("median(value)", "median"))
 )
 R_CUR = f"l_shipdate >= DATE '{AS_OF}' - INTERVAL {DAYS} DAY"
-SCORED = f"""f AS (SELECT l_returnflag, regr_intercept(l_extendedprice, l_quantity) AS b, regr_slope(l_extendedprice, l_quantity) AS w
-  FROM lineitem WHERE NOT ({R_CUR}) GROUP BY 1),
+def _scored_sql(current: str) -> str:
+    return f"""f AS (SELECT l_returnflag, regr_intercept(l_extendedprice, l_quantity) AS b, regr_slope(l_extendedprice, l_quantity) AS w
+  FROM lineitem WHERE NOT ({current}) GROUP BY 1),
 s AS (SELECT l_returnflag, l_linestatus, l_quantity, l_discount, l_shipdate, l_extendedprice AS y, b + w * l_quantity AS prediction
   FROM lineitem JOIN f USING (l_returnflag)),
-s_cur AS (SELECT * FROM s WHERE {R_CUR}),
+s_cur AS (SELECT * FROM s WHERE {current}),
 cur AS {metrics_sql('s_cur', 'y', 'prediction', ['l_returnflag'], ['rmse', 'mae', 'r2'])},
 ref AS {metrics_sql('s', 'y', 'prediction', ['l_returnflag'], ['rmse', 'mae', 'r2'])},
 deg AS (SELECT l_returnflag, metric, cur.value AS current, ref.value AS baseline,
@@ -178,13 +226,24 @@ _X = "sqrt(statistic / 2)"
 _T = f"(1 / (1 + 0.3275911 * {_X}))"
 ERFC = f"""({_T} * (0.254829592 + {_T} * (-0.284496736 + {_T} * (1.421413741 + {_T} * (-1.453152027 + {_T} * 1.061405429))))
   * exp(-statistic / 2))"""
-REPORT = f"""tests AS (SELECT l_returnflag, feature, p_value FROM {ks_sql('s', ['l_returnflag'], ['l_quantity', 'l_discount'], 'TRUE', R_CUR)}
-  UNION ALL SELECT l_returnflag, feature, {ERFC} FROM {chi_square_sql('s', ['l_returnflag'], 'l_linestatus', 'TRUE', R_CUR, 2)}),
+def _report_sql(current: str) -> str:
+    return f"""tests AS (SELECT l_returnflag, feature, p_value FROM {ks_sql('s', ['l_returnflag'], ['l_quantity', 'l_discount'], 'TRUE', current)}
+  UNION ALL SELECT l_returnflag, feature, {ERFC} FROM {chi_square_sql('s', ['l_returnflag'], 'l_linestatus', 'TRUE', current, 2)}),
 dr AS (SELECT l_returnflag, bool_or(p_value < 0.05) AS drift_detected, count(*) FILTER (p_value < 0.05) AS nd,
   coalesce(string_agg(CASE WHEN p_value < 0.05 THEN feature END, ',' ORDER BY feature), '') AS drifted_features FROM tests GROUP BY 1),
 dg AS (SELECT l_returnflag, coalesce(bool_or(degradation > 0.1), FALSE) AS degradation_detected, count(*) FILTER (degradation > 0.1) AS ng,
   coalesce(string_agg(CASE WHEN degradation > 0.1 THEN metric END, ',' ORDER BY metric), '') AS degraded_metrics FROM deg GROUP BY 1),
-pr AS (SELECT l_returnflag, p_value < 0.05 AS anomaly_detected FROM {ks_sql('s', ['l_returnflag'], ['prediction'], 'TRUE', R_CUR)})"""
+pr AS (SELECT l_returnflag, p_value < 0.05 AS anomaly_detected FROM {ks_sql('s', ['l_returnflag'], ['prediction'], 'TRUE', current)})"""
+
+def _whole_report_sql(current: str) -> str:
+    return f"""WITH {_scored_sql(current)}, {_report_sql(current)}
+    SELECT l_returnflag, CASE WHEN degradation_detected THEN 'critical' WHEN drift_detected OR anomaly_detected THEN 'warning' ELSE 'healthy' END AS overall_status,
+      drift_detected, drifted_features, degradation_detected, degraded_metrics, anomaly_detected,
+      concat_ws(';', CASE WHEN drift_detected THEN 'data_drift:warning:Data drift detected in ' || nd || ' features' END,
+        CASE WHEN degradation_detected THEN 'performance_degradation:critical:Performance degradation in ' || ng || ' metrics' END,
+        CASE WHEN anomaly_detected THEN 'prediction_anomaly:warning:Anomaly detected in prediction distribution' END) AS alerts
+    FROM dr JOIN dg USING (l_returnflag) JOIN pr USING (l_returnflag)"""
+
 
 QUERIES: dict[str, Query] = {
     "ks_drift_events": (
@@ -220,19 +279,20 @@ QUERIES: dict[str, Query] = {
         SELECT m.*, {r('statistic', 6, 'statistic')}, {r('p_value', 6, 'p_value')}, p_value < 0.05 AS anomaly_detected
         FROM m JOIN k USING (event_type)""",
     ),
+    "approx_quartiles_lineitem": (
+        approx_quartiles_lineitem,
+        """SELECT l_returnflag, count(*) AS n, name, TRUE AS not_above, TRUE AS not_below
+        FROM lineitem, (SELECT unnest(['q1', 'median', 'q3']) AS name) GROUP BY l_returnflag, name""",
+    ),
+    "approx_median_events": (approx_median_events, "SELECT DISTINCT event_type, TRUE AS within FROM events"),
+    "history_report_lineitem": (history_report_lineitem, _whole_report_sql("l_shipdate >= TIMESTAMP '2001-01-01'")),
     "degradation_lineitem": (
         degradation_lineitem,
-        f"""WITH {SCORED} SELECT l_returnflag, metric, {r('current', 4, 'current')}, {r('baseline', 4, 'baseline')},
+        f"""WITH {_scored_sql(R_CUR)} SELECT l_returnflag, metric, {r('current', 4, 'current')}, {r('baseline', 4, 'baseline')},
         {r('degradation', 4, 'degradation')}, coalesce(degradation > 0.1, FALSE) AS is_degraded FROM deg""",
     ),
     "monitoring_report_lineitem": (
         monitoring_report_lineitem,
-        f"""WITH {SCORED}, {REPORT}
-        SELECT l_returnflag, CASE WHEN degradation_detected THEN 'critical' WHEN drift_detected OR anomaly_detected THEN 'warning' ELSE 'healthy' END AS overall_status,
-          drift_detected, drifted_features, degradation_detected, degraded_metrics, anomaly_detected,
-          concat_ws(';', CASE WHEN drift_detected THEN 'data_drift:warning:Data drift detected in ' || nd || ' features' END,
-            CASE WHEN degradation_detected THEN 'performance_degradation:critical:Performance degradation in ' || ng || ' metrics' END,
-            CASE WHEN anomaly_detected THEN 'prediction_anomaly:warning:Anomaly detected in prediction distribution' END) AS alerts
-        FROM dr JOIN dg USING (l_returnflag) JOIN pr USING (l_returnflag)""",
+        _whole_report_sql(R_CUR),
     ),
 }

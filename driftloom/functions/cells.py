@@ -11,37 +11,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FEWEST_PER_FOLD = 16
 # ln of the smallest positive double is -744.44, so folds shifted by this stay positive.
 FOLD_SHIFT = 746
 FAR_CELL = 1 << 40
-
-
-def anchor_of(value: Column) -> Column:
-    """Aggregate: one finite member of the group, the one with the least hash.
-
-    It almost surely lies in the bulk of the values, costs two numbers of state (so the hash
-    aggregate applies), and does not depend on the order in which rows arrive: the hash of a
-    single double is one-to-one, so there are no ties.
-    """
-    finite = F.when(F.abs(value) < F.lit(float("inf")), value)
-    return F.coalesce(F.min_by(finite, F.when(finite.isNotNull(), F.xxhash64(finite))), F.lit(0.0))
-
-
-def cells_per_fold(n: Column) -> Column:
-    """Cells per e-fold of distance for a group of n values.
-
-    Growing with the square root of n keeps both levels short: the values inside a cell and
-    the cells of a group.
-    """
-    wanted = F.ceil(F.sqrt(n.cast("double")) / 4)
-    return F.greatest(F.lit(FEWEST_PER_FOLD), wanted).cast("bigint")
+#: Cells per e-fold of distance from 0: a cell spans a thousandth of its values' size.
+PER_FOLD = 1024
+#: A cell with more values than this is cut into parts before its values are looked at one by one.
+HEAVY_CELL = 1 << 20
 
 
 def parts_of(n: Column, low: Column, high: Column) -> Column:
     """Parts to cut a cell of n values from `low` to `high` into; one where the values cannot be told apart by distance.
 
-    A cluster far from the anchor falls into one cell. Cut evenly between the smallest and the
+    Values close together for their size fall into one cell. Cut evenly between the smallest and the
     largest value it holds, it is spread like the rest.
     """
     width = high - low
@@ -55,19 +37,19 @@ def part_of(value: Column, low: Column, high: Column, parts: Column) -> Column:
     return F.when(parts > 1, F.least(F.floor(share * parts).cast("bigint"), parts - 1)).otherwise(F.lit(0).cast("bigint"))
 
 
-def cell_of(value: Column, anchor: Column, per_fold: Column) -> Column:
-    """Cell number of a double: logarithmic in its distance from the anchor, on both sides.
+def cell_of(value: Column, per_fold: int = PER_FOLD) -> Column:
+    """Cell number of a double: logarithmic in its distance from 0, on both sides; null for null.
 
-    Logarithmic spacing keeps outliers from flattening the bulk into one cell, and measuring
-    from the anchor keeps tightly packed values (large ids, epoch numbers) apart.
+    It depends on the value alone, so rows are counted per cell in the first pass over them.
+    Logarithmic spacing keeps outliers from flattening the bulk into one cell. Values that are
+    close together for their size (large ids, epoch numbers) share a cell, which is cut into
+    parts between its smallest and largest value when it is looked into.
     """
-    gap = value - anchor
-    far = F.abs(gap) == F.lit(float("inf"))
-    fold = F.floor(F.ln(F.abs(gap)) * per_fold).cast("bigint") + F.lit(FOLD_SHIFT) * per_fold
-    side = F.when(gap > 0, F.lit(1)).otherwise(F.lit(-1))
+    fold = F.floor((F.ln(F.abs(value)) + FOLD_SHIFT) * per_fold).cast("bigint") + 1
+    side = F.when(value > 0, F.lit(1)).otherwise(F.lit(-1))
     return (
         F.when(value.isNull(), F.lit(None).cast("bigint"))
-        .when(gap == 0, F.lit(0).cast("bigint"))
-        .when(far, side * F.lit(FAR_CELL))
+        .when(value == 0, F.lit(0).cast("bigint"))
+        .when(F.abs(value) == F.lit(float("inf")), side * F.lit(FAR_CELL))
         .otherwise(side * fold)
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -75,7 +76,9 @@ def ks_p_exact(statistic: pd.Series, n_ref: pd.Series, n_cur: pd.Series) -> pd.S
 def chi_square_tail(x: float, df: float) -> float:
     """Upper tail of the chi-square distribution: the regularized incomplete gamma function.
 
-    A power series below the mean and a continued fraction above it, as in the textbooks.
+    A power series below the mean and a continued fraction above it, as in the textbooks. Both
+    run until a term no longer changes the sum: the fraction needs about as many steps as the
+    root of `df`, and there is no limit to stop it short of that.
     """
     if math.isinf(x):
         return 0.0
@@ -83,6 +86,8 @@ def chi_square_tail(x: float, df: float) -> float:
     if z <= 0:
         return 1.0
     scale = math.exp(a * math.log(z) - z - math.lgamma(a))
+    if scale == 0:
+        return 1.0 if z < a else 0.0
     if z < a + 1:
         term = total = 1.0 / a
         k = a
@@ -95,7 +100,7 @@ def chi_square_tail(x: float, df: float) -> float:
     b = z + 1 - a
     c, d = 1 / tiny, 1 / b
     value = d
-    for k in range(1, 1_000_000):
+    for k in itertools.count(1):
         an = -k * (k - a)
         b += 2
         d = an * d + b
@@ -104,7 +109,7 @@ def chi_square_tail(x: float, df: float) -> float:
         c = c if abs(c) > tiny else tiny
         delta = d * c
         value *= delta
-        if abs(delta - 1) < 1e-15:
+        if not abs(delta - 1) >= 1e-15:  # settled, or no number any more
             break
     return value * scale
 

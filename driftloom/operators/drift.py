@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftloom.functions.attach import attach
-from driftloom.functions.cells import anchor_of, cell_of, cells_per_fold, part_of, parts_of
+from driftloom.functions.cells import HEAVY_CELL, cell_of, part_of, parts_of
 from driftloom.functions.pvalues import chi_square_p, ks_p_asymptotic, ks_p_exact
-from driftloom.operators.ordering import clean_double
+from driftloom.operators.sketches import clean_double
 from driftloom.sources.scratch import settle
 
 # Fixed value: the p-value below which a feature counts as drifted.
@@ -39,78 +39,69 @@ def _typed(df: DataFrame, feature: str) -> Column:
     return clean_double(F.col(feature)) if is_numeric(kind) else F.col(feature).cast("string")
 
 
-def sample_sizes(
+def listed_rows(
     df: DataFrame, features: Sequence[str], is_ref: Column, is_cur: Column, group_cols: Sequence[str] = ()
 ) -> DataFrame:
-    """Values per group and feature in each sample, and the anchor of a numeric feature's cells.
-
-    All features are counted side by side in one aggregate and listed afterwards, so every
-    feature of every group has a row, even one without values.
-    """
-    keys = list(group_cols)
-    aggregates, rows = [], []
-    for i, c in enumerate(features):
-        value = _typed(df, c)
+    """One row per sampled row and feature: `feature`, its value as `number` or as `text`, and how often each sample has it (`ref`, `cur`)."""
+    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    pairs = []
+    for c in features:
         numeric = is_numeric(df.schema[c].dataType)
-        anchor = anchor_of(F.when(is_ref | is_cur, value)) if numeric else F.max(F.lit(None).cast("double"))
-        aggregates += [
-            F.count_if(is_ref & value.isNotNull()).alias(f"__n{i}"),
-            F.count_if(is_cur & value.isNotNull()).alias(f"__m{i}"),
-            anchor.alias(f"__a{i}"),
-        ]
-        rows.append(
+        value = _typed(df, c)
+        pairs.append(
             F.struct(
-                F.lit(c).alias("feature"),
-                F.col(f"__n{i}").alias("n_ref"),
-                F.col(f"__m{i}").alias("n_cur"),
-                F.col(f"__a{i}").alias("anchor"),
+                F.lit(c).alias("feature"), (value if numeric else no_number).alias("number"), (no_text if numeric else value).alias("text")
             )
         )
-    wide = df.filter(is_ref | is_cur).groupBy(*keys).agg(*aggregates)
-    return settle(wide.select(*keys, F.inline(F.array(*rows))))
+    count = [F.coalesce(x, F.lit(False)).cast("int").cast("bigint").alias(n) for x, n in ((is_ref, "ref"), (is_cur, "cur"))]
+    return df.filter(is_ref | is_cur).select(*group_cols, F.inline(F.array(*pairs)), *count)
 
 
-def _listed(df: DataFrame, features: Sequence[str], is_ref: Column, is_cur: Column, group_cols: Sequence[str]) -> DataFrame:
-    """One row per sampled row and feature with a value."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), _typed(df, c).alias("value")) for c in features])
-    listed = df.filter(is_ref | is_cur).select(*group_cols, is_ref.alias("__ref"), is_cur.alias("__cur"), F.inline(pairs))
-    return listed.filter("value IS NOT NULL")
+def count_samples(listed: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Both samples counted per feature and cell of the number axis, or category: the one pass that all tests read.
 
+    Missing values are counted too (as neither), so every feature of every group has a row.
+    """
+    keys = [*group_cols, "feature"]
+    counted = listed.groupBy(*keys, cell_of(F.col("number")).alias("cell"), "text").agg(
+        F.sum("ref").alias("ref"), F.sum("cur").alias("cur"), F.min("number").alias("low"), F.max("number").alias("high")
+    )
+    return settle(counted)
 
-def _usable(sizes: DataFrame) -> DataFrame:
-    """The sample sizes of the features with values on both sides."""
-    return sizes.filter("n_ref > 0 AND n_cur > 0").withColumnsRenamed({"n_ref": "__n", "n_cur": "__m"})
+
+def sample_sizes(counts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Values per group and feature in each sample."""
+    there = F.col("cell").isNotNull() | F.col("text").isNotNull()
+    of = [F.coalesce(F.sum(F.when(there, F.col(c))), F.lit(0)).cast("bigint").alias(n) for c, n in (("ref", "n_ref"), ("cur", "n_cur"))]
+    return counts.groupBy(*group_cols, "feature").agg(*of)
 
 
-def _both_counts() -> list[Column]:
-    return [F.count_if("__ref").alias("__r"), F.count_if("__cur").alias("__c")]
+def _usable(counts: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """The sample sizes of the features with values on both sides."""
+    sizes = sample_sizes(counts, group_cols).filter("n_ref > 0 AND n_cur > 0")
+    return sizes.withColumnsRenamed({"n_ref": "__n", "n_cur": "__m"})
 
 
-def _with_untested(sizes: DataFrame, features: Sequence[str], tested: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _with_untested(counts: DataFrame, features: Sequence[str], tested: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     """One row per group and feature with its sample sizes, and the test's columns where it ran."""
-    return attach(sizes.filter(F.col("feature").isin(*features)).drop("anchor"), tested, keys)
+    sizes = sample_sizes(counts, group_cols).filter(F.col("feature").isin(*features))
+    return attach(sizes, tested, [*group_cols, "feature"])
 
 
 def ks_statistic(
-    df: DataFrame,
-    features: Sequence[str],
-    is_ref: Column,
-    is_cur: Column,
-    group_cols: Sequence[str] = (),
-    sizes: DataFrame | None = None,
+    listed: DataFrame, counts: DataFrame, features: Sequence[str], group_cols: Sequence[str] = ()
 ) -> DataFrame:
     """Largest gap between the two empirical distributions of every numeric feature.
 
-    One pass counts both samples per cell. The gap at a cell's end is known from the counts, and
-    inside a cell it can leave the gap at its start by no more than the cell's own shares. Only
-    cells that could beat the largest gap at any end are looked into: their values are counted
-    in a second pass, cut into parts, and ordered part by part. Everything is exact.
+    `listed` comes from `listed_rows` (or from stored counts) and `counts` from `count_samples`.
+    The gap at a cell's end is known from the counts, and inside a cell it can leave the gap at
+    its start by no more than the cell's own shares. Only cells that could beat the largest gap at
+    any end are looked into; without one there is no second pass. A heavy one is first cut into
+    parts, which are held against the largest gap in the same way. Everything is exact.
     """
     keys = [*group_cols, "feature"]
-    sizes = sample_sizes(df, features, is_ref, is_cur, group_cols) if sizes is None else sizes
-    listed = attach(_listed(df, features, is_ref, is_cur, group_cols), _usable(sizes), keys, how="inner")
-    placed = listed.withColumn("__cell", cell_of(F.col("value"), F.col("anchor"), cells_per_fold(F.col("__n") + F.col("__m"))))
-    totals = [F.max("__n").alias("__n"), F.max("__m").alias("__m")]
+    usable = _usable(counts, group_cols)
+    cells = attach(counts.filter("cell IS NOT NULL").drop("text"), usable, keys, how="inner")
 
     def gap(r: Column, c: Column) -> Column:
         return r / F.col("__n") - c / F.col("__m")
@@ -120,97 +111,82 @@ def ks_statistic(
         order = Window.partitionBy(*keys, *within).orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return F.sum(column).over(order) - F.col(column)
 
-    cells = placed.groupBy(*keys, "__cell").agg(
-        *_both_counts(), F.min("value").alias("__low"), F.max("value").alias("__high"), *totals
-    )
-    begun = cells.select("*", before("__r", by="__cell").alias("__r0"), before("__c", by="__cell").alias("__c0"))
-    r0, c0, r1, c1 = F.col("__r0"), F.col("__c0"), F.col("__r0") + F.col("__r"), F.col("__c0") + F.col("__c")
-    bound = F.greatest(F.abs(gap(r1, c0)), F.abs(gap(r0, c1)))
-    ends = settle(
-        begun.select(
-            "*", bound.alias("__bound"), F.max(F.abs(gap(r1, c1))).over(Window.partitionBy(*keys)).alias("__reached")
+    r0, c0, r1, c1 = F.col("__r0"), F.col("__c0"), F.col("__r0") + F.col("ref"), F.col("__c0") + F.col("cur")
+    bound, end = F.greatest(F.abs(gap(r1, c0)), F.abs(gap(r0, c1))), F.abs(gap(r1, c1))
+    begun = cells.select("*", before("ref", by="cell").alias("__r0"), before("cur", by="cell").alias("__c0"))
+    ends = settle(begun.select("*", bound.alias("__bound"), F.max(end).over(Window.partitionBy(*keys)).alias("__reached")))
+    reached = ends.groupBy(*keys).agg(F.max("__reached").alias("__reached"))
+    inside = [*keys, "cell"]
+    open_cells = settle(
+        ends.filter("__bound > __reached AND low < high").select(
+            *inside, "low", "high", parts_of(F.col("ref") + F.col("cur"), F.col("low"), F.col("high")).alias("__parts"),
+            "__n", "__m", "__r0", "__c0", "__reached", (F.col("ref") + F.col("cur")).alias("__size"),
         )
     )
-    parts = parts_of(F.col("__r") + F.col("__c"), F.col("__low"), F.col("__high"))
-    open_cells = ends.filter("__bound > __reached AND __low < __high").select(
-        *keys, "__cell", "__low", "__high", parts.alias("__parts"), "__r0", "__c0"
-    )
-    part = part_of(F.col("value"), F.col("__low"), F.col("__high"), F.col("__parts"))
-    counts = settle(
-        attach(placed, open_cells, [*keys, "__cell"], how="inner")
-        .groupBy(*keys, "__cell", part.alias("__part"), "value")
-        .agg(*_both_counts(), *totals, F.max("__r0").alias("__r0"), F.max("__c0").alias("__c0"))
-    )
-    sums = counts.groupBy(*keys, "__cell", "__part").agg(F.sum("__r").alias("__r"), F.sum("__c").alias("__c"))
-    offsets = sums.select(
-        *keys,
-        "__cell",
-        "__part",
-        before("__r", "__cell", by="__part").alias("__r1"),
-        before("__c", "__cell", by="__part").alias("__c1"),
+    if open_cells.isEmpty():
+        return _with_untested(counts, features, reached.withColumnRenamed("__reached", "statistic"), group_cols)
+
+    part = part_of(F.col("number"), F.col("low"), F.col("high"), F.col("__parts"))
+    placed = listed.filter("number IS NOT NULL").select(*keys, "number", "ref", "cur", cell_of(F.col("number")).alias("cell"))
+    cut = attach(placed, open_cells.select(*inside, "low", "high", "__parts"), inside, how="inner").withColumn("__part", part)
+    where = [*inside, "__part"]
+    sums = [F.sum("ref").alias("ref"), F.sum("cur").alias("cur")]
+    totals = ["__n", "__m", "__r0", "__c0", "__reached"]
+
+    def parts_begun(per_part: DataFrame) -> DataFrame:
+        named = attach(per_part, open_cells.select(*inside, *totals), inside)
+        r, c = before("ref", "cell", by="__part"), before("cur", "cell", by="__part")
+        return named.withColumns({"__r0": F.col("__r0") + r, "__c0": F.col("__c0") + c})
+
+    more = None
+    if not open_cells.filter(F.col("__size") > HEAVY_CELL).isEmpty():
+        begun_parts = parts_begun(cut.groupBy(*where).agg(*sums))
+        part_ends = settle(begun_parts.select("*", bound.alias("__bound"), end.alias("__end")))
+        more = part_ends.groupBy(*keys).agg(F.max("__end").alias("__more"))
+        best = attach(part_ends, more, keys)
+        kept = settle(best.filter(F.col("__bound") > F.greatest("__reached", "__more")).select(*where, *totals))
+        cut = attach(cut, kept.select(*where, F.lit(True).alias("__kept")), where, how="inner")
+        values, begun_parts = cut.groupBy(*where, "number").agg(*sums), kept
+    else:
+        values = settle(cut.groupBy(*where, "number").agg(*sums))
+        begun_parts = parts_begun(values.groupBy(*where).agg(*sums)).select(*where, *totals)
+    gaps = attach(values, begun_parts, where).select(
+        *keys, F.abs(gap(r0 + before("ref", "cell", "__part", by="number") + F.col("ref"), c0 + before("cur", "cell", "__part", by="number") + F.col("cur"))).alias("__gap")
     )
-    inside = ("__cell", "__part")
-    upto_r = F.col("__r0") + F.col("__r1") + before("__r", *inside, by="value") + F.col("__r")
-    upto_c = F.col("__c0") + F.col("__c1") + before("__c", *inside, by="value") + F.col("__c")
-    gaps = attach(counts, offsets, [*keys, *inside]).select(*keys, F.abs(gap(upto_r, upto_c)).alias("__gap"))
-    within_cells = gaps.groupBy(*keys).agg(F.max("__gap").alias("__gap"))
-    at_ends = ends.groupBy(*keys).agg(F.max("__reached").alias("__reached"))
-    tested = attach(at_ends, within_cells, keys).select(*keys, F.greatest("__reached", "__gap").alias("statistic"))
-    return _with_untested(sizes, features, tested, keys)
+    tested = attach(reached, gaps.groupBy(*keys).agg(F.max("__gap").alias("__gap")), keys)
+    if more is not None:
+        tested = attach(tested, more, keys)
+    found = [c for c in ("__reached", "__gap", "__more") if c in tested.columns]
+    return _with_untested(counts, features, tested.select(*keys, F.greatest(*found).alias("statistic")), group_cols)
 
 
-def chi_square_statistic(
-    df: DataFrame,
-    features: Sequence[str],
-    is_ref: Column,
-    is_cur: Column,
-    group_cols: Sequence[str] = (),
-    sizes: DataFrame | None = None,
-) -> DataFrame:
+def chi_square_statistic(counts: DataFrame, features: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
     """Goodness of fit of the current counts to the reference shares of every categorical feature.
 
     Expected counts are the reference counts scaled to the current total. A category the
     reference lacks makes the statistic infinite.
     """
     keys = [*group_cols, "feature"]
-    sizes = sample_sizes(df, features, is_ref, is_cur, group_cols) if sizes is None else sizes
-    # Values are folded on the map side before anything is shuffled or joined.
-    folded = _listed(df, features, is_ref, is_cur, group_cols).groupBy(*keys, "value").agg(*_both_counts())
-    counts = attach(folded, _usable(sizes), keys, how="inner")
-    expected = F.col("__r") * F.col("__m").cast("double") / F.col("__n")
-    term = F.when(F.col("__r") > 0, F.try_divide(F.pow(F.col("__c") - expected, F.lit(2.0)), expected)).otherwise(
-        F.lit(float("inf"))
-    )
-    tested = counts.groupBy(*keys).agg(F.sum(term).alias("statistic"), (F.count(F.lit(1)) - 1).alias("degrees"))
-    return _with_untested(sizes, features, tested, keys)
+    held = attach(counts.filter("text IS NOT NULL"), _usable(counts, group_cols), keys, how="inner")
+    expected = F.col("ref") * F.col("__m").cast("double") / F.col("__n")
+    term = F.when(F.col("ref") > 0, F.try_divide(F.pow(F.col("cur") - expected, F.lit(2.0)), expected)).otherwise(F.lit(float("inf")))
+    tested = held.groupBy(*keys).agg(F.sum(term).alias("statistic"), (F.count(F.lit(1)) - 1).alias("degrees"))
+    return _with_untested(counts, features, tested, group_cols)
 
 
-def ks_test(
-    df: DataFrame,
-    features: Sequence[str],
-    is_ref: Column,
-    is_cur: Column,
-    group_cols: Sequence[str] = (),
-    method: str = "asymptotic",
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov test of numeric features.
-
-    `method="exact"` uses the distribution over all interleavings, whose work grows with the
-    product of the samples' sizes; `"asymptotic"` the limiting series, made for large samples.
-    Each holds at every size.
-    """
+def _ks_rows(listed: DataFrame, counts: DataFrame, features: Sequence[str], group_cols: Sequence[str], method: str) -> DataFrame:
+    """Result rows of the Kolmogorov-Smirnov test."""
     keys = [*group_cols, "feature"]
-    stats = ks_statistic(df, features, is_ref, is_cur, group_cols, sizes)
+    if method not in ("asymptotic", "exact"):
+        raise ValueError(f"method must be 'exact' or 'asymptotic', not {method!r}")
+    stats = ks_statistic(listed, counts, features, group_cols)
     series = ks_p_asymptotic(F.col("statistic"), F.col("n_ref"), F.col("n_cur"))
     if method == "asymptotic":
         exact = F.lit(None).cast("double")
-    elif method == "exact":
+    else:
         # A few rows whose work is large: dealt out, or they would meet in one task.
         stats = stats.repartition(*keys)
         exact = ks_p_exact("statistic", "n_ref", "n_cur")
-    else:
-        raise ValueError(f"method must be 'exact' or 'asymptotic', not {method!r}")
     tested = stats.select("*", exact.alias("__exact"))
     return tested.select(
         *keys,
@@ -226,25 +202,62 @@ def ks_test(
     )
 
 
-def chi_square_test(
+def _chi_square_rows(counts: DataFrame, features: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
+    """Result rows of the chi-square test."""
+    return chi_square_statistic(counts, features, group_cols).select(
+        *group_cols,
+        "feature",
+        F.lit("chi_square").alias("kind"),
+        "n_ref",
+        "n_cur",
+        "statistic",
+        chi_square_p("statistic", "degrees").alias("p_value"),
+        F.when(F.col("statistic").isNotNull() & (F.col("degrees") > 0), F.lit("chi_square")).alias("p_method"),
+    )
+
+
+def ks_test(
     df: DataFrame,
     features: Sequence[str],
     is_ref: Column,
     is_cur: Column,
     group_cols: Sequence[str] = (),
-    sizes: DataFrame | None = None,
+    method: str = "asymptotic",
+) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov test of numeric features.
+
+    `method="exact"` uses the distribution over all interleavings, whose work grows with the
+    product of the samples' sizes; `"asymptotic"` the limiting series, made for large samples.
+    Each holds at every size.
+    """
+    listed = listed_rows(df, features, is_ref, is_cur, group_cols)
+    return _ks_rows(listed, count_samples(listed, group_cols), features, group_cols, method)
+
+
+def chi_square_test(
+    df: DataFrame, features: Sequence[str], is_ref: Column, is_cur: Column, group_cols: Sequence[str] = ()
 ) -> DataFrame:
     """Chi-square goodness-of-fit test of categorical features."""
-    keys = [*group_cols, "feature"]
-    stats = chi_square_statistic(df, features, is_ref, is_cur, group_cols, sizes)
-    return stats.select(
+    return _chi_square_rows(count_samples(listed_rows(df, features, is_ref, is_cur, group_cols), group_cols), features, group_cols)
+
+
+def drift_of_counts(
+    listed: DataFrame, numeric: Sequence[str], categorical: Sequence[str], group_cols: Sequence[str] = (), cutoff: float = P_CUTOFF, method: str = "asymptotic"
+) -> DataFrame:
+    """The test of every feature from rows as `listed_rows` makes them, counted once."""
+    keys = list(group_cols)
+    counts = count_samples(listed, keys)
+    parts = []
+    if numeric:
+        parts.append(_ks_rows(listed, counts, numeric, keys, method))
+    if categorical:
+        parts.append(_chi_square_rows(counts, categorical, keys))
+    tested = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return tested.select(
         *keys,
-        F.lit("chi_square").alias("kind"),
-        "n_ref",
-        "n_cur",
-        "statistic",
-        chi_square_p("statistic", "degrees").alias("p_value"),
-        F.when(F.col("statistic").isNotNull() & (F.col("degrees") > 0), F.lit("chi_square")).alias("p_method"),
+        *RESULT[:-2],
+        F.coalesce(F.col("p_value") < cutoff, F.lit(False)).alias("drift_detected"),
+        F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit("empty")).otherwise(F.lit("ok")).alias("status"),
     )
 
 
@@ -270,19 +283,7 @@ def feature_drift(
     categorical = [c for c in present if c not in numeric]
     if not present:
         raise ValueError("none of the features is in the frame")
-    sizes = sample_sizes(df, present, is_ref, is_cur, keys)
-    parts = []
-    if numeric:
-        parts.append(ks_test(df, numeric, is_ref, is_cur, keys, method, sizes))
-    if categorical:
-        parts.append(chi_square_test(df, categorical, is_ref, is_cur, keys, sizes))
-    tested = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    result = tested.select(
-        *keys,
-        *RESULT[:-2],
-        F.coalesce(F.col("p_value") < cutoff, F.lit(False)).alias("drift_detected"),
-        F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit("empty")).otherwise(F.lit("ok")).alias("status"),
-    )
+    result = drift_of_counts(listed_rows(df, present, is_ref, is_cur, keys), numeric, categorical, keys, cutoff, method)
     missing = [c for c in features if c not in present]
     if missing:
         result = result.unionByName(_missing_rows(df, missing, is_ref | is_cur, keys, result.schema))

@@ -117,10 +117,10 @@ def attribute_map(long: DataFrame, entity_cols: Sequence[str], tag_col: str = "t
 
 
 def number_versions(
-    df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], name: str = "version", cell: Column | None = None
+    df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], name: str = "version", most: int | None = None
 ) -> DataFrame:
     """Version numbers 1, 2, ... per key in log order."""
-    return number_rows(df, order_cols, keys, name, cell)
+    return number_rows(df, order_cols, keys, name, most)
 
 
 def append_versions(

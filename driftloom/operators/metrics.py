@@ -73,14 +73,19 @@ def _ratio(top: Column, bottom: Column) -> Column:
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction", group_cols: Sequence[str] = ()) -> DataFrame:
-    """Counts of (label, prediction) pairs."""
+    """Counts of (label, prediction) pairs, rows without a label among them."""
     return df.groupBy(*group_cols, label, prediction).agg(F.count(F.lit(1)).alias("n"))
 
 
 def binary_metrics(
     df: DataFrame, label: str = "label", prediction: str = "prediction", group_cols: Sequence[str] = (), positive: object = 1
 ) -> DataFrame:
-    """Accuracy, and precision, recall and f1 of the positive class; 0 where undefined."""
+    """Accuracy, and precision, recall and f1 of the positive class; 0 where undefined.
+
+    Rows without a label are not measured, as in `regression_metrics`; a labelled row without a
+    prediction is a wrong one. `n_unlabelled` tells how many rows were left out.
+    """
+    df = df.filter(F.col(label).isNotNull())
     is_true, is_pred = F.col(label) == F.lit(positive), F.col(prediction) == F.lit(positive)
     counts = df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("__n"),
@@ -105,10 +110,11 @@ def weighted_metrics(
     """Accuracy, and per-class precision, recall and f1 averaged by true-class support.
 
     Rows are folded to confusion cells first; each cell then counts once for its true class and
-    once for its predicted class, so class totals come from grouping alone.
+    once for its predicted class, so class totals come from grouping alone. Rows without a label
+    are not measured; a labelled row without a prediction is a wrong one.
     """
     keys = list(group_cols)
-    cells = confusion(df, label, prediction, keys)
+    cells = confusion(df.filter(F.col(label).isNotNull()), label, prediction, keys)
     hit = F.when(F.col(label) == F.col(prediction), F.col("n")).otherwise(0)
     as_true = F.struct(F.col(label).alias("__class"), F.col("n").alias("__true"), F.lit(0).cast("bigint").alias("__pred"), hit.alias("__tp"))
     as_pred = F.struct(
@@ -132,6 +138,11 @@ def weighted_metrics(
     return to_long(wide, CLASSIFICATION_METRICS, keys)
 
 
+def n_unlabelled(df: DataFrame, label: str = "label", group_cols: Sequence[str] = ()) -> DataFrame:
+    """Per group: rows, and rows without a label, which no metric counts."""
+    return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(label).isNull()).alias("n_unlabelled"))
+
+
 def mean_baseline(train: DataFrame, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """The constant prediction: mean label of the training rows."""
     return settle(train.groupBy(*group_cols).agg(F.avg(F.col(label).cast("double")).alias("naive_prediction")))

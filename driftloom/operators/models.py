@@ -10,14 +10,15 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftloom.functions.attach import attach
 from driftloom.operators.metrics import TRAINING_METRICS, regression_metrics
+from driftloom.operators.sketches import clean_double
+from driftloom.operators.scoring import Model, as_model, coef, score_linear
 from driftloom.operators.scaling import scaler_fit, standardise
 from driftloom.sources.scratch import settle, settle_partitioned
 
@@ -29,23 +30,13 @@ SEED = 882
 TOLERANCE = 1e-3
 PATIENCE = 5
 
-Fit = Callable[[DataFrame, Sequence[str], str, Sequence[str]], DataFrame]
+# How small a direction counts as none, and the numbers a task holds before it passes its sums on.
+RANK_TOLERANCE = 1e-10
+HELD_SUMS = 1 << 22
 
+Fit = Callable[[DataFrame, Sequence[str], str, Sequence[str]], "DataFrame | Model"]
 
-def coef(feature: str) -> str:
-    return f"coef_{feature}"
-
-
-def score_linear(
-    df: DataFrame, coefficients: DataFrame, features: Sequence[str], group_cols: Sequence[str] = (), name: str = "prediction"
-) -> DataFrame:
-    """Predictions as one native expression: intercept plus the weighted features."""
-    table = coefficients.select(*group_cols, F.col("intercept").alias("__b"), *[F.col(coef(c)).alias(f"__w_{c}") for c in features])
-    joined = attach(df, table, group_cols)
-    total = F.col("__b")
-    for c in features:
-        total = total + F.col(f"__w_{c}") * F.col(c).cast("double")
-    return joined.select(*df.columns, total.alias(name))
+__all__ = ["coef", "score_linear"]  # kept here for their callers
 
 
 def fold_scaler(coefficients: DataFrame, scaler: DataFrame, features: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
@@ -77,16 +68,97 @@ def fit_single_feature(df: DataFrame, features: Sequence[str], label: str, group
     )
 
 
+def least_squares_table(df: DataFrame, features: Sequence[str], label: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Least squares on many features, per group: coefficients, `n_rows`, `rank` and `fit_r2`.
+
+    A first pass finds each group's means. In a second every task sums the products of the
+    distances from them, as an array per group, and the arrays are added up, so a group's rows
+    never meet in a task and no digits are lost to large values. Each group's normal equations
+    are then solved from its one row. Rows with a null or NaN in a feature or the label are left
+    out.
+
+    Where features depend on each other, the solution of least norm on the standardised features
+    is taken: twins share a slope, a constant feature has slope 0. `rank` counts the directions
+    that were fitted. A group without rows gives no row.
+    """
+    features, keys = list(features), list(group_cols)
+    columns, size = [*features, label], len(features)
+    # One array, not a column each: the optimizer's constraints on many renamed columns multiply.
+    typed = df.select(*keys, F.array(*[clean_double(F.col(c)) for c in columns]).alias("__row"))
+    clean = typed.filter(~F.exists("__row", lambda v: v.isNull()))
+    # One row per group with a number that stands for its keys; fixed once it is written.
+    means = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.array(*[F.avg(F.get("__row", F.lit(i))) for i in range(size + 1)]).alias("__means"))
+    groups = settle(means.filter("n_rows > 0").withColumn("__group", F.monotonically_increasing_id()))
+    upper = np.triu_indices(size + 1)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = batch.column("__group").to_numpy()
+            centre = batch.column("__means").flatten().to_numpy().reshape(-1, size + 1)
+            apart = batch.column("__row").flatten().to_numpy().reshape(-1, size + 1) - centre
+            order = np.argsort(group, kind="stable")
+            cut = np.flatnonzero(np.diff(group[order])) + 1
+            for some in np.split(order, cut):
+                total = (apart[some].T @ apart[some])[upper]
+                held[int(group[some[0]])] = held.get(int(group[some[0]]), 0.0) + total
+            if len(held) * len(upper[0]) > HELD_SUMS:
+                yield pack(held)
+                held = {}
+        if held:
+            yield pack(held)
+
+    def pack(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        listed = pa.array(list(held.values()), pa.list_(pa.float64()))
+        return pa.record_batch([pa.array(list(held), pa.int64()), listed], names=["__group", "__sums"])
+
+    rows = attach(clean, groups.select(*keys, "__group", "__means"), keys).select("__group", "__means", "__row")
+    parts = rows.mapInArrow(products, "__group long, __sums array<double>")
+    merged = parts.select("__group", F.posexplode("__sums").alias("__at", "__sum")).groupBy("__group", "__at").agg(F.sum("__sum").alias("__sum"))
+    listed = merged.groupBy("__group").agg(F.sort_array(F.collect_list(F.struct("__at", "__sum"))).alias("__sums"))
+    posed = attach(groups, listed.select("__group", F.col("__sums.__sum").alias("__sums")), ["__group"])
+    names = ["intercept", *[coef(c) for c in features]]
+    tail = [T.StructField(n, T.DoubleType()) for n in (*names, "fit_r2")] + [T.StructField("rank", T.LongType())]
+    schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("n_rows", T.LongType()), *tail])
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for n, centre, sums in zip(*(batch.column(c).to_pylist() for c in ("n_rows", "__means", "__sums"))):
+                full = np.zeros((size + 1, size + 1))
+                full[upper] = np.array(sums) / n
+                found.append(solve_normal(np.array(centre), full + np.triu(full, 1).T))
+            rows = [pa.array([f[i] for f in found], pa.float64()) for i in range(size + 2)]
+            rank = pa.array([f[-1] for f in found], pa.int64())
+            yield pa.record_batch([*batch.select([*keys, "n_rows"]).columns, *rows, rank], names=schema.names)
+
+    solved = posed.select(*keys, "n_rows", "__means", "__sums").mapInArrow(solve, schema)
+    return settle(solved).select(*keys, *names, "n_rows", "rank", "fit_r2")
+
+
+def solve_normal(means: np.ndarray, spreads: np.ndarray) -> tuple[float, ...]:
+    """Intercept, slopes, r2 (None for a constant label) and rank from means and covariances, the label's last."""
+    size = len(means) - 1
+    scale = np.sqrt(np.maximum(np.diag(spreads), 0.0))
+    # A feature whose deviation is lost in the rounding of its mean is constant.
+    live = scale[:size] > 1e-12 * np.maximum(1e-300, np.abs(means[:size]))
+    unit = np.where(live, scale[:size], 1.0)
+    inner = np.where(np.outer(live, live), spreads[:size, :size] / np.outer(unit, unit), 0.0)
+    aim = np.where(live, spreads[:size, size] / unit, 0.0)
+    values, vectors = np.linalg.eigh(inner) if size else (np.zeros(0), np.zeros((0, 0)))
+    good = values > RANK_TOLERANCE * max(1.0, size)
+    slopes = vectors[:, good] @ ((vectors[:, good].T @ aim) / values[good]) / unit
+    spread = spreads[size, size]
+    r2 = float(np.clip(slopes @ spreads[:size, size] / spread, 0.0, 1.0)) if spread > 0 else None
+    return (float(means[size] - slopes @ means[:size]), *map(float, slopes), r2, int(good.sum()))
+
+
 def fit_least_squares(df: DataFrame, features: Sequence[str], label: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Least squares on many features over the whole frame, by Spark's own regression."""
-    if group_cols:
-        raise ValueError("one model over all rows: use fit_passive_aggressive or fit_single_feature per group")
-    typed = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias("__y")).dropna()
-    assembled = VectorAssembler(inputCols=list(features), outputCol="__x").transform(typed).select("__x", "__y")
-    model = LinearRegression(featuresCol="__x", labelCol="__y", solver="normal").fit(assembled)
-    row = [float(model.intercept), *[float(v) for v in model.coefficients]]
-    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in ("intercept", *[coef(c) for c in features])])
-    return df.sparkSession.createDataFrame([row], schema)
+    """Least squares on many features, per group or over the whole frame; see `least_squares_table`."""
+    table = least_squares_table(df, features, label, group_cols)
+    return table.select(*group_cols, "intercept", *[coef(c) for c in features])
 
 
 def passive_aggressive_pass(
@@ -242,15 +314,16 @@ def fit_scaled(fit: Fit) -> Fit:
 
 def training_metrics(
     df: DataFrame,
-    coefficients: DataFrame,
+    fitted: DataFrame | Model,
     features: Sequence[str],
     label: str,
     group_cols: Sequence[str] = (),
     split_col: str = "split",
     metrics: Sequence[str] = TRAINING_METRICS,
 ) -> DataFrame:
-    """Metrics of the train and test rows in one pass, named `train_...` and `val_...`."""
-    scored = score_linear(df.select(*group_cols, *features, label, split_col), coefficients, features, group_cols)
+    """Metrics of the train and test rows in one pass, named `train_...` and `val_...`, for any kind of model."""
+    rows = df.select(*dict.fromkeys([*group_cols, *features, label, split_col]))
+    scored = as_model(fitted, features, group_cols).score(rows)
     long = regression_metrics(scored, label, "prediction", [*group_cols, split_col], metrics)
     prefix = F.when(F.col(split_col) == "train", "train_").otherwise("val_")
     return long.select(*group_cols, F.concat(prefix, F.col("metric")).alias("metric"), "value")
@@ -263,15 +336,18 @@ def fit_candidates(
     label: str,
     group_cols: Sequence[str] = (),
     split_col: str = "split",
-) -> tuple[dict[str, DataFrame], DataFrame]:
+) -> tuple[dict[str, DataFrame | Model], DataFrame]:
     """Fit every candidate on the train rows; a failing one is recorded and does not stop the rest.
 
-    Returns the coefficient tables that succeeded and a result table with, per candidate, its
-    status, its error if any, and its train and validation metrics.
+    Returns what the candidates that succeeded returned (coefficient tables or models) and a
+    result table with, per candidate and segment, a status, an error if any, and the train and
+    validation metrics. A candidate fails for one segment alone where it has no finite training
+    error there: too few rows, a fit that ran away, or none. Its other segments stay `ok`.
     """
-    fitted: dict[str, DataFrame] = {}
+    fitted: dict[str, DataFrame | Model] = {}
     results: list[DataFrame] = []
     train = df.filter(F.col(split_col) == "train")
+    segments = settle(df.select(*group_cols).distinct()) if group_cols else None
     shape = [df.schema[k] for k in group_cols]
     tail = T.StructType([*shape, T.StructField("metric", T.StringType()), T.StructField("value", T.DoubleType())])
     for name, fit in candidates.items():
@@ -279,21 +355,47 @@ def fit_candidates(
             table = fit(train, features, label, group_cols)
             rows = settle(training_metrics(df, table, features, label, group_cols, split_col))
             fitted[name] = table
-            status, error = "ok", None
+            results.append(_with_status(rows, name, segments, group_cols))
         except Exception as problem:
-            rows = df.sparkSession.createDataFrame([tuple(None for _ in tail.fields)], tail)
-            status, error = "failed", str(problem).splitlines()[0] if str(problem) else type(problem).__name__
-        results.append(
-            rows.select(
-                F.lit(name).alias("candidate"),
-                F.lit(status).alias("status"),
-                F.lit(error).cast("string").alias("error"),
-                *group_cols,
-                "metric",
-                "value",
+            error = str(problem).splitlines()[0] if str(problem) else type(problem).__name__
+            none = segments if segments is not None else df.sparkSession.range(1).select()
+            empty = none.select(*group_cols, F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("value"))
+            results.append(
+                empty.select(F.lit(name).alias("candidate"), F.lit("failed").alias("status"), F.lit(error).alias("error"), *[f.name for f in tail.fields])
             )
-        )
     table = results[0]
     for more in results[1:]:
         table = table.unionByName(more)
     return fitted, table
+
+
+def _with_status(rows: DataFrame, name: str, segments: DataFrame | None, group_cols: Sequence[str]) -> DataFrame:
+    """A candidate's metrics with a status per segment; a segment that has none, or no finite training error, failed."""
+    error = F.max(F.when(F.col("metric") == "train_rmse", F.col("value")))
+    judged = settle(rows.groupBy(*group_cols).agg((error.isNotNull() & ~F.isnan(error) & (error < float("inf"))).alias("__fine"), F.lit(True).alias("__seen")))
+    listed = rows if segments is None else attach(segments, rows, group_cols)
+    known = attach(listed, judged, group_cols)
+    fine = F.coalesce("__fine", F.lit(False))
+    said = F.when(fine, F.lit(None)).when(F.col("__seen").isNull(), F.lit("no rows to measure")).otherwise(F.lit("no finite training error"))
+    return known.select(
+        F.lit(name).alias("candidate"), F.when(fine, "ok").otherwise("failed").alias("status"), said.alias("error"), *group_cols, "metric", "value"
+    )
+
+
+def best_candidates(results: DataFrame, group_cols: Sequence[str] = (), metric: str = "val_rmse", lower_better: bool = True) -> DataFrame:
+    """Per segment: the candidate with the best value of `metric` among those that did not fail there.
+
+    `n_ok` and `n_failed` count candidates; ties go to the first name. A segment in which all
+    failed, or none has a finite value, has a null `best`.
+    """
+    value = F.when((F.col("status") == "ok") & (F.col("metric") == metric) & ~F.isnan("value"), F.col("value"))
+    rank = F.struct((value if lower_better else -value).alias("rank"), F.col("candidate").alias("candidate"), value.alias("value"))
+    per_candidate = results.groupBy(*group_cols, "candidate").agg(
+        F.max("status").alias("status"), F.min(F.when(value.isNotNull(), rank)).alias("__best")
+    )
+    return per_candidate.groupBy(*group_cols).agg(
+        F.min("__best")["candidate"].alias("best"),
+        F.min("__best")["value"].alias(metric),
+        F.count_if(F.col("status") == "ok").alias("n_ok"),
+        F.count_if(F.col("status") == "failed").alias("n_failed"),
+    )

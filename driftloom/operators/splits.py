@@ -23,7 +23,7 @@ def temporal_split(
     order_cols: Sequence[str] = (WEEK,),
     train_share: float = 0.8,
     group_cols: Sequence[str] = (),
-    cell: Column | None = None,
+    most: int | None = None,
 ) -> DataFrame:
     """Mark each group's first int(train_share * n) rows as train, the rest as test.
 
@@ -31,7 +31,7 @@ def temporal_split(
     counts (one row per group) and every row is compared with it. `order_cols` must identify a
     row within its group, otherwise rows tied with that last key all count as training rows.
     """
-    last = settle(key_at_share(df, order_cols, train_share, group_cols, cell))
+    last = settle(key_at_share(df, order_cols, train_share, group_cols, most))
     marked = attach(df, last, group_cols)
     split = F.when(F.struct(*order_cols) <= F.col("last_key"), F.lit("train")).otherwise(F.lit("test"))
     return marked.select(*df.columns, split.alias("split"))

@@ -12,6 +12,7 @@ from driftloom.operators.drift import P_CUTOFF, drift_summary, feature_drift
 from driftloom.operators.gates import DEGRADATION_CUTOFF, degradation_of, degradation_summary
 from driftloom.operators.metrics import MONITORING_METRICS, binary_metrics, regression_metrics, side_by_side
 from driftloom.operators.reports import monitoring_report
+from driftloom.operators.scoring import Model, as_model
 
 
 def samples_by_date(date_col: str = WEEK, days: int = 28, as_of: object = None, exclude_current: bool = False) -> tuple[Column, Column]:
@@ -79,3 +80,17 @@ def monitor_run(
         compared = compare_samples(scored, label, prediction, is_ref, is_cur, keys, model_type)
         performance = degradation_summary(degradation_of(compared, keys, degradation_cutoff), keys)
     return monitoring_report(drift, performance, None, keys)
+
+
+def monitor_model(
+    df: DataFrame,
+    model: Model | DataFrame,
+    features: Sequence[str],
+    is_ref: Column,
+    is_cur: Column,
+    group_cols: Sequence[str] = (),
+    **settings: object,
+) -> DataFrame:
+    """`monitor_run` for a model of any kind on rows that are not scored yet."""
+    scored = as_model(model, features, group_cols).score(df, "prediction")
+    return monitor_run(scored, features, is_ref, is_cur, group_cols=group_cols, **settings)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from driftloom.functions.naming import WEEK
 from driftloom.operators.features import build_features, drop_incomplete_rows, feature_columns
 from driftloom.operators.models import Fit, fit_candidates, fit_passive_aggressive, fit_scaled
+from driftloom.operators.scoring import Model
 from driftloom.operators.splits import temporal_split
 from driftloom.sources.scratch import settle
 
@@ -28,7 +29,7 @@ def prepare_training(
     daily rows should be read once.
     """
     features = settle(drop_incomplete_rows(build_features(daily, value_cols, group_cols, date_col, monthly_lags)))
-    return temporal_split(features, [WEEK], train_share, group_cols, cell=F.col(WEEK))
+    return temporal_split(features, [WEEK], train_share, group_cols)
 
 
 def passive_aggressive_candidate(key_cols: Sequence[str] = (WEEK,), method: str = "sequential", **settings: object) -> Fit:
@@ -48,8 +49,8 @@ def train_run(
     target: str,
     candidates: Mapping[str, Fit] | None = None,
     group_cols: Sequence[str] = (),
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Fit the candidates on a prepared frame; see `fit_candidates`."""
+) -> tuple[dict[str, DataFrame | Model], DataFrame]:
+    """Fit the candidates on a prepared frame; see `fit_candidates`. A candidate may return any kind of model."""
     features = [c for c in feature_columns(prepared, target, group_cols) if c != "split"]
     chosen = candidates or {"passive_aggressive": passive_aggressive_candidate()}
     return fit_candidates(prepared, chosen, features, target, group_cols)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftloom.operators.gates import default_thresholds, retrain_decision, verdict_of
+from driftloom.operators.scoring import Model, as_model
 from driftloom.operators.metrics import (
     VALIDATION_METRICS,
     baseline_predictions,
@@ -45,7 +46,9 @@ def compare_with_baseline(
     """Per segment and metric: the candidate's `value`, the `baseline_value` and its `baseline_source`.
 
     Every row is listed once as candidate and once as baseline, so one pass measures both.
-    `naive` may hold the naive predictions of `train` when they are known already.
+    `naive` may hold the naive predictions of `train` when they are known already. A segment
+    without training rows has no naive prediction and so no baseline: its `baseline_value` and
+    `baseline_source` are null, which the gates let pass.
     """
     keys = list(group_cols)
     if train is not None and naive is None:
@@ -56,16 +59,11 @@ def compare_with_baseline(
         based = scored.select("*", F.col(previous).alias("baseline"), F.lit("previous_model").alias("baseline_source"))
     else:
         based = baseline_predictions(scored, naive, keys, previous)
-    listed = based.select(
-        *keys,
-        label,
-        F.inline(
-            F.array(
-                F.struct(F.lit("candidate").alias("__role"), F.col(prediction).alias("__p")),
-                F.struct(F.col("baseline_source").alias("__role"), F.col("baseline").alias("__p")),
-            )
-        ),
-    )
+    offered = F.struct(F.col("baseline_source").alias("__role"), F.col("baseline").alias("__p"))
+    # A previous model that left a row out is measured as it is; a naive value is there for a whole segment or not at all.
+    present = F.col("baseline").isNotNull() | (F.col("baseline_source") == "previous_model")
+    roles = F.array(F.struct(F.lit("candidate").alias("__role"), F.col(prediction).alias("__p")), F.when(present, offered))
+    listed = based.select(*keys, label, F.inline(F.array_compact(roles)))
     measured = validation_metrics(listed, label, "__p", [*keys, "__role"], model_type)
     is_candidate = F.col("__role") == "candidate"
     return measured.groupBy(*keys, "metric").agg(
@@ -96,6 +94,42 @@ def validate_run(
     return verdict_of(compared, default_thresholds(model_type, thresholds), group_cols, evidence)
 
 
+def validate_model(
+    test: DataFrame,
+    model: Model | DataFrame,
+    label: str,
+    features: Sequence[str] = (),
+    group_cols: Sequence[str] = (),
+    previous: Model | DataFrame | None = None,
+    **settings: object,
+) -> DataFrame:
+    """`validate_run` for a model of any kind, and a previous one of any kind, on rows that are not scored yet.
+
+    `features` are only needed for coefficient tables and bare `spark.ml` models.
+    """
+    scored = as_model(model, features, group_cols).score(test, "prediction")
+    if previous is not None:
+        scored = as_model(previous, features, group_cols).score(scored, "previous_prediction")
+        settings["previous"] = "previous_prediction"
+    return validate_run(scored, label, "prediction", group_cols, **settings)
+
+
+def retrain_models(
+    test: DataFrame,
+    champion: Model | DataFrame,
+    challenger: Model | DataFrame,
+    label: str,
+    train: DataFrame,
+    group_cols: Sequence[str],
+    features: Sequence[str] = (),
+    **settings: object,
+) -> DataFrame:
+    """`retrain_run` for two models of any kinds on rows that are not scored yet."""
+    scored = as_model(champion, features, group_cols).score(test, "champion")
+    both = as_model(challenger, features, group_cols).score(scored, "challenger")
+    return retrain_run(both, label, "champion", "challenger", train, group_cols, **settings)
+
+
 def retrain_run(
     scored: DataFrame,
     label: str,

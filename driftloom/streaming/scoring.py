@@ -1,4 +1,4 @@
-"""Scoring rows as they arrive, with the batch expression."""
+"""Scoring rows as they arrive, by the model that scores batches."""
 
 from __future__ import annotations
 
@@ -7,20 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from driftloom.operators.models import score_linear
+from driftloom.operators.scoring import Model, as_model
 
 
 def score_stream(
     rows: DataFrame,
-    coefficients: DataFrame,
+    model: Model | DataFrame,
     features: Sequence[str],
     path: str,
     checkpoint: str,
     group_cols: Sequence[str] = (),
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append predictions for a streaming frame to Parquet files, exactly once per row."""
-    scored = score_linear(rows, coefficients, features, group_cols)
+    """Append predictions of any kind of model for a streaming frame to Parquet files, exactly once per row."""
+    scored = as_model(model, features, group_cols).score(rows)
     return (
         scored.writeStream.outputMode("append")
         .format("parquet")

@@ -98,8 +98,6 @@ def test_least_squares_and_single_feature(spark):
     line = spark.createDataFrame([("x", 1.0, 5.0), ("x", 2.0, 7.0), ("z", 1.0, 1.0), ("z", 3.0, 1.0)], "g string, a double, y double")
     got = {r.g: (r.intercept, r.coef_a) for r in mo.fit_single_feature(line, ["a"], "y", ["g"]).collect()}
     assert got["x"] == pytest.approx((3.0, 2.0)) and got["z"] == pytest.approx((1.0, 0.0))
-    with pytest.raises(ValueError, match="one model"):
-        mo.fit_least_squares(df, FEATURES, "y", ["g"])
 
 
 def test_folded_scaler_scores_raw_rows_alike(spark):
@@ -140,3 +138,44 @@ def test_training_run_on_features(spark, small):
     assert prepared.filter("split = 'train'").count() == int(prepared.count() * 0.8)
     fitted, results = train_run(prepared, "v_mes", {"pa": passive_aggressive_candidate(max_iter=20)})
     assert results.filter("status = 'ok'").count() == 8 and "coef_v_semana" in fitted["pa"].columns
+
+
+def test_grouped_least_squares_defines_every_rank(spark):
+    rng = np.random.default_rng(2)
+    rows = [("plane", float(a), float(b), float(1e6 + 5 * a - b)) for a, b in rng.normal(size=(200, 2))]
+    rows += [("twins", float(a), float(2 * a + 1), float(3 * a)) for a in rng.normal(size=50)]
+    rows += [("still", 4.0, float(b), float(7 - b)) for b in rng.normal(size=50)] + [("one", 1.0, 2.0, 3.0), ("flat", 1.0, 1.0, 5.0), ("flat", 2.0, 3.0, 5.0)]
+    rows += [("plane", None, 1.0, 1.0), ("plane", 1.0, float("nan"), 1.0), ("none", None, 1.0, 1.0), (None, 1.0, 0.0, 2.0), (None, 2.0, 1.0, 3.0)]
+    df = spark.createDataFrame(rows, "g string, a double, b double, y double").repartition(5)
+    got = {r["g"]: r for r in mo.least_squares_table(df, FEATURES, "y", ["g"]).collect()}
+    assert set(got) == {"plane", "twins", "still", "one", "flat", None}
+    assert list(got["plane"])[1:4] == pytest.approx([1e6, 5.0, -1.0]) and got["plane"]["rank"] == 2 and got["plane"]["n_rows"] == 200
+    t = got["twins"]  # y = 3a, shared by a and b = 2a + 1 on equal standardised terms
+    assert (t["coef_a"], t["coef_b"], t["rank"]) == (pytest.approx(1.5), pytest.approx(0.75), 1) and t["intercept"] == pytest.approx(-0.75)
+    assert got["still"]["coef_a"] == 0 and got["still"]["coef_b"] == pytest.approx(-1.0) and got["still"]["rank"] == 1
+    assert list(got["one"])[1:4] == [3.0, 0.0, 0.0] and got["one"]["rank"] == 0 and got["one"]["fit_r2"] is None
+    assert got["flat"]["intercept"] == pytest.approx(5.0) and got["flat"]["fit_r2"] is None
+    assert mo.least_squares_table(df.limit(0), FEATURES, "y", ["g"]).count() == 0
+    wide = [f"x{i}" for i in range(24)]
+    x = rng.normal(size=(300, 24))
+    many = spark.createDataFrame([(*map(float, v), float(v @ np.arange(24) + 2)) for v in x], ", ".join(f"{c} double" for c in wide) + ", y double")
+    assert list(mo.fit_least_squares(many, wide, "y").first()) == pytest.approx([2.0, *range(24)], abs=1e-8)
+
+
+def test_a_segment_that_fails_leaves_the_others(spark):
+    df = plane(spark, 60, ("u", "v", "w")).withColumn("split", F.when(F.col("id") < 48, "train").otherwise("test"))
+    df = df.filter("NOT (g = 'w' AND split = 'train')")  # nothing to train on
+
+    def breaks_v(rows, features, label, groups=()):
+        return mo.fit_least_squares(rows, features, label, groups).withColumn("intercept", F.when(F.col("g") != "v", F.col("intercept")).otherwise(float("nan")))
+
+    def broken(*_):
+        raise RuntimeError("no luck")
+
+    fitted, results = mo.fit_candidates(df, {"broken": broken, "nan": breaks_v, "ols": mo.fit_least_squares}, FEATURES, "y", ["g"])
+    assert set(fitted) == {"nan", "ols"}
+    status = {(r["candidate"], r["g"]): (r["status"], r["error"]) for r in results.collect()}
+    assert {g: status[("broken", g)] for g in "uvw"} == {g: ("failed", "no luck") for g in "uvw"}
+    assert status[("nan", "u")] == ("ok", None) and status[("nan", "v")][0] == "failed" and status[("ols", "w")][0] == "failed"
+    best = {r["g"]: (r["best"], r["n_ok"], r["n_failed"]) for r in mo.best_candidates(results, ["g"]).collect()}
+    assert best["v"] == ("ols", 1, 2) and best["w"] == (None, 0, 3) and best["u"][1:] == (2, 1)

@@ -1,11 +1,14 @@
+import random
 from collections import defaultdict
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from conftest import by
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from driftloom.operators.ordering import number_rows
+from driftloom.operators.ordering import Cells, number_rows
 from driftloom.operators.scaling import scaler_fit, standardise
 from driftloom.operators.splits import except_rows, hash_split, random_split, temporal_split
 
@@ -68,8 +71,56 @@ def test_row_numbers_match_a_window(spark, small):
     assert sorted(r["row_number"] for r in everyone) == list(range(1, len(everyone) + 1))
     ordered = sorted(everyone, key=lambda r: (r["ts"], r["event_id"]))
     assert [r["row_number"] for r in ordered] == list(range(1, len(everyone) + 1))
-    with pytest.raises(TypeError, match="cell"):
-        number_rows(events, ["props"])
+    by_text = sorted(by(number_rows(events, ["props", "event_id"]), "event_id"), key=lambda r: r["row_number"])
+    assert [(r["props"], r["event_id"]) for r in by_text] == sorted((r["props"], r["event_id"]) for r in by_text)
+    with pytest.raises(TypeError, match="order"):
+        number_rows(events.withColumn("m", F.create_map("props", "value")), ["m"])
+
+
+KINDS = {
+    "bigint": lambda r: r.choice([None, 0, 5, 5, r.randint(-(2**63), 2**63 - 1), r.randint(0, 40)]),
+    "date": lambda r: r.choice([None, date(2024, 1, 1), date(2024, 1, 1) + timedelta(days=r.randint(0, 3))]),
+    "timestamp_ntz": lambda r: datetime(2024, 1, 1) + timedelta(microseconds=r.choice([0, 1, r.randint(0, 10**6), r.randint(0, 10**12)])),
+    "decimal(12,3)": lambda r: r.choice([None, Decimal("1.001"), Decimal(r.randint(-500, 500)) / 8]),
+    "double": lambda r: r.choice([None, 0.0, -1e300, 1e-300, r.random(), r.random() * 1e6, float("inf"), float("-inf"), 1.7e9 + r.random()]),
+    "string": lambda r: r.choice([None, "", "é", "same prefix that is longer than twenty-eight bytes" + r.choice("abc"), str(r.random())]),
+    "boolean": lambda r: r.choice([None, True, False]),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(KINDS))
+@pytest.mark.parametrize("most", [5, 60])
+def test_cells_follow_counts(spark, kind, most):
+    """Row numbers and cuts equal a plain window's, however small cells must be."""
+    rng = random.Random(kind)
+    rows = [(rng.choice(["hot", "hot", "hot", "cold", None]), KINDS[kind](rng), i) for i in range(400)]
+    df = spark.createDataFrame(rows, f"g string, k {kind}, id int").repartition(4)
+    window = Window.partitionBy("g").orderBy("k", "id")
+    want = sorted(map(str, df.withColumn("n", F.row_number().over(window).cast("bigint")).collect()))
+    assert sorted(map(str, number_rows(df, ["k", "id"], ["g"], "n", most).collect())) == want
+    total = Window.partitionBy("g")
+    cut = F.when(F.row_number().over(window) <= F.floor(F.count(F.lit(1)).over(total) * 0.7), "train").otherwise("test")
+    got = sorted(map(str, temporal_split(df, ["k", "id"], 0.7, ["g"], most).collect()))
+    assert got == sorted(map(str, df.withColumn("split", cut).collect()))
+
+
+def test_one_day_is_split_among_tasks(spark):
+    """All rows share a date; the second ordering column cuts them, and no cell holds more than it may."""
+    day = spark.range(20_000).select(F.lit(date(2024, 1, 1)).alias("d"), (F.col("id") * 7919 % 20_011).alias("k"))
+    cells = Cells(day, ["d", "k"], (), most=500)
+    sizes = cells.place(day).groupBy("__path").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 500 and sizes.count() >= 40
+    numbered = number_rows(day, ["d", "k"], most=500)
+    assert numbered.filter(F.col("row_number") != F.row_number().over(Window.orderBy("d", "k"))).count() == 0
+    marked = temporal_split(day, ["d", "k"], 0.8, most=500)
+    assert marked.filter("split = 'train'").count() == 16_000
+
+
+def test_tied_rows_are_numbered_by_content(spark):
+    df = spark.createDataFrame([(1, i % 50) for i in range(300)], "k int, v int")
+    one, other = (sorted(map(tuple, number_rows(df.repartition(n), ["k"], most=10).collect())) for n in (1, 6))
+    assert one == other and [r[2] for r in sorted(one, key=lambda r: r[2])] == list(range(1, 301))
+    assert number_rows(df.limit(0), ["k"], most=10).count() == 0
 
 
 def test_scaler_uses_population_deviation_and_spares_constants(spark):
