@@ -34,7 +34,11 @@ _AUTOMATA: dict = {}
 
 
 def item_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """Distinct windows as `words` with the sorted ids of their items. Items with a null id or no words have none."""
+    """Distinct windows as `words` with the sorted ids of their items.
+
+    Items without words have none. The windows of an item without an id hit like any others;
+    only the list of ids cannot name it.
+    """
     need(items, item_col, text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,7 +50,7 @@ def item_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "t
                 out += [(item, b" ".join(words[i : i + size])) for i in range(len(words) - size + 1) if size]
             yield pa.record_batch([pa.array([x for x, _ in out], pa.string()), pa.array([w for _, w in out], pa.binary())], names=["item", "words"])
 
-    slim = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).dropna()
+    slim = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
     cuts = slim.mapInArrow(cut, "item string, words binary")
     return cuts.groupBy("words").agg(F.array_sort(F.collect_set("item")).alias("items"))
 

@@ -21,8 +21,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftloom.llm.bktree import linked_within
 from driftloom.llm.common import group_starts, need, runs_of, sliced
@@ -58,17 +59,23 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(2 * set_ > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """`doc_id` and `bits` (the fingerprint as a signed long) of every row."""
-    need(docs, id_col, text_col)
+def _with_bits(slim: DataFrame, shingle: int) -> DataFrame:
+    """The frame with `bits`, the fingerprint of its `text` as a signed long, in place of the text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
             bits = np.fromiter((fingerprint(t, shingle) for t in batch.column("text").to_pylist()), np.uint64, batch.num_rows)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(bits.view(np.int64))], names=["doc_id", "bits"])
+            kept = [c for c in batch.schema.names if c != "text"]
+            yield pa.record_batch([*[batch.column(c) for c in kept], pa.array(bits.view(np.int64))], names=[*kept, "bits"])
+
+    fields = [f for f in slim.schema.fields if f.name != "text"]
+    return slim.mapInArrow(scan, T.StructType([*fields, T.StructField("bits", T.LongType())]))
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(scan, "doc_id long, bits long")
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """`doc_id` and `bits` (the fingerprint as a signed long) of every row."""
+    need(docs, id_col, text_col)
+    return _with_bits(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), shingle)
 
 
 def _shards(distinct: DataFrame, radius: int, agree: int) -> DataFrame:
@@ -133,20 +140,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = settle(fingerprints(docs, id_col, text_col, shingle))
     distinct = settle(rows.groupBy("bits").agg(F.min("doc_id").alias("first")))
-    found = components(fingerprint_links(distinct.select("bits"), radius))
-    member = distinct.join(found, distinct["bits"] == found["node"], "left").select("bits", "first", F.coalesce("component", "bits").alias("root"))
+    member = _with_roots(distinct, radius)
     smallest = member.groupBy("root").agg(F.min("first").alias("component_id"))
     named = settle(member.join(smallest, "root").select(F.col("bits").alias("key"), "component_id"))
     joined = rows.join(named, rows["bits"] == named["key"])
     return joined.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
-    """One row of each component, the one with the smallest id; with equal ids or repeated rows, the first of them.
+def _with_roots(distinct: DataFrame, radius: int) -> DataFrame:
+    """Distinct `bits`, and what else the frame has, with the `root` of their component."""
+    found = components(fingerprint_links(distinct.select("bits"), radius))
+    return distinct.join(found, distinct["bits"] == found["node"], "left").select(*distinct.columns, F.coalesce("component", "bits").alias("root"))
+
+
+def keep_one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
+) -> DataFrame:
+    """One row of each component: the one with the smallest id, rows without an id last.
 
-    Rows without an id are kept as they are, since nothing tells them apart.
+    Rows that share the id are told apart by a hash of their text, and repeated rows, with id and
+    text the same, by a hash of all their columns; of wholly equal rows one is kept. An empty
+    frame gives an empty one; columns stay as they are.
     """
-    found = near_duplicates(docs, id_col, **settings).select("doc_id", "component_id")
-    leaders = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__llm_leader")).distinct()
-    kept = docs.join(leaders, docs[id_col] == F.col("__llm_leader"), "left_semi")
-    return kept.union(docs.filter(F.col(id_col).isNull()))
+    need(docs, id_col, text_col)
+    taken = {c.lower() for c in docs.columns}
+    key, tie = (next(n for n in (x + "_" * i for i in range(99)) if n not in taken) for x in ("llm_key", "llm_tie"))
+    hashes = [F.xxhash64(F.col(id_col), F.col(text_col)).alias(key), F.xxhash64(F.lit("tie"), F.col(text_col)).alias(tie)]
+    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), hashes[0].alias("key"), hashes[1].alias("tie"))
+    rows = settle(_with_bits(slim, shingle))
+    first = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "tie", "key")).alias("first")
+    member = _with_roots(settle(rows.groupBy("bits").agg(first)), radius)
+    leaders = settle(member.groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.tie", "first.key"))
+    same = (F.col(key) == F.col("__key")) & (F.col(tie) == F.col("__tie")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+    chosen = leaders.select(F.col("key").alias("__key"), F.col("tie").alias("__tie"), F.col("id").alias("__id"))
+    kept = docs.select("*", *hashes).join(chosen, same, "left_semi")
+    # The join has brought equal keys together; of each row's repetitions the first stays.
+    hashed = [c for c in docs.columns if not isinstance(docs.schema[c].dataType, (T.MapType, T.VariantType))]
+    order = Window.partitionBy(key, tie, id_col).orderBy(F.xxhash64(*hashed))
+    return kept.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").select(*docs.columns)

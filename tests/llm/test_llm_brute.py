@@ -85,6 +85,21 @@ def test_token_output_matches_whole_texts(spark):
     assert sorted(got, key=lambda r: r[1]) == expected_tokens(rows)
 
 
+def test_other_vocabularies_are_encoded_whole(spark, docs):
+    path = tokenizer_path("byte_bpe_50k.json")
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path)
+    want = {r["doc_id"]: len(whole.encode(r["text"] or "", add_special_tokens=False).ids) + 1 for r in docs.collect()}
+    got = {r["doc_id"]: r["n_tokens"] for r in token_output.token_digests(docs, path).collect()}
+    assert got == want
+
+
+def test_token_folders_have_a_scheme(spark):
+    assert token_output.shared_folder(spark, "/tmp/x/").startswith("file:///tmp/x")
+    assert token_output.shared_folder(spark, "file:/tmp/x") == "file:///tmp/x"
+
+
 def test_token_output_small_files_and_empty(spark, docs):
     manifest = token_output.write_token_files(docs, tokenizer_path(), ids_per_file=40)
     assert manifest.count() > 8
@@ -102,13 +117,13 @@ def benchmark_rows(docs, items, window=13):
         for item, body in items:
             v = words(body)
             k = min(window, len(v))
-            if item is None or not k:
+            if not k:
                 continue
             for i in range(len(v) - k + 1):
                 for j in range(len(w) - k + 1):
                     if w[j : j + k] == v[i : i + k]:
                         hit |= set(range(j, j + k))
-                        found.add(str(item))
+                        found |= {str(item)} if item is not None else set()
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out[doc] = (len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w))
     return out
@@ -268,7 +283,13 @@ def test_simhash(spark):
     kept = simhash.keep_one_of_each(df.union(df.limit(0)))
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
     with_null = spark.createDataFrame([(None, "x y"), (3, "x y"), (3, "x y")], "doc_id long, text string")
-    assert sorted(str(r["doc_id"]) for r in simhash.keep_one_of_each(with_null).collect()) == ["3", "3", "None"]
+    assert [r["doc_id"] for r in simhash.keep_one_of_each(with_null).collect()] == [3]
+    shared = [(1, "one two"), (5, "one two"), (5, "three four five six"), (7, "x"), (7, "x"), (None, "alone here"), (None, "alone here")]
+    both = clashing(spark.createDataFrame(shared, "doc_id long, text string")).withColumn("llm_key", F.lit(1))
+    left = simhash.keep_one_of_each(both)
+    assert left.columns == both.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in left.collect()) == [("1", "one two"), ("5", "three four five six"), ("7", "x"), ("None", "alone here")]
+    assert simhash.keep_one_of_each(both.limit(0)).count() == 0
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
