@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftloom.llm.common import give_back, need, sliced
@@ -28,6 +28,10 @@ END_ID = 1
 #: A file is closed when it holds this many ids.
 IDS_PER_FILE = 2 << 20
 MANIFEST = "part int, number int, path string, n_docs long, n_ids long, n_bytes long"
+#: Hadoop's schemes of file systems that Arrow can write to, and its names for them.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+#: A reading task takes files with about this many ids.
+IDS_PER_TASK = 16 << 20
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -48,10 +52,23 @@ def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarra
     return out, sizes + 1
 
 
+def shared_folder(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme of the cluster's file system, as executors need it; an error where files cannot be written to it.
+
+    A path without a scheme belongs to the default file system, as for Spark itself.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    scheme, _, rest = whole.partition(":")
+    if scheme not in SCHEMES:
+        raise ValueError(f"token files cannot be written to {scheme}: folders; give one of {', '.join(SCHEMES)}")
+    return f"{SCHEMES[scheme]}:{rest if rest.startswith('//') else '//' + rest}"
+
+
 def _file_system(folder: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    return fs.FileSystem.from_uri(folder)
 
 
 def write_token_files(
@@ -71,7 +88,7 @@ def write_token_files(
     """
     need(docs, id_col, text_col)
     spark = docs.sparkSession
-    folder = (folder or fresh_path(spark, "tokens")).rstrip("/")
+    folder = shared_folder(spark, folder or fresh_path(spark, "tokens"))
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     placed = slim.withColumn("tie", F.xxhash64("text")).repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
 
@@ -113,8 +130,13 @@ def write_token_files(
 def read_token_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Documents from the files: id, `start` (ids before it), `n_tokens`, and `ids` as little-endian 32-bit numbers."""
     spark = manifest.sparkSession
-    order = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    files = manifest.select("path", (F.sum("n_ids").over(order) - F.col("n_ids")).alias("before"))
+    # First over the parts, of which there are as many as tasks wrote, then over the files of each.
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("of_part"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begun = parts.select("part", F.coalesce(F.sum("of_part").over(earlier), F.lit(0)).alias("of_earlier"))
+    order = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    inside = manifest.select("part", "path", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("inside"))
+    files = inside.join(begun, "part").select("path", (F.col("of_earlier") + F.col("inside")).alias("before"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,7 +155,8 @@ def read_token_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
                     yield pa.record_batch(columns, names=[id_col, "start", "n_tokens", "ids"])
                 give_back()
 
-    spread = max(1, manifest.count())
+    size = manifest.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("n_ids"), F.lit(0)).alias("ids")).first()
+    spread = max(1, min(size["files"], max(8 * spark.sparkContext.defaultParallelism, -(-size["ids"] // IDS_PER_TASK))))
     return files.repartition(spread).mapInArrow(read, f"{id_col} long, start long, n_tokens long, ids binary")
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -15,35 +16,49 @@ from driftloom.llm.common import LOWER_AND_BLANKS, ragged, text_bytes, word_boun
 #: Words whose ids a Python worker keeps; when there are more, those met in one slice of texts only are forgotten.
 KEPT_WORDS = 250_000
 _rng = np.random.default_rng(0x5EED)
-_BYTE = _rng.integers(1, 1 << 63, (2, 256), dtype=np.uint64) | np.uint64(1)
-_PLACE = _rng.integers(1, 1 << 63, (2, 1 << 12), dtype=np.uint64) | np.uint64(1)
+_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+_PLACE = _rng.integers(1, 1 << 63, 1 << 12, dtype=np.uint64) | np.uint64(1)
 
 
 def word_hashes(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of words that follow one another in a buffer (multilinear in bytes and length)."""
+    """A 64-bit hash of words that follow one another in a buffer (multilinear in bytes and length), and a check: length, first and last byte."""
     if not len(lengths):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    first = np.cumsum(lengths) - lengths
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    last = np.cumsum(lengths)
+    first = last - lengths
     place = np.arange(len(flat), dtype=np.int32)
     place -= np.repeat(first.astype(np.int32), lengths)
-    long = lengths.max() > len(_PLACE[0])
-    out = []
-    for lane in (0, 1):
-        value = _PLACE[lane][place & 0xFFF]
-        if long:
-            value += (place >> 12).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        value *= _BYTE[lane][flat]
-        out.append(np.add.reduceat(value, first) + lengths.astype(np.uint64) * _BYTE[lane][0])
-    return out[0], out[1]
+    if lengths.max() <= len(_PLACE):
+        value = _PLACE[place]
+    else:
+        value = _PLACE[place & 0xFFF]
+        value += (place >> 12).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    value *= _BYTE[flat]
+    hashes = np.add.reduceat(value, first) + lengths.astype(np.uint64) * _BYTE[0]
+    return hashes, (lengths << 16) | (flat[first].astype(np.int64) << 8) | flat[last - 1]
+
+
+def joins_no_words(path: str) -> bool:
+    """Whether a tokenizer file is of the kind that can be encoded word by word: BPE with word ends, lower-casing, dropping blanks."""
+    with open(path, encoding="utf-8") as source:
+        described = json.load(source)
+    model, normal, split = (described.get(k) or {} for k in ("model", "normalizer", "pre_tokenizer"))
+    if model.get("type", "BPE") != "BPE" or model.get("end_of_word_suffix") != "</w>" or model.get("continuing_subword_prefix"):
+        return False
+    steps = normal.get("normalizers", [normal])
+    whole = json.dumps(split)
+    return any(s.get("type") == "Lowercase" for s in steps) and "Removed" in whole and all(
+        s.get("type") in ("Lowercase", "NFC", "Replace") for s in steps
+    )
 
 
 class WordEncoder:
-    """Ids of whole texts from the ids of their words.
+    """Ids of whole texts from the ids of their words; of files that do not allow it (`joins_no_words`), by encoding whole texts.
 
     For BPE files with word ends that drop white space: a text's ids are those of its blank-separated
     pieces, one after the other, and lower case is folded by the tokenizer itself. Each distinct piece
     is encoded once. Texts that hold the start of a special token (`<|`) are encoded whole. Equal
-    pieces are found by two 64-bit hashes; a piece that agrees in one only raises an error.
+    pieces are found by a 64-bit hash; pieces with one hash that differ in length, first or last byte raise an error.
     """
 
     def __init__(self, path: str, kept: int = KEPT_WORDS):
@@ -51,6 +66,7 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
+        self.by_words = joins_no_words(path)
         # The same model without normalizer and splitting, for words of a-z alone, which those leave as they are.
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = None
@@ -62,13 +78,13 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        # Entry of a word by its first hash; the second is kept with the entry.
+        # Entry of a word by its hash; its check is kept with the entry.
         self.known: dict[int, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 12, np.int64)
         self.size = np.zeros(1 << 12, np.int64)
         self.uses = np.zeros(1 << 12, np.int32)
-        self.check = np.zeros(1 << 12, np.uint64)
+        self.check = np.zeros(1 << 12, np.int64)
         self.n_flat = self.n_known = 0
 
     def _forget(self) -> None:
@@ -127,15 +143,15 @@ class WordEncoder:
             return True
 
         data, easy = np.frombuffer(buffer, np.uint8), np.flatnonzero(plain)
-        for k in range(0, len(easy), 4096):
-            some = easy[k : k + 4096]
+        for k in range(0, len(easy), 256):
+            some = easy[k : k + 256]
             sizes = ends[some] - starts[some] + 1
             text = data[np.minimum(ragged(starts[some], sizes), len(data) - 1)]
             text[np.cumsum(sizes) - 1] = 0x20
             if not joined(self.plain, some, text.tobytes().decode(), np.ones(len(some), np.int64)):
                 other += [(i, buffer[a:b].decode()) for i, a, b in zip(some.tolist(), starts[some].tolist(), ends[some].tolist())]
-        for k in range(0, len(letters), 512):
-            numbers, texts, counts = zip(*letters[k : k + 512])
+        for k in range(0, len(letters), 256):
+            numbers, texts, counts = zip(*letters[k : k + 256])
             if not joined(self.whole, np.array(numbers), " ".join(texts), np.array(counts)):
                 other += zip(numbers, texts)
         for k in range(0, len(other), 4096):
@@ -148,6 +164,10 @@ class WordEncoder:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and the number of ids of each text; null counts as empty."""
+        if not self.by_words:
+            coded = [x.ids for x in self.whole.encode_batch_fast(column.fill_null("").to_pylist(), add_special_tokens=False)]
+            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+            return np.fromiter(chain.from_iterable(coded), np.uint32, int(sizes.sum())), sizes
         if self.n_known > self.kept:
             self._forget()
         raw, offsets = text_bytes(column)
