@@ -24,6 +24,7 @@ from driftloom.operators.logstate import (
 from driftloom.operators.reports import monitoring_rows
 from driftloom.sources.files import read_files, write_files
 from driftloom.sources.scratch import fresh_path, settle
+from driftloom.sources.buckets import create_buckets, read_buckets, upsert_buckets
 from driftloom.sources.tables import append_rows, from_sql, read_table, upsert_table, write_table
 from driftloom.streaming.rollup import read_rollup, rollup_stream
 from driftloom.streaming.scoring import score_stream
@@ -72,6 +73,15 @@ def upsert_partitioned_customer(spark, sf_dir):
     return rounded(read_table(spark, name), 2, "c_acctbal")
 
 
+def upsert_bucketed_customer(spark, sf_dir):
+    """The same changes in two merges of a bucketed table."""
+    folder, changes = fresh_path(spark, "customer_buckets"), _changed_customers(spark, sf_dir)
+    create_buckets(table(spark, sf_dir, "customer"), folder, ["c_custkey"], 32)
+    upsert_buckets(changes.filter("c_custkey % 2 = 0"), folder, ["step"])
+    upsert_buckets(changes.filter("c_custkey % 2 <> 0"), folder, ["step"])
+    return rounded(read_buckets(spark, folder), 2, "c_acctbal")
+
+
 def append_monitoring_lineitem(spark, sf_dir):
     name = _fresh_table("monitoring")
     path = fresh_path(spark, name)
@@ -190,6 +200,7 @@ QUERIES: dict[str, Query] = {
     "table_roundtrip_orders": (table_roundtrip_orders, "SELECT * FROM orders"),
     "upsert_customer": (upsert_customer, UPSERTED),
     "upsert_partitioned_customer": (upsert_partitioned_customer, UPSERTED),
+    "upsert_bucketed_customer": (upsert_bucketed_customer, UPSERTED),
     "append_monitoring_lineitem": (
         append_monitoring_lineitem,
         f"""WITH rep AS ({WATCHING['monitoring_report_lineitem'][1]})

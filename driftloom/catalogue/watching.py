@@ -38,7 +38,7 @@ def ks_drift_events(spark, sf_dir):
 
 
 def ks_exact_events(spark, sf_dir):
-    """The exact distribution, which SQL cannot say; its p-values are checked in the tests."""
+    """The exact distribution over all interleavings."""
     tested = ks_test(table(spark, sf_dir, "events"), ["value"], *_event_samples(), ["event_type"], method="exact")
     return rounded(tested.select("event_type", *TEST_COLUMNS, "p_method"), 8, "statistic", "p_value")
 
@@ -156,6 +156,15 @@ def monitoring_report_lineitem(spark, sf_dir):
     return flat_report(report_lineitem(spark, sf_dir))
 
 
+def prediction_report_lineitem(spark, sf_dir):
+    """Monitoring without a reference sample: statistics of the current predictions, and outliers in place of drift."""
+    _, is_cur = samples_by_date("l_shipdate", DAYS, AS_OF)
+    lines = table(spark, sf_dir, "lineitem").withColumn("prediction", F.col("l_extendedprice") * F.col("l_tax"))
+    report = monitor_run(lines, [], None, is_cur, group_cols=["l_returnflag"], statistics=True)
+    flat = report.select("l_returnflag", "overall_status", "drift_detected", "anomaly_detected", "prediction_statistics.*")
+    return rounded(flat, 6, "mean", "std", "min", "max", "median", "outlier_rate")
+
+
 def history_report_lineitem(spark, sf_dir):
     """The report from counts that every year has left; the last year is recorded later than the others, one twice."""
     lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_extendedprice", "l_shipdate")
@@ -207,6 +216,16 @@ MOMENTS = ", ".join(
     r(e, 6, n)
     for e, n in (("avg(value)", "mean"), ("stddev_samp(value)", "std"), ("min(value)", "min"), ("max(value)", "max"), ("median(value)", "median"))
 )
+# The chance of having touched the region beyond the statistic, along the anti-diagonals of the lattice of interleavings.
+KS_EXACT_SQL = f"""WITH RECURSIVE d AS {ks_sql('events', ['event_type'], ['value'], E_REF, E_CUR)},
+z AS (SELECT *, least(n_ref, n_cur) AS n, greatest(n_ref, n_cur) AS m, lcm(n_ref, n_cur) AS step FROM d),
+walk AS (SELECT event_type, n, m, step // n AS pi, step // m AS pj, round(statistic * step)::BIGINT AS h, 0::BIGINT AS s,
+    list_transform(range(n + 1), lambda i: 0.0::DOUBLE) AS t FROM z
+  UNION ALL SELECT event_type, n, m, pi, pj, h, s + 1, list_transform(range(n + 1), lambda i:
+    CASE WHEN i > s + 1 OR s + 1 - i > m THEN 0.0::DOUBLE WHEN abs(i * pi - (s + 1 - i) * pj) >= h THEN 1.0::DOUBLE
+    ELSE (i * coalesce(t[i], 0) + (s + 1 - i) * t[i + 1]) / (s + 1) END) FROM walk WHERE s < n + m)
+SELECT event_type, feature, kind, n_ref, n_cur, {r('statistic', 8, 'statistic')}, {r('t[z.n + 1]', 8, 'p_value')}, 'exact' AS p_method
+FROM z JOIN walk USING (event_type) WHERE s = z.n + z.m"""
 R_CUR = f"l_shipdate >= DATE '{AS_OF}' - INTERVAL {DAYS} DAY"
 def _scored_sql(current: str) -> str:
     return f"""f AS (SELECT l_returnflag, regr_intercept(l_extendedprice, l_quantity) AS b, regr_slope(l_extendedprice, l_quantity) AS w
@@ -250,7 +269,7 @@ QUERIES: dict[str, Query] = {
         ks_drift_events,
         f"SELECT event_type, {_tests(8)} FROM {ks_sql('events', ['event_type'], ['value'], E_REF, E_CUR)}",
     ),
-    "ks_exact_events": (ks_exact_events, None),
+    "ks_exact_events": (ks_exact_events, KS_EXACT_SQL),
     "ks_drift_multi_lineitem": (
         ks_drift_multi_lineitem,
         f"""SELECT l_linestatus, {_tests(8)}
@@ -285,6 +304,16 @@ QUERIES: dict[str, Query] = {
         FROM lineitem, (SELECT unnest(['q1', 'median', 'q3']) AS name) GROUP BY l_returnflag, name""",
     ),
     "approx_median_events": (approx_median_events, "SELECT DISTINCT event_type, TRUE AS within FROM events"),
+    "prediction_report_lineitem": (
+        prediction_report_lineitem,
+        f"""WITH x AS (SELECT l_returnflag, l_extendedprice * l_tax AS value FROM lineitem WHERE {R_CUR}),
+        q AS (SELECT l_returnflag, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM x GROUP BY 1),
+        o AS (SELECT l_returnflag, {MOMENTS}, count(*) FILTER (value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS outlier_count,
+          count(*) AS n FROM x JOIN q USING (l_returnflag) GROUP BY 1)
+        SELECT l_returnflag, CASE WHEN outlier_count::DOUBLE / n > 0.05 THEN 'warning' ELSE 'healthy' END AS overall_status, FALSE AS drift_detected,
+          outlier_count::DOUBLE / n > 0.05 AS anomaly_detected, mean, std, min, max, median, outlier_count,
+          {r('outlier_count::DOUBLE / n', 6, 'outlier_rate')} FROM o""",
+    ),
     "history_report_lineitem": (history_report_lineitem, _whole_report_sql("l_shipdate >= TIMESTAMP '2001-01-01'")),
     "degradation_lineitem": (
         degradation_lineitem,

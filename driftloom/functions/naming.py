@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 # Output column names that callers of the feature table rely on.
 DATE = "data"
 WEEK = "semana"
@@ -27,3 +29,8 @@ def month_lag(c: str, k: int) -> str:
 def qualified(*parts: str) -> str:
     """Dotted table name with every part back-quoted; empty parts are left out."""
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts if p)
+
+
+def table_name(name: str | Sequence[str]) -> str:
+    """A table's name as SQL takes it: text as it is, the parts of a name (catalog, schema, table) quoted and joined."""
+    return name if isinstance(name, str) else qualified(*name)

@@ -38,7 +38,9 @@ def exact_ks_tail(statistic: float, n: int, m: int) -> float:
     """P(D >= statistic) under equal distributions, over all interleavings (Hodges 1958).
 
     A lattice path from (0, 0) to (n, m) is an interleaving. The chance of having touched the
-    region |i/n - j/m| >= statistic is carried along the anti-diagonals i + j = s.
+    region |i/n - j/m| >= statistic is carried along the anti-diagonals i + j = s. In that region
+    it is 1, so only the band of points between its two halves is computed: the work grows with
+    the statistic times n * m, and a statistic small enough to be in doubt leaves a narrow band.
     """
     if n > m:
         n, m = m, n
@@ -47,16 +49,19 @@ def exact_ks_tail(statistic: float, n: int, m: int) -> float:
     height = round(statistic * step)
     if height <= 0:
         return 1.0
-    i = np.arange(n + 1, dtype=np.int64)
-    touched = np.zeros(n + 1)
+    i = np.arange(n + 1, dtype=np.float64)
+    touched = np.ones(n + 2)  # the chance for i is at i + 1
+    touched[1] = 0.0
+    low, high = 0, 0  # what the last anti-diagonal computed; all else is 1
     for s in range(1, n + m + 1):
-        lo, hi = max(0, s - m), min(n, s)
+        lo = max(0, s - m, (s * per_j - height) // (per_i + per_j) + 1)
+        hi = min(n, s, -((-s * per_j - height) // (per_i + per_j)) - 1)
         at = i[lo : hi + 1]
-        before = np.concatenate(([0.0], touched))[lo : hi + 1]
-        here = (at * before + (s - at) * touched[lo : hi + 1]) / s
-        here[np.abs(at * per_i - (s - at) * per_j) >= height] = 1.0
-        touched[lo : hi + 1] = here
-    return float(min(1.0, max(0.0, touched[n])))
+        here = (at * touched[lo : hi + 1] + (s - at) * touched[lo + 1 : hi + 2]) / s
+        touched[low + 1 : high + 2] = 1.0
+        touched[lo + 1 : hi + 2] = here
+        low, high = lo, hi
+    return float(min(1.0, max(0.0, touched[n + 1])))
 
 
 @pandas_udf(DoubleType())

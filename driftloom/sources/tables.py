@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftloom.functions.attach import same_keys
+from driftloom.functions.naming import table_name
 from driftloom.operators.logstate import latest_records
 from driftloom.sources.scratch import fresh_path, settle
 
@@ -23,8 +24,9 @@ def from_sql(spark: SparkSession, query: str) -> DataFrame:
     return spark.sql(query)
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
+def read_table(spark: SparkSession, name: str | Sequence[str]) -> DataFrame:
+    """A table by its name, or by the parts of its name, as every function here takes it."""
+    return spark.table(table_name(name))
 
 
 def _sql_text(text: str) -> str:
@@ -33,7 +35,7 @@ def _sql_text(text: str) -> str:
 
 def write_table(
     df: DataFrame,
-    name: str,
+    name: str | Sequence[str],
     mode: str = "overwrite",
     description: str = "",
     fmt: str = DEFAULT_FORMAT,
@@ -41,6 +43,7 @@ def write_table(
     path: str | None = None,
 ) -> None:
     """Create or overwrite a table, its schema included, and comment it if asked to."""
+    name = table_name(name)
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -77,14 +80,14 @@ def replace_rows(old: DataFrame, newest: DataFrame, keys: Sequence[str]) -> Data
     return kept.unionByName(newest, allowMissingColumns=True)
 
 
-def table_location(spark: SparkSession, name: str) -> str:
+def table_location(spark: SparkSession, name: str | Sequence[str]) -> str:
     """The table's folder, from the catalog's own record and not by a row's name, which a column may bear."""
-    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])["location"]
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(name)} AS JSON").first()[0])["location"]
 
 
 def upsert_table(
     df: DataFrame,
-    name: str,
+    name: str | Sequence[str],
     keys: Sequence[str],
     order_cols: Sequence[str] = (),
     partition_col: str | None = None,
@@ -98,7 +101,7 @@ def upsert_table(
     what it reads. For a table partitioned by `partition_col` (which must be one of the keys)
     only the partitions that occur in `df` are read and rewritten.
     """
-    spark = df.sparkSession
+    spark, name = df.sparkSession, table_name(name)
     if overwrite or not spark.catalog.tableExists(name):
         rows = df if overwrite else newest_rows(df, keys, order_cols)
         write_table(rows, name, fmt=fmt, partition_by=[partition_col] if partition_col else [])
@@ -149,12 +152,12 @@ def _add_columns(spark: SparkSession, name: str, fields: Sequence) -> None:
         spark.catalog.refreshTable(name)
 
 
-def append_rows(df: DataFrame, name: str, fmt: str = DEFAULT_FORMAT, path: str | None = None) -> None:
+def append_rows(df: DataFrame, name: str | Sequence[str], fmt: str = DEFAULT_FORMAT, path: str | None = None) -> None:
     """Append rows to a results table, creating it on first use; columns are matched by name.
 
     A column that the table lacks is an error, since its values would be lost.
     """
-    spark = df.sparkSession
+    spark, name = df.sparkSession, table_name(name)
     if spark.catalog.tableExists(name):
         unknown = sorted(set(df.columns) - set(spark.table(name).columns))
         if unknown:
