@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 from itertools import chain, repeat
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,8 @@ from driftloom.llm.common import LOWER_AND_BLANKS, ragged, text_bytes, word_boun
 
 #: Words whose ids a Python worker keeps; when there are more, those met in one slice of texts only are forgotten.
 KEPT_WORDS = 250_000
+#: The first code point after the Latin letters that every Unicode version knows alike.
+BEYOND_LATIN = "\u0250"
 _rng = np.random.default_rng(0x5EED)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _PLACE = _rng.integers(1, 1 << 63, 1 << 12, dtype=np.uint64) | np.uint64(1)
@@ -67,10 +70,12 @@ class WordEncoder:
 
         self.whole = Tokenizer.from_file(path)
         self.by_words = joins_no_words(path)
-        # The same model without normalizer and splitting, for words of a-z alone, which those leave as they are.
+        # The same model without normalizer and splitting, for words that those leave as they are.
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = None
-        self.plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.kept = kept
         vocab = self.whole.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -117,21 +122,26 @@ class WordEncoder:
         return first
 
     def _learn(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray, plain: np.ndarray) -> np.ndarray:
-        """Encode words not seen before; returns their entries. Letters alone, or letters before a comma or full stop,
-        are joined by blanks and told apart again by the ids that end a word; anything else is encoded by itself.
-        `plain` marks words of a-z alone."""
+        """Encode words not seen before; returns their entries. `plain` marks words of a-z alone.
+
+        Letters alone, or letters before a comma or full stop, are joined by blanks and told apart
+        again by the ids that end a word; Latin ones that are lower case and composed already need
+        neither normalizer nor splitting. Anything else is encoded by itself.
+        """
         entry = np.zeros(len(starts), np.int64)
+        latin: list[tuple[int, str, int]] = []
         letters: list[tuple[int, str, int]] = []
         other: list[tuple[int, str]] = []
         rest = np.flatnonzero(~plain)
         for i, a, b in zip(rest.tolist(), starts[rest].tolist(), ends[rest].tolist()):
             text = buffer[a:b].decode()
-            if text.isalpha():
-                letters.append((i, text, 1))
-            elif text[-1] in ",." and text[:-1].isalpha():
-                letters.append((i, text, 2))
-            else:
+            word, after = (text[:-1], text[-1]) if text[-1] in ",." else (text, "")
+            if not word.isalpha():
                 other.append((i, text))
+            elif max(word) < BEYOND_LATIN and word == word.lower() and is_normalized("NFC", word):
+                latin.append((i, f"{word} {after}" if after else word, 1 + len(after)))
+            else:
+                letters.append((i, text, 1 + len(after)))
 
         def joined(tokenizer, numbers: np.ndarray, text: str, counts: np.ndarray) -> bool:
             ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -150,10 +160,11 @@ class WordEncoder:
             text[np.cumsum(sizes) - 1] = 0x20
             if not joined(self.plain, some, text.tobytes().decode(), np.ones(len(some), np.int64)):
                 other += [(i, buffer[a:b].decode()) for i, a, b in zip(some.tolist(), starts[some].tolist(), ends[some].tolist())]
-        for k in range(0, len(letters), 256):
-            numbers, texts, counts = zip(*letters[k : k + 256])
-            if not joined(self.whole, np.array(numbers), " ".join(texts), np.array(counts)):
-                other += zip(numbers, texts)
+        for tokenizer, words in ((self.plain, latin), (self.whole, letters)):
+            for k in range(0, len(words), 256):
+                numbers, texts, counts = zip(*words[k : k + 256])
+                if not joined(tokenizer, np.array(numbers), " ".join(texts), np.array(counts)):
+                    other += [(i, t.replace(" ", "")) for i, t in zip(numbers, texts)]
         for k in range(0, len(other), 4096):
             numbers, texts = zip(*other[k : k + 4096])
             coded = [x.ids for x in self.whole.encode_batch_fast(list(texts), add_special_tokens=False)]
