@@ -171,10 +171,10 @@ def keep_one_of_each(
     first = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "tie", "key")).alias("first")
     member = _with_roots(settle(rows.groupBy("bits").agg(first)), radius)
     leaders = settle(member.groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.tie", "first.key"))
-    same = (F.col(key) == F.col("__key")) & (F.col(tie) == F.col("__tie")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-    chosen = leaders.select(F.col("key").alias("__key"), F.col("tie").alias("__tie"), F.col("id").alias("__id"))
+    same = (F.col(key) == F.col("__key")) & (F.col(tie) == F.col("__tie"))
+    chosen = leaders.select(F.col("key").alias("__key"), F.col("tie").alias("__tie"))
     kept = docs.select("*", *hashes).join(chosen, same, "left_semi")
     # The join has brought equal keys together; of each row's repetitions the first stays.
     hashed = [c for c in docs.columns if not isinstance(docs.schema[c].dataType, (T.MapType, T.VariantType))]
-    order = Window.partitionBy(key, tie, id_col).orderBy(F.xxhash64(*hashed))
+    order = Window.partitionBy(key, tie).orderBy(F.xxhash64(*hashed))
     return kept.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").select(*docs.columns)
