@@ -22,11 +22,14 @@ BLOCK = 4096
 COUNT = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.uint64)
 PAD = 64
-BLOCKS_AT_ONCE = 64
+BLOCKS_AT_ONCE = 256
+_WIDTH = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].clip(1).astype(np.uint8)
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs, at least one."""
+    if values.max(initial=0) < len(_WIDTH):
+        return _WIDTH[values]
     low, high = values & np.uint64(0xFFFFFFFF), values >> np.uint64(32)
     bits = lambda x: np.frexp(x.astype(np.float64))[1]
     return np.maximum(1, np.where(high > 0, 32 + bits(high), bits(low))).astype(np.uint8)
@@ -60,6 +63,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         part = values[first * BLOCK : (first + BLOCKS_AT_ONCE) * BLOCK]
         nb = -(-len(part) // BLOCK)
         room = np.zeros((nb, BLOCK + PAD), np.uint64)
+        flat = room.reshape(-1)
         filled = np.zeros(nb * BLOCK, np.uint64)
         filled[: len(part)] = part
         room[:, :BLOCK] = filled.reshape(nb, BLOCK)
@@ -84,8 +88,11 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 escapes.append(raw)
                 n_escapes += len(raw)
                 continue
-            held = room[block[mine][:, None], place[mine][:, None] + np.arange(COUNT[k])]
-            out[mine] |= np.bitwise_or.reduce(held << (BITS[k] * np.arange(COUNT[k], dtype=np.uint64)), axis=1)
+            at = block[mine] * (BLOCK + PAD) + place[mine]
+            held = flat[at]
+            for j in range(1, COUNT[k]):
+                held |= flat[at + j] << (BITS[k] * np.uint64(j))
+            out[mine] |= held
         words.append(out)
         counts.append(np.bincount(block, minlength=nb))
     none = np.zeros(0, np.uint64)

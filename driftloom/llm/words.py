@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from itertools import chain, repeat
 from unicodedata import is_normalized
 
@@ -15,9 +16,15 @@ import pyarrow.compute as pc
 from driftloom.llm.common import LOWER_AND_BLANKS, ragged, text_bytes, word_bounds
 
 #: Words whose ids a Python worker keeps; when there are more, those met in one slice of texts only are forgotten.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 400_000
 #: The first code point after the Latin letters that every Unicode version knows alike.
-BEYOND_LATIN = "\u0250"
+BEYOND_LATIN = 0x250
+_LATIN = "".join(c for c in map(chr, range(BEYOND_LATIN)) if c.isalpha() and c == c.lower() and is_normalized("NFC", c))
+#: Composed lower-case Latin letters, then ASCII marks: two pieces, which neither normalizer nor splitting changes. No apostrophe: some are pieces with letters.
+PIECES = re.compile(f"([{_LATIN}]+)([!-&(-/:-@\\[-`{{-~]*)")
+#: Pieces up to this length are hashed eight bytes at a time.
+LONG_PIECE = 64
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _rng = np.random.default_rng(0x5EED)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _PLACE = _rng.integers(1, 1 << 63, 1 << 12, dtype=np.uint64) | np.uint64(1)
@@ -41,6 +48,33 @@ def word_hashes(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
     return hashes, (lengths << 16) | (flat[first].astype(np.int64) << 8) | flat[last - 1]
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def piece_hashes(buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of pieces of a buffer, eight bytes at a time, and a check: length, first and last byte.
+
+    Pieces of more than `LONG_PIECE` bytes have the hash of `word_hashes`.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    data, size = np.frombuffer(buffer, np.uint8), ends - starts
+    eight = np.ndarray((len(buffer),), "<u8", buffer + bytes(8), strides=(1,))
+    hashes = _mix(size.astype(np.uint64) ^ _mix(eight[starts] & _FIRST_BYTES[np.minimum(size, 8)]))
+    for done in range(8, LONG_PIECE, 8):
+        more = np.flatnonzero((size > done) & (size <= LONG_PIECE))
+        if not len(more):
+            break
+        hashes[more] = _mix(hashes[more] ^ (eight[starts[more] + done] & _FIRST_BYTES[np.minimum(size[more] - done, 8)]))
+    long = np.flatnonzero(size > LONG_PIECE)
+    if len(long):
+        hashes[long] = word_hashes(data[ragged(starts[long], size[long])], size[long])[0]
+    return hashes, (size << 16) | (data[starts].astype(np.int64) << 8) | data[ends - 1]
+
+
 def joins_no_words(path: str) -> bool:
     """Whether a tokenizer file is of the kind that can be encoded word by word: BPE with word ends, lower-casing, dropping blanks."""
     with open(path, encoding="utf-8") as source:
@@ -55,6 +89,14 @@ def joins_no_words(path: str) -> bool:
     )
 
 
+def _spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
+    """Words of a buffer, a blank after each."""
+    sizes = ends - starts + 1
+    text = data[np.minimum(ragged(starts, sizes), len(data) - 1)]
+    text[np.cumsum(sizes) - 1] = 0x20
+    return text.tobytes().decode()
+
+
 class WordEncoder:
     """Ids of whole texts from the ids of their words; of files that do not allow it (`joins_no_words`), by encoding whole texts.
 
@@ -124,24 +166,28 @@ class WordEncoder:
     def _learn(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray, plain: np.ndarray) -> np.ndarray:
         """Encode words not seen before; returns their entries. `plain` marks words of a-z alone.
 
-        Letters alone, or letters before a comma or full stop, are joined by blanks and told apart
-        again by the ids that end a word; Latin ones that are lower case and composed already need
-        neither normalizer nor splitting. Anything else is encoded by itself.
+        Letters, or letters before marks, are joined by blanks and told apart again by the ids that
+        end a piece; Latin ones that are lower case and composed already need neither normalizer
+        nor splitting. Anything else is encoded by itself.
         """
         entry = np.zeros(len(starts), np.int64)
-        latin: list[tuple[int, str, int]] = []
-        letters: list[tuple[int, str, int]] = []
+        data = np.frombuffer(buffer, np.uint8)
+        latin, letters = ([], [], []), ([], [], [])  # numbers, texts, counts of pieces
         other: list[tuple[int, str]] = []
         rest = np.flatnonzero(~plain)
-        for i, a, b in zip(rest.tolist(), starts[rest].tolist(), ends[rest].tolist()):
-            text = buffer[a:b].decode()
-            word, after = (text[:-1], text[-1]) if text[-1] in ",." else (text, "")
-            if not word.isalpha():
-                other.append((i, text))
-            elif max(word) < BEYOND_LATIN and word == word.lower() and is_normalized("NFC", word):
-                latin.append((i, f"{word} {after}" if after else word, 1 + len(after)))
+        texts = _spaced(data, starts[rest], ends[rest]).split(" ")[:-1]
+        for i, text, found in zip(rest.tolist(), texts, map(PIECES.fullmatch, texts)):
+            if found:
+                kind, after = latin, found[2]
+                text = f"{found[1]} {after}" if after else text
             else:
-                letters.append((i, text, 1 + len(after)))
+                kind, after = letters, text[-1] in ",."
+                if not (text[:-1] if after else text).isalpha():
+                    other.append((i, text))
+                    continue
+            kind[0].append(i)
+            kind[1].append(text)
+            kind[2].append(2 if after else 1)
 
         def joined(tokenizer, numbers: np.ndarray, text: str, counts: np.ndarray) -> bool:
             ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -152,17 +198,14 @@ class WordEncoder:
             entry[numbers] = self._add(ids, np.diff(last, prepend=0)) + np.arange(len(numbers))
             return True
 
-        data, easy = np.frombuffer(buffer, np.uint8), np.flatnonzero(plain)
+        easy = np.flatnonzero(plain)
         for k in range(0, len(easy), 256):
             some = easy[k : k + 256]
-            sizes = ends[some] - starts[some] + 1
-            text = data[np.minimum(ragged(starts[some], sizes), len(data) - 1)]
-            text[np.cumsum(sizes) - 1] = 0x20
-            if not joined(self.plain, some, text.tobytes().decode(), np.ones(len(some), np.int64)):
+            if not joined(self.plain, some, _spaced(data, starts[some], ends[some]), np.ones(len(some), np.int64)):
                 other += [(i, buffer[a:b].decode()) for i, a, b in zip(some.tolist(), starts[some].tolist(), ends[some].tolist())]
         for tokenizer, words in ((self.plain, latin), (self.whole, letters)):
-            for k in range(0, len(words), 256):
-                numbers, texts, counts = zip(*words[k : k + 256])
+            for k in range(0, len(words[0]), 256):
+                numbers, texts, counts = (held[k : k + 256] for held in words)
                 if not joined(tokenizer, np.array(numbers), " ".join(texts), np.array(counts)):
                     other += [(i, t.replace(" ", "")) for i, t in zip(numbers, texts)]
         for k in range(0, len(other), 4096):
@@ -190,10 +233,13 @@ class WordEncoder:
         split = (ends - starts > 1) & ((tail == 0x2C) | (tail == 0x2E))
         ahead = data[np.maximum(ends - 2, 0)] if len(ends) else data[:0]
         split &= (ahead >= 0x61) & (ahead <= 0x7A)
-        marks = ends[split]
-        starts, ends = np.sort(np.concatenate((starts, marks - 1))), np.sort(np.concatenate((ends, marks - 1)))
+        at = np.arange(len(starts)) + np.cumsum(split) - split
+        words, mark = (starts, ends), at[split] + 1
+        starts, ends = (np.empty(len(at) + len(mark), np.int64) for _ in words)
+        starts[at], starts[mark] = words[0], words[1][split] - 1
+        ends[at], ends[mark] = words[1] - split, words[1][split]
         own = np.searchsorted(offsets, starts, "right") - 1
-        h, check = word_hashes(data[data != 0x20], ends - starts)
+        h, check = piece_hashes(buffer, starts, ends)
         special = pc.match_substring(column.fill_null(""), "<|").to_numpy(zero_copy_only=False)
         if special.any():
             keep = ~special[own]
@@ -206,8 +252,9 @@ class WordEncoder:
         new = np.flatnonzero(met < 0)
         if len(new):
             a, b = starts[first[new]], ends[first[new]]
-            not_az = np.concatenate(([0], np.cumsum((data < 0x61) | (data > 0x7A), dtype=np.int32)))
-            met[new] = self._learn(buffer, a, b, not_az[a] == not_az[b])
+            some = data[ragged(a, b - a)]
+            other = np.add.reduceat((some < 0x61) | (some > 0x7A), np.cumsum(b - a) - (b - a), dtype=np.int64)
+            met[new] = self._learn(buffer, a, b, other == 0)
             self.check[met[new]] = check[first[new]]
             known.update(zip(distinct[new].tolist(), met[new].tolist()))
         if (check != self.check[met][codes]).any():
