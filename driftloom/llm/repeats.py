@@ -6,9 +6,10 @@ the smallest hash is the window's anchor; equal windows have equal anchors, at e
 1. every text's anchors are hashed, about 2 in (window - gram + 2) words, and those whose gram
    occurs once in the corpus are dropped: their windows occur once too;
 2. around each anchor left, the windows that it is the anchor of are cut out as one region, and
-   regions of one gram meet in one group, in corpus order; a gram with more than `hot`
-   occurrences is dealt out by single windows instead, so that no group grows with the corpus;
-   equal regions are sent once by each task;
+   regions of one gram meet in one group; a gram with more than `hot` occurrences is dealt out
+   by single windows instead. Each task sends equal regions once for every `HELD_BYTES` it holds,
+   and of equal regions that meet only the first is kept while they stream by. So a group has no
+   more than `hot` regions, or one distinct window, however often a passage occurs;
 3. an engine reads each group and says which windows are new, i.e. have no equal before them;
 4. of a text's windows with a repeated anchor, those not new are repeats.
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from driftloom.functions.attach import same_keys
 from driftloom.llm.common import give_back, need, runs_of, sliced, text_bytes, word_bounds
-from driftloom.llm.words import word_hashes
+from driftloom.llm.words import mixed, piece_hashes
 from driftloom.sources.scratch import settle
 
 BLANKS = bytes(0x20 if 9 <= c <= 13 else c for c in range(256))
@@ -39,12 +40,6 @@ HELD_BYTES = 16 << 20
 Engine = Callable[[list[tuple[list[bytes], int]]], list[np.ndarray]]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def window_anchors(data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
     """Of texts whose blanks are 0x20: word starts and ends, each word's text, and for each window its first word,
     its anchor's first word, and the anchor's hash."""
@@ -54,12 +49,11 @@ def window_anchors(data: np.ndarray, offsets: np.ndarray, window: int, gram: int
     if n < window:
         none = np.zeros(0, np.int64)
         return starts, ends, own, none, none, np.zeros(0, np.uint64)
-    first, second = word_hashes(data[data != 0x20], ends - starts)
-    word = _mixed(first ^ (second << np.uint64(1)))
+    word, _ = piece_hashes(data.tobytes(), starts, ends)
     value = np.zeros(n - gram + 1, np.uint64)
     for j in range(gram):
         value = value * np.uint64(0x9E3779B97F4A7C15) + word[j : n - gram + 1 + j]
-    value = _mixed(value)
+    value = mixed(value)
     # Place of the smallest of `width` neighbours (the first among equals), by doubling.
     width, place, reach = window - gram + 1, np.arange(len(value)), 1
     while reach < width:
@@ -127,7 +121,7 @@ def repeated_anchors(docs: DataFrame, window: int, gram: int, hot: int) -> DataF
     # Written, so that the join below has plain exchanges on both sides and can split a very frequent gram.
     again = settle(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("gram").alias("again"), (F.col("n") > hot).cast("int").alias("hot")))
     found = rows.join(again, rows["gram"] == again["again"])
-    return settle(found.groupBy("id", "tie").agg(F.collect_list(F.col("at") * 2 + F.col("hot")).alias("marks")))
+    return settle(found.groupBy("id", "tie").agg(F.collect_set(F.col("at") * 2 + F.col("hot")).alias("marks")))
 
 
 def _regions(docs: DataFrame, marks: DataFrame, window: int, gram: int) -> DataFrame:
@@ -185,11 +179,28 @@ def _regions(docs: DataFrame, marks: DataFrame, window: int, gram: int) -> DataF
     return joined.mapInArrow(cut, "key long, id long, tie long, start int, anchor int, words binary")
 
 
+def _first_of_equals(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[pa.RecordBatch]:
+    """Rows that differ from the row before them in one of the columns."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        same = np.ones(batch.num_rows, bool)
+        for name in columns:
+            column = batch.column(name)
+            same[1:] &= pa.compute.equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        values = [batch.column(name) for name in columns]
+        same[0] = last is not None and all(a == v[0] for a, v in zip(last, values))
+        last = [v[-1] for v in values]
+        yield batch.filter(pa.array(~same))
+
+
 def _new_windows(regions: DataFrame, window: int, engine: Engine) -> DataFrame:
     """id, tie and `fresh`: pairs of first word and number of windows that are new, flattened."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in runs_of(batches, "key"):
+        for table in runs_of(_first_of_equals(batches, "key", "words", "anchor"), "key"):
+            table = table.sort_by([("key", "ascending"), ("known", "ascending"), ("id", "ascending"), ("tie", "ascending"), ("start", "ascending")])
             key = table.column("key").to_numpy()
             border = np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key)).tolist()
             place, words = table.column("anchor").to_pylist(), table.column("words").to_pylist()
@@ -211,7 +222,8 @@ def _new_windows(regions: DataFrame, window: int, engine: Engine) -> DataFrame:
             columns += [pa.array(start[row] + np.array(first, np.int32), pa.int32()), pa.array(count, pa.int32())]
             yield pa.record_batch(columns, names=["id", "tie", "first", "count"])
 
-    ordered = regions.repartition("key").sortWithinPartitions("key", "id", "tie", "start")
+    # Equal regions next to each other, the first in corpus order before the others; null ids come first.
+    ordered = regions.withColumn("known", F.col("id").isNotNull().cast("int")).repartition("key").sortWithinPartitions("key", "words", "anchor", "id", "tie", "start")
     found = ordered.mapInArrow(judge, "id long, tie long, first int, count int")
     return found.groupBy("id", "tie").agg(F.collect_list(F.struct("first", "count")).alias("fresh"))
 

@@ -48,7 +48,7 @@ def word_hashes(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
     return hashes, (lengths << 16) | (flat[first].astype(np.int64) << 8) | flat[last - 1]
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -63,12 +63,12 @@ def piece_hashes(buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[n
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     data, size = np.frombuffer(buffer, np.uint8), ends - starts
     eight = np.ndarray((len(buffer),), "<u8", buffer + bytes(8), strides=(1,))
-    hashes = _mix(size.astype(np.uint64) ^ _mix(eight[starts] & _FIRST_BYTES[np.minimum(size, 8)]))
+    hashes = mixed(size.astype(np.uint64) ^ mixed(eight[starts] & _FIRST_BYTES[np.minimum(size, 8)]))
     for done in range(8, LONG_PIECE, 8):
         more = np.flatnonzero((size > done) & (size <= LONG_PIECE))
         if not len(more):
             break
-        hashes[more] = _mix(hashes[more] ^ (eight[starts[more] + done] & _FIRST_BYTES[np.minimum(size[more] - done, 8)]))
+        hashes[more] = mixed(hashes[more] ^ (eight[starts[more] + done] & _FIRST_BYTES[np.minimum(size[more] - done, 8)]))
     long = np.flatnonzero(size > LONG_PIECE)
     if len(long):
         hashes[long] = word_hashes(data[ragged(starts[long], size[long])], size[long])[0]

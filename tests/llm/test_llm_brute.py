@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from conftest import SMALL
 from driftloom.llm import (
-    bktree, decontamination, embedding_cells, language, licences, mixing, pseudonyms, simhash, simple8b, substrings, suffix_arrays, token_output,
+    bktree, decontamination, embedding_cells, language, licences, mixing, pseudonyms, repeats, simhash, simple8b, substrings, suffix_arrays, token_output,
 )
 from driftloom.llm.common import table
 from driftloom.llm.components import components
@@ -228,6 +228,29 @@ def test_substrings_and_passages(spark, hot):
     assert dict(found) == {d: g for d, g in gone.items() if g}
 
 
+def test_equal_passages_meet_an_engine_once(spark):
+    """5,000 copies in 60 tasks: every group has one distinct window, and only the first copy keeps it."""
+    passage = " ".join(random.Random(3).choices(WORDS, k=40))
+    df = spark.range(5000, numPartitions=60).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 500 == 7, F.lit(None)).otherwise(F.concat(F.lit(f"{passage} "), F.col("id"))).alias("text")
+    )
+
+    def engine(regions):
+        if len(regions) > 4:
+            raise ValueError(f"{len(regions)} regions meet")
+        return substrings.judge(regions, 20)
+
+    rows = repeats.find_repeats(df, 20, 5, engine, 8, lambda doc, words, covered: [(doc, int(covered.sum()))], "doc_id long, n long").collect()
+    assert {(r["doc_id"], r["n"]) for r in rows} == {(i, 0 if i == 0 or i % 500 == 7 else 40) for i in range(5000)}
+    assert len(rows) == 5000
+
+
+def test_marks_of_equal_rows_are_counted_once(spark):
+    df = spark.createDataFrame([(1, " ".join(WORDS * 5), 0)] * 40, "id long, text string, tie long")
+    (marks,) = [r["marks"] for r in repeats.repeated_anchors(df, 20, 5, 8).collect()]
+    assert len(marks) == len(set(marks)) <= 60
+
+
 def test_repeats_with_shared_and_null_ids(spark):
     long = " ".join(WORDS * 3)
     df = spark.createDataFrame([(1, long), (1, long), (None, long), (None, None)], "doc_id long, text string")
