@@ -84,7 +84,7 @@ def _zipped(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(squeeze, "id long, tie long, packed binary")
 
 
-def _opened(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+def _opened(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Rows with their texts, as bytes that are UTF-8, about `most` bytes at a time."""
     opener = zstandard.ZstdDecompressor()
     texts, size, first = [], 0, 0
@@ -121,7 +121,7 @@ def repeated_anchors(docs: DataFrame, window: int, gram: int, hot: int) -> DataF
     # Written, so that the join below has plain exchanges on both sides and can split a very frequent gram.
     again = settle(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("gram").alias("again"), (F.col("n") > hot).cast("int").alias("hot")))
     found = rows.join(again, rows["gram"] == again["again"])
-    return settle(found.groupBy("id", "tie").agg(F.collect_set(F.col("at") * 2 + F.col("hot")).alias("marks")))
+    return settle(found.groupBy("id", "tie").agg(F.array_distinct(F.collect_list(F.col("at") * 2 + F.col("hot"))).alias("marks")))
 
 
 def _regions(docs: DataFrame, marks: DataFrame, window: int, gram: int) -> DataFrame:
