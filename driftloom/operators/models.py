@@ -7,6 +7,7 @@ one `coef_<feature>` column per feature. Every fit returns a settled table.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from math import copysign, sumprod
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,11 @@ PATIENCE = 5
 # How small a direction counts as none, and the numbers a task holds before it passes its sums on.
 RANK_TOLERANCE = 1e-10
 HELD_SUMS = 1 << 22
+# The bytes of a block of training rows; a block is one row to Spark.
+BLOCK_BYTES = 1 << 16
+# Blocks of different shards that are passed over side by side: fewer are passed over one by one, more in turns.
+FEWEST_ABREAST = 8
+MOST_ABREAST = 256
 
 Fit = Callable[[DataFrame, Sequence[str], str, Sequence[str]], "DataFrame | Model"]
 
@@ -171,18 +177,57 @@ def passive_aggressive_pass(
     the weight of a constant feature, so a step never overshoots the row it is made for.
     """
     squared = np.einsum("ij,ij->i", x, x) + 1.0
-    lost = 0.0
-    for i in order:
-        error = y[i] - (x[i] @ w + b)
+    lost, now = 0.0, w.tolist()
+    # On a few numbers at a time Python's own are several times faster than arrays.
+    for row, target, square in zip(x[order].tolist(), y[order].tolist(), squared[order].tolist()):
+        error = target - (sumprod(row, now) + b)
         loss = abs(error) - epsilon
         if loss > 0:
             lost += loss
-            step = np.copysign(min(aggressiveness, loss / squared[i]), error)
-            w += step * x[i]
+            step = copysign(min(aggressiveness, loss / square), error)
+            now = [v + step * c for v, c in zip(now, row)]
             b += step
+    w[:] = now
     return b, lost
 
 
+def passes_abreast(blocks: Sequence[np.ndarray], w: np.ndarray, b: np.ndarray, aggressiveness: float, epsilon: float) -> np.ndarray:
+    """`passive_aggressive_pass` over each of several blocks (label last, a row of `w` and of `b` each); changes both, returns summed losses.
+
+    The blocks' rows at one place are taken together, as long as enough blocks have one; what is
+    left of the longest blocks, and any with numbers too large to square, is passed over block by block.
+    """
+    size, lengths = w.shape[1], np.array([len(x) for x in blocks])
+    order = np.argsort(-lengths, kind="stable")
+    lost, done = np.zeros(len(blocks)), 0
+    if len(blocks) >= FEWEST_ABREAST:
+        done = int(lengths[order[FEWEST_ABREAST - 1]])
+        x = np.zeros((done, len(blocks), size + 1))
+        for k, i in enumerate(order.tolist()):
+            x[: lengths[i], k] = blocks[i][:done]
+        y, x[..., -1] = x[..., -1].copy(), 1.0
+        squared = np.einsum("ijk,ijk->ij", x, x)
+        both = np.column_stack([w, b])[order]
+        if np.isfinite(squared).all() and np.isfinite(both).all() and np.isfinite(y).all():
+            active = np.searchsorted(-lengths[order], -np.arange(done), "left").tolist()
+            losses = np.zeros((done, len(blocks)))
+            for i, n in enumerate(active):
+                row, now, loss = x[i, :n], both[:n], losses[i, :n]
+                error = y[i, :n] - np.einsum("ij,ij->i", row, now)
+                np.subtract(np.abs(error), epsilon, out=loss)
+                np.maximum(loss, 0.0, out=loss)
+                step = np.minimum(aggressiveness, loss / squared[i, :n])
+                now += np.copysign(step, error)[:, None] * row
+            w[order], b[order], lost[order] = both[:, :-1], both[:, -1], losses.sum(axis=0)
+        else:
+            done = 0
+    for i in np.flatnonzero(lengths > done).tolist():
+        x, y = blocks[i][done:, :-1], blocks[i][done:, -1]
+        b[i], more = passive_aggressive_pass(x, y, w[i], float(b[i]), np.arange(len(y)), aggressiveness, epsilon)
+        lost[i] += more
+    return lost
+
+
 def fit_passive_aggressive(
     df: DataFrame,
     features: Sequence[str],
@@ -205,7 +250,8 @@ def fit_passive_aggressive(
     `key_cols`, which must tell a group's rows apart: every round each shard makes one pass from
     the group's current weights, streaming its rows, and the shards' weights are averaged by
     size (iterative parameter mixing, McDonald et al. 2010), until no group's mean loss falls by
-    `tolerance` or `rounds` have been made. `"sequential"` makes up to `max_iter` passes over a
+    `tolerance` or `rounds` have been made. The rows are shuffled and sorted once and stored in
+    blocks, so that a round costs Spark little more than reading them. `"sequential"` makes up to `max_iter` passes over a
     whole group in one task, until `patience` of them bring nothing; it is for groups known to
     be small, such as weekly series. `shards` in the result is 1 there. Rows are ordered by
     `key_cols` before a seeded shuffle, so the result does not depend on the data's layout.
@@ -252,43 +298,78 @@ def fit_passive_aggressive(
                 break
         return fit_row(group["__group"].iloc[0], w, b, lost, len(y))
 
-    def shard_passes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """One pass per shard over a partition whose rows come shard by shard, batch by batch."""
-        current, state = None, None
+    block_rows = max(1, BLOCK_BYTES // (8 * (len(numbers) + 1)))
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of the rows, which come shard by shard and in order; a shard's blocks are numbered."""
+        current, number = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group, unit = batch.column("__group").to_numpy(), batch.column("__shard").to_numpy()
+            rows = np.column_stack([batch.column(c).to_numpy() for c in (*numbers, "__y")])
+            new = np.flatnonzero((np.diff(group) != 0) | (np.diff(unit) != 0)) + 1
+            packed = []
+            for a, b in zip([0, *new.tolist()], [*new.tolist(), len(rows)]):
+                if (group[a], unit[a]) != current:
+                    current, number = (group[a], unit[a]), 0
+                for at in range(a, b, block_rows):
+                    packed.append((group[a], unit[a], number, rows[at : min(at + block_rows, b)].tobytes()))
+                    number += 1
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+            yield pa.record_batch([pa.array(v, k) for v, k in zip(zip(*packed), kinds)], names=["__group", "__shard", "__number", "__block"])
+
+    def shard_passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One pass per shard over a partition whose blocks come by their numbers, so that those of many shards lie side by side."""
+        place: dict[tuple[int, int], int] = {}
+        w, b, lost, rows = np.zeros((0, len(numbers))), np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
         for batch in batches:
-            for unit, block in batch.groupby(["__group", "__shard"], sort=False):
-                if unit != current:
-                    if state is not None:
-                        yield fit_row(current[0], *state)
-                    start = block.iloc[0]
-                    current, state = unit, (start[coefs].to_numpy(float).copy(), float(start["intercept"]), 0.0, 0)
-                w, b, lost, rows = state
-                x, y = block[numbers].to_numpy(float), block["__y"].to_numpy(float)
-                b, more = passive_aggressive_pass(x, y, w, b, np.arange(len(y)), aggressiveness, epsilon)
-                state = (w, b, lost + more, rows + len(y))
-        if state is not None:
-            yield fit_row(current[0], *state)
+            units = list(zip(batch.column("__group").to_pylist(), batch.column("__shard").to_pylist()))
+            new = []
+            for i, unit in enumerate(units):
+                if unit not in place:
+                    place[unit] = len(place)
+                    new.append(i)
+            if new:
+                begun = batch.take(pa.array(new))
+                w = np.concatenate([w, np.column_stack([begun.column(c).to_numpy() for c in coefs])])
+                b = np.concatenate([b, begun.column("intercept").to_numpy()])
+                lost, rows = (np.concatenate([v, np.zeros(len(new), v.dtype)]) for v in (lost, rows))
+            at, number = np.array([place[unit] for unit in units], np.int64), batch.column("__number").to_numpy()
+            cut = np.flatnonzero(np.diff(number)) + 1
+            for first, last in zip([0, *cut.tolist()], [*cut.tolist(), len(at)]):
+                for i in range(first, last, MOST_ABREAST):
+                    own = at[i : min(i + MOST_ABREAST, last)]
+                    some = [np.frombuffer(v.as_buffer()).reshape(-1, len(numbers) + 1) for v in batch.column("__block").slice(i, len(own))]
+                    own_w, own_b = w[own], b[own]
+                    lost[own] += passes_abreast(some, own_w, own_b, aggressiveness, epsilon)
+                    w[own], b[own] = own_w, own_b
+                    rows[own] += [len(x) for x in some]
+        if place:
+            group = pa.array([unit[0] for unit in place], pa.int64())
+            yield pa.record_batch([group, pa.array(b), *map(pa.array, w.T.copy()), pa.array(lost), pa.array(rows)], names=fit_type.names)
 
     if method == "sequential":
         fitted = placed.groupBy("__group").applyInPandas(whole_fit, fit_type).select("__group", "intercept", *coefs)
     else:
-        # Divided into shards, put in a seeded order and stored once; every round streams it back.
+        # Divided into shards, put in a seeded order and stored once, in blocks; every round streams them back.
         shard = F.pmod(F.xxhash64(*extra), F.col("shards")).cast("int")
-        order = ["__group", "__shard", "__mixed", *extra]
-        shard_rows = settle_partitioned(
+        ordered = (
             placed.withColumn("__shard", shard)
             .withColumn("__mixed", F.xxhash64(F.lit(seed), *extra))
             .repartition("__group", "__shard")
-            .sortWithinPartitions(*order)
-            .select(*order, *numbers, "__y")
+            .sortWithinPartitions("__group", "__shard", "__mixed", *extra)
+            .select("__group", "__shard", *numbers, "__y")
         )
+        packed = ordered.mapInArrow(blocks, "__group long, __shard int, __number long, __block binary")
+        shard_blocks = settle_partitioned(packed.repartition("__group", "__shard"))
         zeros = [F.lit(0.0).alias(c) for c in ("intercept", *coefs)]
         weights = groups.select("__group", "shards", *zeros, F.lit(float("inf")).alias("__loss"))
         for _ in range(rounds):
             # One row of weights per shard: where they are too many to broadcast, the join moves shards, not whole groups.
             units = weights.select("*", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("__shard")).drop("shards", "__loss")
-            ready = attach(shard_rows, units, ["__group", "__shard"]).sortWithinPartitions(*order)
-            passed = ready.select("__group", "__shard", *numbers, "__y", "intercept", *coefs).mapInPandas(shard_passes, fit_type)
+            ready = attach(shard_blocks, units, ["__group", "__shard"]).sortWithinPartitions("__number", "__group", "__shard")
+            passed = ready.select("__group", "__shard", "__number", "__block", "intercept", *coefs).mapInArrow(shard_passes, fit_type)
             mixed = [(F.sum(F.col(c) * F.col("__rows")) / F.sum("__rows")).alias(c) for c in ("intercept", *coefs)]
             mean_loss = (F.sum("__loss") / F.sum("__rows")).alias("__loss")
             previous = weights.select("__group", "shards", F.col("__loss").alias("__previous"))

@@ -81,6 +81,44 @@ def test_one_global_model(spark):
     assert table.count() == 1 and worst(df, table, []) < 0.2
 
 
+def test_rounds_read_blocks_and_pass_every_row_in_order(spark, monkeypatch):
+    """What a round reads is stored in blocks, not row by row; the fit is that of plain passes over the shards' rows in turn."""
+    df = plane(spark, 900, ("u",)).withColumn("y", F.col("y") * F.when(F.col("id") % 7 == 0, 40.0).otherwise(1.0))
+    stored, store = [], mo.settle_partitioned
+    monkeypatch.setattr(mo, "settle_partitioned", lambda frame: stored.append(store(frame)) or stored[-1])
+    monkeypatch.setattr(mo, "BLOCK_BYTES", 8 * 3 * 20, raising=False)
+    for shards in (3, 12):
+        table = mo.fit_passive_aggressive(df.repartition(4), FEATURES, "y", key_cols=["id"], rows_per_shard=900 // shards, rounds=3, tolerance=-1e9)
+        hashed = df.select(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"), F.xxhash64(F.lit(mo.SEED), "id").alias("mixed"), *FEATURES, "y")
+        rows = np.array([tuple(map(float, r[2:])) + (r.shard,) for r in sorted(hashed.collect(), key=lambda r: (r.shard, r.mixed))])
+        weights = np.zeros(3)
+        for _ in range(3):
+            total = np.zeros(3)
+            for shard in range(shards):
+                now, own = weights.copy(), rows[rows[:, 3] == shard]
+                for a, b, y, _ in own:
+                    error = y - (now @ (a, b, 1.0))
+                    step = min(mo.AGGRESSIVENESS, max(0.0, abs(error) - mo.EPSILON) / (a * a + b * b + 1.0))
+                    now += np.copysign(step, error) * np.array((a, b, 1.0))
+                total += len(own) * now
+            weights = total / len(rows)
+        got = table.first()
+        assert [got.coef_a, got.coef_b, got.intercept] == pytest.approx(weights.tolist(), rel=1e-9) and got.shards == shards
+    assert all(frame.count() < 900 / 8 for frame in stored)
+
+
+def test_blocks_abreast_are_passed_like_one_by_one():
+    rng = np.random.default_rng(3)
+    blocks = [rng.normal(size=(n, 3)) * (1, 1, 50 if n % 2 else 1) for n in (40, 3, 25, 41, 90, 1, 33, 12, 60, 8, 27)]
+    blocks[2][4, 0] = np.inf
+    for some in (blocks, [x for x in blocks if np.isfinite(x).all()], blocks[3:6]):
+        w, b = rng.normal(size=(len(some), 2)), rng.normal(size=len(some))
+        one = [(own := w[i].copy(), *mo.passive_aggressive_pass(x[:, :-1], x[:, -1], own, float(b[i]), np.arange(len(x)), 0.9, 0.01)) for i, x in enumerate(some)]
+        lost = mo.passes_abreast(some, w, b, 0.9, 0.01)
+        for i, (own, intercept, loss) in enumerate(one):
+            assert [*w[i], b[i], lost[i]] == pytest.approx([*own, intercept, loss], rel=1e-9, nan_ok=True)
+
+
 def test_pass_moves_no_further_than_allowed():
     w = np.zeros(1)
     b, lost = mo.passive_aggressive_pass(np.array([[1.0]]), np.array([100.0]), w, 0.0, np.array([0]), 0.9, 0.01)
