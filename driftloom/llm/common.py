@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,24 @@ def give_back() -> None:
         trim(0)
 
 
+@contextmanager
+def sent_in(spark: SparkSession, most: int) -> Iterator[None]:
+    """What is computed inside goes to Python in batches of about `most` bytes, unless the session has them smaller.
+
+    A batch is held by the executor and by its worker at once, and Spark's own bound is many times a slice.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    if int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)) <= most:
+        yield
+        return
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `most` bytes of the text column; a longer text is a batch of its own."""
     for batch in batches:

@@ -55,18 +55,19 @@ def _selectors(widths: np.ndarray) -> np.ndarray:
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, first word of each block (and their number), and raw escaped values."""
-    values = np.ascontiguousarray(values, np.uint64)
+    values = np.asarray(values)
     n_blocks = -(-len(values) // BLOCK)
     words, counts, escapes = [], [], []
     n_escapes = 0
     for first in range(0, n_blocks, BLOCKS_AT_ONCE):
-        part = values[first * BLOCK : (first + BLOCKS_AT_ONCE) * BLOCK]
+        part = np.ascontiguousarray(values[first * BLOCK : (first + BLOCKS_AT_ONCE) * BLOCK], np.uint64)
         nb = -(-len(part) // BLOCK)
         room = np.zeros((nb, BLOCK + PAD), np.uint64)
         flat = room.reshape(-1)
         filled = np.zeros(nb * BLOCK, np.uint64)
         filled[: len(part)] = part
         room[:, :BLOCK] = filled.reshape(nb, BLOCK)
+        del filled
         size = np.minimum(BLOCK, len(part) - np.arange(nb) * BLOCK)
         chosen = _selectors(_widths(room))
         # All blocks step from word to word together.

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftloom.llm.common import give_back, need, sliced
+from driftloom.llm.common import give_back, need, sent_in, sliced
 from driftloom.llm.simple8b import pack_file, unpack_file
 from driftloom.llm.words import WordEncoder
 from driftloom.sources.scratch import fresh_path
@@ -32,6 +32,9 @@ MANIFEST = "part int, number int, path string, n_docs long, n_ids long, n_bytes
 SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 #: A reading task takes files with about this many ids.
 IDS_PER_TASK = 16 << 20
+#: Texts are encoded in slices of about this many bytes, and Spark sends them to Python in batches of about `SENT_BYTES`.
+ENCODED_BYTES = 512 << 10
+SENT_BYTES = 4 << 20
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -111,7 +114,7 @@ def write_token_files(
             kinds = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64())
             return pa.record_batch([pa.array([v], k) for v, k in zip(row, kinds)], names=["part", "number", "path", "n_docs", "n_ids", "n_bytes"])
 
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", ENCODED_BYTES):
             ids, sizes = with_end(*encode(batch.column("text")), end_id)
             key = batch.column("id")
             keys, nulls, last = key.fill_null(0).to_numpy(), key.is_null().to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(sizes)
@@ -123,7 +126,8 @@ def write_token_files(
             yield close()
 
     path = fresh_path(spark, "token-manifest")
-    placed.select("id", "text").mapInArrow(write, MANIFEST).write.parquet(path)
+    with sent_in(spark, SENT_BYTES):
+        placed.select("id", "text").mapInArrow(write, MANIFEST).write.parquet(path)
     return spark.read.schema(MANIFEST).parquet(path)
 
 

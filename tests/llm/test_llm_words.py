@@ -9,7 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from driftloom.llm import spelling, toxicity, word_runs
+from driftloom.llm import spelling, token_output, toxicity, word_runs
+from driftloom.llm.common import sent_in
+from driftloom.llm.queries import tokenizer_path
 
 
 def clashing(df):
@@ -276,3 +278,28 @@ def test_descend_solves_a_quadratic():
     b = np.array([1.0, 2.0, 3.0])
     at = toxicity.descend(lambda x: (float(x @ a @ x / 2 - b @ x), a @ x - b), np.zeros(3), 100)
     assert np.allclose(at, b / np.diag(a), atol=1e-2)
+
+
+def test_token_writer_holds_little_text_at_once(spark, monkeypatch):
+    """Neither the batches that Spark sends nor the slices that are encoded follow the partition's size; the session stays as it was."""
+    slices = token_output.sliced
+
+    def watched(batches, text, *most):
+        def small(batches):
+            for batch in batches:
+                assert batch.num_rows * 8000 < 6 << 20
+                yield batch
+
+        for batch in slices(small(batches), text, *most):
+            assert batch.num_rows * 8000 < 1 << 20
+            yield batch
+
+    monkeypatch.setattr(token_output, "sliced", watched)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(1600).select(F.col("id").alias("doc_id"), F.repeat(F.lit("many word "), 800).alias("text")).coalesce(1)
+    rows = token_output.token_digests(docs, tokenizer_path()).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(1600)) and len({(r.n_tokens, r.ids_crc32) for r in rows}) == 1
+    assert rows[0].n_tokens > 1600 and spark.conf.get(key) == before
+    with sent_in(spark, 1 << 40):
+        assert spark.conf.get(key) == before
