@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Hashable, Iterator
 from contextlib import contextmanager
+from types import ModuleType
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +50,19 @@ def give_back() -> None:
         trim(0)
 
 
+def kept_by_worker(name: str, version: Hashable, make: Callable[[], Any]) -> Any:
+    """What `make` returns, made once per Python worker and version; the last version is kept.
+
+    This package's functions travel with every task, and with them their modules' globals. What is to
+    outlast a task is held by a module that does not travel.
+    """
+    held = vars(sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker")))
+    if name not in held or held[name][0] != version:
+        held.pop(name, None)
+        held[name] = version, make()
+    return held[name][1]
+
+
 @contextmanager
 def sent_in(spark: SparkSession, most: int) -> Iterator[None]:
     """What is computed inside goes to Python in batches of about `most` bytes, unless the session has them smaller.

@@ -10,6 +10,7 @@ earlier documents in the same file. `read_token_files` reads only the manifest a
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftloom.llm.common import give_back, need, sent_in, sliced
+from driftloom.llm.common import give_back, kept_by_worker, need, sent_in, sliced
 from driftloom.llm.simple8b import pack_file, unpack_file
 from driftloom.llm.words import WordEncoder
 from driftloom.sources.scratch import fresh_path
@@ -35,14 +36,12 @@ IDS_PER_TASK = 16 << 20
 #: Texts are encoded in slices of about this many bytes, and Spark sends them to Python in batches of about `SENT_BYTES`.
 ENCODED_BYTES = 512 << 10
 SENT_BYTES = 4 << 20
-_ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker and vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    """One encoder per Python worker, with the words of its earlier tasks; a new one for another vocabulary file."""
+    file = os.stat(path)
+    return kept_by_worker("word encoder", (path, file.st_mtime_ns, file.st_size), lambda: WordEncoder(path))
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
